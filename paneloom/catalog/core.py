@@ -108,12 +108,11 @@ def assert_unique(spark: SparkSession, sf: str) -> DataFrame:
     return writers.assert_unique(keyed, ["o_custkey", "day"])
 
 
-@query("publish_messages", "SELECT o_orderdate::DATE AS day, count(*) AS n FROM orders GROUP BY 1")
+@query("publish_messages", "SELECT ts::DATE AS day, count(DISTINCT user_id) AS n FROM events GROUP BY 1")
 def publish_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK4: JSON messages, one folder per day, counted after reading them back."""
+    """SNK4: the panel as JSON messages, one folder per day, counted after reading them back."""
     path = scratch_path(spark, "messages")
-    orders = table(spark, sf, "orders").withColumn("Date", F.col("o_orderdate").cast("date")).drop("o_orderdate")
-    writers.publish(orders, path=path)
+    writers.publish(fx.gold(spark, sf), path=path)
     back = spark.read.text(path).withColumn("r", records.parse_json("value"))
     return back.filter(F.col("r")["Date"] == F.col("day").cast("string")).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 

@@ -178,15 +178,23 @@ def expand_factchecks(spark: SparkSession, sf: str) -> DataFrame:
 
 _FC_TOTALS = f"""{fx.CHECKS}, check_weekly AS (
   SELECT *, sum(factcheck_count) OVER (PARTITION BY ISO_Code ORDER BY _week ROWS UNBOUNDED PRECEDING)::BIGINT AS factcheck_cumulative
-  FROM (SELECT ISO_Code, _week, count(*) AS factcheck_count, count(*) FILTER (WHERE category = 'other') AS fc_other,
-    count(*) FILTER (WHERE category = 'src0') AS fc_src0 FROM check_labelled GROUP BY 1, 2))"""
+  FROM (SELECT ISO_Code, _week, count(*) AS factcheck_count, count(*) FILTER (WHERE category = 'other') AS fc_other
+    FROM check_labelled GROUP BY 1, 2))"""
 
 
 @query("cumulative_weekly", f"WITH {_FC_TOTALS} SELECT * FROM check_weekly")
 def cumulative_weekly(spark: SparkSession, sf: str) -> DataFrame:
-    """FC2: totals, two of the category columns, running total."""
+    """FC2: totals, the column of the rest, and the running total."""
     weekly = FC.weekly_factchecks(fx.expanded(spark, sf))
-    return weekly.select("ISO_Code", "_week", "factcheck_count", "fc_other", "fc_src0", "factcheck_cumulative")
+    return weekly.select("ISO_Code", "_week", "factcheck_count", "fc_other", "factcheck_cumulative")
+
+
+@query("weekly_categories", f"WITH {fx.CHECKS} SELECT ISO_Code, _week, 'fc_' || category AS measure, count(*) AS n FROM check_labelled GROUP BY 1, 2, 3")
+def weekly_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """FC2: every category column, week by week."""
+    weekly = FC.weekly_factchecks(fx.expanded(spark, sf))
+    names = FC.category_columns(weekly)
+    return weekly.select("ISO_Code", "_week", *names).unpivot(["ISO_Code", "_week"], names, "measure", "n").filter("n > 0")
 
 
 @query("category_columns", f"WITH {fx.CHECKS} SELECT 'fc_' || category AS measure, count(*) AS n FROM check_labelled GROUP BY 1")
@@ -202,14 +210,14 @@ def checked_nations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CHECKED = f"""{_FC_TOTALS}, {fx.NATIONS}, checked AS (
-  SELECT n.*, factcheck_count, fc_other, fc_src0, factcheck_cumulative FROM nations n
+  SELECT n.*, factcheck_count, fc_other, factcheck_cumulative FROM nations n
     LEFT JOIN check_weekly c ON c.ISO_Code = n.ISO_Code AND c._week = date_trunc('week', n.Date))"""
 
 
 @query("merge_factchecks", f"WITH {_CHECKED} SELECT * FROM checked")
 def merge_factchecks(spark: SparkSession, sf: str) -> DataFrame:
     """FC3."""
-    cols = ["ISO_Code", "Country", "Continent", "Date", "n", "n_closed", "factcheck_count", "fc_other", "fc_src0", "factcheck_cumulative"]
+    cols = ["ISO_Code", "Country", "Continent", "Date", "n", "n_closed", "factcheck_count", "fc_other", "factcheck_cumulative"]
     return checked_nations(spark, sf).select(*cols)
 
 

@@ -198,11 +198,11 @@ pair_stats AS (
   SELECT a.ISO_Code AS src, b.ISO_Code AS dst, corr(a.v, b.v) AS r, stddev_pop(a.v) AS sa, stddev_pop(b.v) AS sb
   FROM curves a JOIN curves b ON a.Date = b.Date AND a.ISO_Code < b.ISO_Code GROUP BY 1, 2),
 linked AS (
-  SELECT src, dst, 'SIMILAR_EPIDEMIC_PATTERN' AS type, round(r, 4) AS correlation FROM pair_stats
+  SELECT src, dst, 'SIMILAR_EPIDEMIC_PATTERN' AS type, round(r::DECIMAL(28, 9), 4)::DOUBLE AS correlation FROM pair_stats
   WHERE sa >= 1e-9 AND sb >= 1e-9 AND NOT isnan(r) AND abs(r) >= 0.85),
 policy AS (
   SELECT a.iso_code AS src, b.iso_code AS dst, 'SIMILAR_POLICY_RESPONSE' AS type,
-    round(abs(a.avg_containment_health_index - b.avg_containment_health_index), 2) AS stringency_diff
+    round(abs(a.avg_containment_health_index - b.avg_containment_health_index)::DECIMAL(28, 9), 2)::DOUBLE AS stringency_diff
   FROM metrics a JOIN metrics b ON a.iso_code < b.iso_code
   WHERE a.avg_containment_health_index > 0 AND b.avg_containment_health_index > 0
     AND abs(a.avg_containment_health_index - b.avg_containment_health_index) < 5.0),

@@ -20,6 +20,12 @@ def log10_floor1(col: Column) -> Column:
     return F.log10(clip_low(col, 1.0))
 
 
+def round_half_up(col: Column, digits: int) -> Column:
+    """Decimal rounding after dropping the noise of summation order, so that ties come out alike
+    however the rows were distributed."""
+    return F.round(col.cast("decimal(28,9)"), digits).cast("double")
+
+
 def trust_ratio(pro: Column | str, dis: Column | str) -> Column:
     return F.try_divide(_col(pro), _col(dis) + F.lit(1.0))
 

@@ -26,27 +26,35 @@ def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pearson for every pair of columns of a family, over the rows where both are present.
 
-    One aggregate carries all pairs. Empty unless the family has two columns, and more than five
-    rows hold at least one value.
+    Each row unfolds into its complete pairs, which meet in a compiled aggregate over small pair
+    numbers; a wide aggregate of all pairs would be too large to compile. Empty unless the family has
+    two columns, and more than five rows hold at least one value.
     """
     names = [c for c in cols if c in df.columns]
     pairs = list(combinations(names, 2))
     if not pairs:
-        spark = df.sparkSession
         keys = [df.schema[c] for c in by]
         fields = [T.StructField("x", T.StringType()), T.StructField("y", T.StringType())]
         fields += [T.StructField("r", T.DoubleType()), T.StructField("n", T.LongType())]
-        return spark.createDataFrame([], T.StructType([*keys, *fields]))
-    some = F.coalesce(*[F.col(c) for c in names]).isNotNull()
-    aggregates = [F.count(F.when(some, F.lit(1))).alias("_rows")]
-    for i, (x, y) in enumerate(pairs):
-        aggregates += [safe_corr(F.col(x), F.col(y)).alias(f"r{i}"), both_count(F.col(x), F.col(y)).alias(f"n{i}")]
-    cells = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n"))
-        for i, (x, y) in enumerate(pairs)
+        return df.sparkSession.createDataFrame([], T.StructType([*keys, *fields]))
+    rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in names])
+
+    def cell(number: int, x: Column, y: Column) -> Column:
+        return F.struct(F.lit(number).alias("p"), x.alias("a"), y.alias("b"))
+
+    some = F.coalesce(*[F.col(c) for c in names])
+    cells = [F.when(some.isNotNull(), cell(0, some, some))]
+    cells += [
+        F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), cell(i, F.col(x), F.col(y)))
+        for i, (x, y) in enumerate(pairs, 1)
     ]
-    wide = df.groupBy(*by).agg(*aggregates).filter(F.col("_rows") >= MIN_ROWS)
-    return wide.select(*by, F.explode(F.array(*cells)).alias("c")).select(*by, "c.x", "c.y", "c.r", "c.n")
+    long = rows.select(*by, F.explode(F.array_compact(F.array(*cells))).alias("c")).select(*by, "c.p", "c.a", "c.b")
+    each = long.groupBy(*by, "p").agg(F.count(F.lit(1)).alias("n"), safe_corr(F.col("a"), F.col("b")).alias("r"))
+    found = each.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("p", F.struct("n", "r").alias("v")))).alias("m"))
+    table = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(x).alias("x"), F.lit(y).alias("y")) for i, (x, y) in enumerate(pairs, 1)])
+    shown = found.filter(F.try_element_at("m", F.lit(0))["n"] >= MIN_ROWS).select(*by, "m", F.explode(table).alias("t"))
+    hit = F.try_element_at("m", F.col("t.p"))
+    return shown.select(*by, "t.x", "t.y", hit["r"].alias("r"), F.coalesce(hit["n"], F.lit(0)).alias("n"))
 
 
 def ols(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from paneloom.functions.numeric import round_half_up
 from paneloom.operators.ordering import union_all
 from paneloom.operators.pairs import band_pairs, correlated_pairs
 
@@ -34,7 +35,7 @@ def correlation_edges(
 ) -> DataFrame:
     """Entities whose smoothed curves correlate over shared days; strong negatives count unless ``signed``."""
     pairs = correlated_pairs(df, key, date, value, threshold, min_points, signed)
-    return pairs.select("src", "dst", F.lit(SIMILAR).alias("type"), F.round("correlation", 4).alias("correlation"))
+    return pairs.select("src", "dst", F.lit(SIMILAR).alias("type"), round_half_up(F.col("correlation"), 4).alias("correlation"))
 
 
 def policy_edges(
@@ -47,7 +48,7 @@ def policy_edges(
         F.least("k_a", "k_b").alias("src"),
         F.greatest("k_a", "k_b").alias("dst"),
         F.lit(POLICY).alias("type"),
-        F.round(F.abs(F.col("v_a") - F.col("v_b")), 2).alias("stringency_diff"),
+        round_half_up(F.abs(F.col("v_a") - F.col("v_b")), 2).alias("stringency_diff"),
     )
 
 

@@ -84,9 +84,12 @@ def fit_forest(
     train: DataFrame, names: Sequence[str], target: str = TARGET, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF
 ) -> tuple[RandomForestRegressionModel, float] | None:
     """Forest and its in-sample R2, or nothing when there are too few rows to learn from."""
-    if train.limit(MIN_TRAINING_ROWS + 1).count() <= MIN_TRAINING_ROWS:
+    slim = train.select(*[F.col(n).cast("double").alias(n) for n in names], F.col(target).cast("double").alias("label"))
+    # Training passes over the rows many times: they are written once instead of derived each time.
+    stored = cut_lineage(slim, "training")
+    if stored.limit(MIN_TRAINING_ROWS + 1).count() <= MIN_TRAINING_ROWS:
         return None
-    data = assemble(train, names).select("features", F.col(target).cast("double").alias("label"))
+    data = assemble(stored, names).select("features", "label")
     forest = RandomForestRegressor(
         numTrees=trees,
         maxDepth=depth,
@@ -95,7 +98,7 @@ def fit_forest(
         bootstrap=True,
         subsamplingRate=1.0,
         seed=SEED,
-        cacheNodeIds=False,
+        maxMemoryInMB=1024,
     )
     model = forest.fit(data)
     return model, RegressionEvaluator(metricName="r2").evaluate(model.transform(data))
@@ -156,8 +159,8 @@ def forecast(
     """Roll every entity forward ``horizon`` days at once.
 
     The state is one row per entity. Each step predicts from frozen features and the lags found in
-    the growing series, and keeps ``alpha`` of the previous value. The lineage is cut by a reliable
-    checkpoint every few steps.
+    the growing series, and keeps ``alpha`` of the previous value. The state is written out every few
+    steps, which keeps the plan short.
     """
     present = [f for f in feats if f in states.columns]
     names = [*present, *[f"lag_{n}" for n in LAGS]]
@@ -179,7 +182,7 @@ def forecast(
             F.concat("path", F.array("_next")).alias("path"),
         )
         if step % cut_every == 0 and step < horizon:
-            state = cut_lineage(state)
+            state = cut_lineage(state, "forecast")
     days = state.select(key, "last_date", F.posexplode("path").alias("_i", "_value"))
     dated = days.select(key, F.date_add("last_date", (F.col("_i") + 1).cast("int")).alias(date), "_value")
     return dated.select(key, date, rolling_mean_col("_value", series(key, date), SMOOTHING).alias("ML_Future"))

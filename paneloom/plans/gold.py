@@ -10,6 +10,7 @@ from paneloom.operators.filters import valid_iso
 from paneloom.operators.joins import EnrichmentReport, enrich
 from paneloom.operators.schema import drop_columns, drop_empty_columns, rename_if_free
 from paneloom.plans.panel import parse_dates
+from paneloom.session import cut_lineage
 
 # Columns that a source table carries under another name.
 DUPLICATE_COLUMNS = (
@@ -49,10 +50,11 @@ def build_gold(
 ) -> tuple[DataFrame, EnrichmentReport]:
     """Master panel enriched by the source tables, without empty, duplicated and useless columns.
 
-    Sorting is left to ``write_gold``, which range-partitions while it writes.
+    The joins are written out before the columns are counted, so they run once. Sorting is left to
+    ``write_gold``, which range-partitions while it writes.
     """
     merged, report = enrich(valid_iso(parse_dates(master)), tables, dim, order)
     if drop_empty:
-        merged = drop_empty_columns(merged)
+        merged = drop_empty_columns(cut_lineage(merged, "enriched"))
     gold, _ = prune(merged)
     return gold, report

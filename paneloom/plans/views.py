@@ -1,15 +1,16 @@
 """Result-set views over a prepared panel.
 
 Every view takes the panel and, optionally, one entity and a date range. Without an entity the same
-plan serves all of them at once. A ``min_count`` guard works per entity: an entity whose column has too
-few values is left out by a semi join with the counted entities, never by a loop.
+plan serves all of them at once. Availability guards work per entity: the values of an entity are counted
+over its rows, which are at most one per day and lie together already, so a guard adds no join and the
+panel is derived once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paneloom.dims import event_dim
 from paneloom.functions.classes import above_one
@@ -84,33 +85,36 @@ def scope(df: DataFrame, key: str | None = None, date_range: Range = None) -> Da
     return rows if key is None else for_key(rows, key)
 
 
+def _count(col: str) -> Column:
+    """Values of a column in the entity of each row."""
+    return F.count(col).over(Window.partitionBy(KEY))
+
+
 def guarded(df: DataFrame, cols: Sequence[str], k: int) -> DataFrame:
-    """Entities in which each of ``cols`` has more than ``k`` values."""
-    counts = df.groupBy(KEY).agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)])
-    for i in range(len(cols)):
-        counts = counts.filter(F.col(f"n{i}") > k)
-    return df.join(counts.select(KEY), KEY, "left_semi")
+    """Rows of the entities in which each of ``cols`` has more than ``k`` values."""
+    flags = {f"_g{i}": _count(c) for i, c in enumerate(cols)}
+    counted = df.withColumns(flags)
+    for flag in flags:
+        counted = counted.filter(F.col(flag) > k)
+    return counted.drop(*flags)
 
 
-def _first_of(df: DataFrame, cols: Sequence[str], k: int) -> tuple[DataFrame, Column]:
-    """Per entity, the first of ``cols`` with more than ``k`` values, beside each row."""
+def _first_of(df: DataFrame, cols: Sequence[str], k: int | Mapping[str, int]) -> tuple[DataFrame, Column]:
+    """Per entity, the first of ``cols`` with more than ``k`` values, named in ``_pick`` beside each row."""
     present = [c for c in cols if c in df.columns]
-    counts = df.groupBy(KEY).agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(present)])
-    pick = F.coalesce(*[F.when(F.col(f"_n{i}") > k, F.lit(c)) for i, c in enumerate(present)])
-    joined = df.join(counts.select(KEY, pick.alias("_pick")).filter("_pick is not null"), KEY)
+    need = k if isinstance(k, Mapping) else {c: k for c in present}
+    counted = df.withColumns({f"_n{i}": _count(c) for i, c in enumerate(present)})
+    pick = F.coalesce(*[F.when(F.col(f"_n{i}") > need[c], F.lit(c)) for i, c in enumerate(present)])
     value = F.coalesce(*[F.when(F.col("_pick") == c, F.col(c).cast("double")) for c in present])
-    return joined, value
+    return counted.withColumn("_pick", pick).filter("_pick is not null"), value
 
 
-def _long(df: DataFrame, cols: Sequence[str], k: int | None = None, drop_null: bool = True) -> DataFrame:
+def _long(df: DataFrame, cols: Sequence[str], k: int) -> DataFrame:
     """Measures of one view as rows; a measure with too few values in an entity is left out there."""
     present = [c for c in cols if c in df.columns]
-    rows = df.select(KEY, DAY, *[F.col(c).cast("double").alias(c) for c in present])
-    long = rows.unpivot([KEY, DAY], present, "measure", "value")
-    if k is not None:
-        counts = long.groupBy(KEY, "measure").agg(F.count("value").alias("n")).filter(F.col("n") > k)
-        long = long.join(counts.select(KEY, "measure"), [KEY, "measure"], "left_semi")
-    return long.filter("value is not null") if drop_null else long
+    counted = df.select(KEY, DAY, *present).withColumns({f"_n{i}": _count(c) for i, c in enumerate(present)})
+    shown = [F.when(F.col(f"_n{i}") > k, F.col(c).cast("double")).alias(c) for i, c in enumerate(present)]
+    return counted.select(KEY, DAY, *shown).unpivot([KEY, DAY], present, "measure", "value").filter("value is not null")
 
 
 def global_kpi_row(df: DataFrame, key: str | None = None, date_range: Range = None) -> DataFrame:
@@ -238,14 +242,9 @@ def excess_daily(df: DataFrame, key: str | None = None, date_range: Range = None
 def excess_cumulative(df: DataFrame, key: str | None = None, date_range: Range = None) -> DataFrame:
     """Running sum of the daily estimate, or the stored cumulative column where there is none."""
     daily, stored = "estimated_daily_excess_deaths", ("cumulative_estimated_daily_excess_deaths", "excess_mortality_cumulative")
-    rows = scope(df, key, date_range)
-    present = [c for c in (daily, *stored) if c in df.columns]
-    counts = rows.groupBy(KEY).agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(present)])
-    need = lambda c: 5 if c == daily else 3
-    pick = F.coalesce(*[F.when(F.col(f"_n{i}") > need(c), F.lit(c)) for i, c in enumerate(present)])
-    joined = rows.join(counts.select(KEY, pick.alias("_pick")).filter("_pick is not null"), KEY)
-    value = F.coalesce(*[F.when(F.col("_pick") == c, F.col(c).cast("double")) for c in present])
-    points = joined.select(KEY, DAY, "_pick", value.alias("value")).dropna(subset=["value"])
+    need = {daily: 5, **{c: 3 for c in stored}}
+    rows, value = _first_of(scope(df, key, date_range), (daily, *stored), need)
+    points = rows.select(KEY, DAY, "_pick", value.alias("value")).dropna(subset=["value"])
     total = running_total_col("value", series(KEY, DAY))
     return points.select(
         KEY, DAY, F.col("_pick").alias("measure"), F.when(F.col("_pick") == daily, total).otherwise(F.col("value")).alias("value")
@@ -308,8 +307,7 @@ def disinfo_vs_science(df: DataFrame, key: str | None = None, date_range: Range
 def stacked(df: DataFrame, cols: Sequence[str], k: int = 3) -> DataFrame:
     """Measures as layers: each value with the total of the layers up to it."""
     present = [c for c in cols if c in df.columns]
-    counts = df.groupBy(KEY).agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(present)])
-    rows = df.select(KEY, DAY, *present).join(counts, KEY)
+    rows = df.select(KEY, DAY, *present).withColumns({f"_n{i}": _count(c) for i, c in enumerate(present)})
     cells, below = [], F.lit(0.0)
     for i, c in enumerate(present):
         shown = F.col(f"_n{i}") > k
@@ -363,6 +361,5 @@ def triangulation(
     """The series inside the window and its coefficient."""
     rows = guarded(guarded(scope(df, key, date_range), ["factcheck_count"], 0), ["disinfo_index"], 3)
     inside = between_dates(rows, low, high).select(KEY, DAY, "factcheck_count", "disinfo_index")
-    long_enough = inside.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 5").select(KEY)
-    shown = inside.join(long_enough, KEY, "left_semi")
+    shown = inside.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(KEY))).filter("_n > 5").drop("_n")
     return shown, ST.pearson(shown, "factcheck_count", "disinfo_index", [KEY])

@@ -49,11 +49,14 @@ def to_messages(df: DataFrame, day: str = "Date") -> DataFrame:
 
 
 def publish(df: DataFrame, options: dict[str, str] | None = None, path: str | None = None, day: str = "Date") -> None:
-    """Send rows to a topic (``options``) or lay them down as text files, one folder per day (``path``)."""
+    """Send rows to a topic (``options``) or lay them down as text files, one folder per day (``path``).
+
+    Files follow the days; a day with many rows is cut into several files by the second range key.
+    """
     if path is not None:
         (
             to_messages(df, day)
-            .repartitionByRange("day")
+            .repartitionByRange(F.col("day"), F.xxhash64("value"))
             .write.mode("overwrite")
             .partitionBy("day")
             .text(path)
