@@ -223,7 +223,8 @@ edges AS (
 def cells(spark: SparkSession, sf: str) -> DataFrame:
     """Events reduced to one row per user and day; copies of a hot user combine before the shuffle."""
     events = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("double"))
-    return events.groupBy("user_id", F.col("ts").cast("date").alias("Date")).agg(
+    key = F.concat(F.lit("U"), F.col("user_id")).alias("ISO_Code")
+    return events.groupBy(key, F.col("ts").cast("date").alias("Date")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("event_type") == "error").alias("n_error"),
         F.max("ts").alias("last_ts"),
@@ -232,22 +233,24 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Running totals and places of the cells. Everything is keyed by the entity code, so that one
+    exchange of the cells serves these windows and those of the prepared panel."""
     from paneloom.operators.windows import running_total_col, series
 
     places = (
         table(spark, sf, "customer")
         .join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey"), "left")
         .join(table(spark, sf, "region"), F.col("r_regionkey") == F.col("n_regionkey"), "left")
-        .select(F.col("c_custkey").alias("user_id"), "n_name", "r_name", "c_acctbal")
+        .select(F.concat(F.lit("U"), F.col("c_custkey")).alias("ISO_Code"), "n_name", "r_name", "c_acctbal")
     )
-    w = series("user_id", "Date")
+    w = series("ISO_Code", "Date")
     total, deaths = running_total_col("n", w), running_total_col("n_error", w)
     return (
         cells(spark, sf)
         .withColumns({"_c": total, "_d": deaths})
-        .join(places, "user_id", "left")
+        .join(places, "ISO_Code", "left")
         .select(
-            F.concat(F.lit("U"), F.col("user_id")).alias("ISO_Code"),
+            "ISO_Code",
             "Date",
             F.col("n_name").alias("Country"),
             F.col("r_name").alias("Continent"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from paneloom.operators.aggregates import dedupe_first
 from paneloom.operators.ordering import union_prefer
 from paneloom.operators.windows import rolling_mean_col, series
-from paneloom.session import cut_lineage
+from paneloom.session import cut_lineage, scratch_path
 
 KEY, DAY, TARGET = "ISO_Code", "Date", "New_Cases_7d"
 
@@ -89,6 +91,9 @@ def fit_forest(
     stored = cut_lineage(slim, "training")
     if stored.limit(MIN_TRAINING_ROWS + 1).count() <= MIN_TRAINING_ROWS:
         return None
+    parts = stored.sparkSession.sparkContext.defaultParallelism
+    if stored.rdd.getNumPartitions() < parts:
+        stored = stored.repartition(parts)
     data = assemble(stored, names).select("features", "label")
     forest = RandomForestRegressor(
         numTrees=trees,
@@ -146,6 +151,50 @@ def last_states(
     return ends.join(frozen, key)
 
 
+class Forest:
+    """Split tables of a fitted forest as flat arrays, for scoring inside tasks.
+
+    The size is bounded by the model's parameters, ``trees * 2 ** (depth + 1)`` nodes, whatever the data.
+    """
+
+    def __init__(self, spark: SparkSession, model: RandomForestRegressionModel) -> None:
+        path = scratch_path(spark, "forest")
+        model.write().save(path)
+        nodes = (
+            spark.read.parquet(f"{path}/data")
+            .select(
+                F.col("treeID").alias("tree"),
+                "nodeData.id",
+                F.col("nodeData.leftChild").alias("left"),
+                F.col("nodeData.rightChild").alias("right"),
+                F.col("nodeData.prediction").alias("value"),
+                F.col("nodeData.split.featureIndex").alias("feature"),
+                F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+            )
+            .toPandas()
+            .sort_values(["tree", "id"])
+        )
+        self.depth = max(t.depth for t in model.trees)
+        starts = nodes.groupby("tree")["id"].size().cumsum().shift(fill_value=0)
+        base = nodes["tree"].map(starts).to_numpy()
+        here = base + nodes["id"].to_numpy()
+        inner = nodes["left"].to_numpy() >= 0
+        self.roots = starts.to_numpy()
+        self.feature = np.where(inner, nodes["feature"].to_numpy(), 0)
+        self.threshold = np.where(inner, nodes["threshold"].to_numpy(dtype=float), np.inf)
+        self.left = np.where(inner, base + nodes["left"].to_numpy(), here)
+        self.right = np.where(inner, base + nodes["right"].to_numpy(), here)
+        self.value = nodes["value"].to_numpy()
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """Mean over the trees for each row of ``x``."""
+        at = np.broadcast_to(self.roots, (len(x), len(self.roots))).copy()
+        row = np.arange(len(x))[:, None]
+        for _ in range(self.depth):
+            at = np.where(x[row, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
+        return self.value[at].mean(axis=1)
+
+
 def forecast(
     model: RandomForestRegressionModel,
     states: DataFrame,
@@ -154,38 +203,40 @@ def forecast(
     alpha: float = INERTIA,
     key: str = KEY,
     date: str = DAY,
-    cut_every: int = 10,
 ) -> DataFrame:
-    """Roll every entity forward ``horizon`` days at once.
+    """Roll every entity forward ``horizon`` days.
 
-    The state is one row per entity. Each step predicts from frozen features and the lags found in
-    the growing series, and keeps ``alpha`` of the previous value. The state is written out every few
-    steps, which keeps the plan short.
+    Entities do not depend on each other, so their states are spread over the cluster once and each
+    task rolls its batches forward in memory: every step predicts from the frozen features and the
+    lags found in the growing series, and keeps ``alpha`` of the previous value. One pass, no lineage
+    to cut and no job per step.
     """
+    spark = states.sparkSession
     present = [f for f in feats if f in states.columns]
-    names = [*present, *[f"lag_{n}" for n in LAGS]]
-    keep = max(LAGS)
-    state = states.select(key, "last_date", *present, F.col("recent").cast("array<double>").alias("recent"), F.array().cast("array<double>").alias("path"))
-    for step in range(1, horizon + 1):
-        size = F.size("recent")
-        lagged = state.withColumns(
-            {f"lag_{n}": F.when(size >= n, F.get("recent", size - n)).otherwise(F.lit(0.0)) for n in LAGS}
-        )
-        scored = predict(lagged, model, names, "_raw")
-        value = F.greatest(F.element_at("recent", -1) * alpha + F.col("_raw") * (1 - alpha), F.lit(0.0))
-        grown = F.concat("recent", F.array("_next"))
-        state = scored.withColumn("_next", value).select(
-            key,
-            "last_date",
-            *present,
-            F.when(F.size(grown) > keep, F.slice(grown, -keep, keep)).otherwise(grown).alias("recent"),
-            F.concat("path", F.array("_next")).alias("path"),
-        )
-        if step % cut_every == 0 and step < horizon:
-            state = cut_lineage(state, "forecast")
-    days = state.select(key, "last_date", F.posexplode("path").alias("_i", "_value"))
-    dated = days.select(key, F.date_add("last_date", (F.col("_i") + 1).cast("int")).alias(date), "_value")
-    return dated.select(key, date, rolling_mean_col("_value", series(key, date), SMOOTHING).alias("ML_Future"))
+    forest = spark.sparkContext.broadcast(Forest(spark, model))
+    width = max(LAGS)
+
+    def roll(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            frozen = batch[present].fillna(0.0).to_numpy(dtype=float)
+            # Series are right-aligned; what lies before their start counts as zero, as missing lags do.
+            grown = np.zeros((len(batch), width + horizon))
+            for at, recent in enumerate(batch["recent"]):
+                tail = np.asarray(recent, dtype=float)[-width:]
+                grown[at, width - len(tail) : width] = tail
+            for now in range(width, width + horizon):
+                lags = [grown[:, now - n] for n in LAGS]
+                raw = forest.value.predict(np.column_stack([frozen, *lags]))
+                grown[:, now] = np.maximum(alpha * grown[:, now - 1] + (1 - alpha) * raw, 0.0)
+            ahead = pd.DataFrame(grown[:, width:].T).rolling(SMOOTHING, min_periods=1).mean().to_numpy().T
+            yield pd.DataFrame({"k": batch[key], "last_date": batch["last_date"], "path": list(ahead)})
+
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slim = states.select(key, "last_date", *[F.col(f).cast("double").alias(f) for f in present], "recent")
+    kind = states.schema[key].dataType.simpleString()
+    rolled = slim.repartition(parts, key).mapInPandas(roll, f"k {kind}, last_date date, path array<double>")
+    days = rolled.select(F.col("k").alias(key), "last_date", F.posexplode("path").alias("_i", "ML_Future"))
+    return days.select(key, F.date_add("last_date", (F.col("_i") + 1).cast("int")).alias(date), "ML_Future")
 
 
 def importances(spark: SparkSession, model: RandomForestRegressionModel, names: Sequence[str]) -> DataFrame:
