@@ -57,26 +57,27 @@ def _arcs(edges: DataFrame, type_: str) -> DataFrame:
     return edges.filter(F.col("type") == type_).select("src", "dst")
 
 
-def spread_reach(
-    edges: DataFrame, src: str, k: int = 3, type_: str = SPREAD, cut_every: int = 8
-) -> DataFrame:
+def spread_reach(edges: DataFrame, src: str, k: int = 3, type_: str = SPREAD) -> DataFrame:
     """Nodes within ``k`` hops along directed edges, with their smallest hop count.
 
     Each step expands the nodes reached for the first time only and keeps one row per node, so the
-    work of all steps together is bounded by the edges, not by the paths.
+    work of all steps together is bounded by the edges, not by the paths. A frontier is written out
+    before the next step starts from it: plans stay short, and an empty one ends the search.
+    ``edges`` should be a stored table, as it is scanned once per step.
     """
     arcs = _arcs(edges, type_)
-    start = arcs.filter(F.col("src") == F.lit(src)).select(F.col("dst").alias("id")).distinct()
-    frontier = start.filter(F.col("id") != F.lit(src)).withColumn("hops", F.lit(1))
-    seen = frontier
+    start = arcs.filter((F.col("src") == F.lit(src)) & (F.col("dst") != F.lit(src)))
+    frontier = start.select(F.col("dst").alias("id")).distinct().withColumn("hops", F.lit(1))
+    seen = None
     for hop in range(2, k + 1):
+        frontier = cut_lineage(frontier, "frontier")
+        seen = frontier if seen is None else seen.unionByName(frontier)
+        if frontier.isEmpty():
+            return seen
         step = arcs.join(frontier.select(F.col("id").alias("src")), "src", "left_semi")
         step = step.select(F.col("dst").alias("id")).distinct().filter(F.col("id") != F.lit(src))
         frontier = step.join(seen.select("id"), "id", "left_anti").withColumn("hops", F.lit(hop))
-        if hop % cut_every == 0:
-            frontier = cut_lineage(frontier)
-        seen = seen.unionByName(frontier)
-    return seen
+    return frontier if seen is None else seen.unionByName(frontier)
 
 
 def spread_edges_on_paths(

@@ -21,7 +21,8 @@ SESSION_CONF = {
 def local_session(cores: str = "*", app: str = "paneloom", **conf: str) -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in {**SESSION_CONF, "spark.sql.shuffle.partitions": "8", **conf}.items():
+    local = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g"}
+    for key, value in {**SESSION_CONF, **local, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
