@@ -1 +1,8 @@
 """paneloom: entity-by-day panel analytics expressed as Spark DataFrame plans."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -29,18 +29,21 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Doubles to a fixed number of digits; adding zero turns -0.0 into 0.0."""
+    """Doubles to a fixed number of digits, by way of decimals: the noise of summation order goes
+    first, so that ties come out alike in both engines. Adding zero turns -0.0 into 0.0."""
     return df.select(
         *[
-            (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name)
+            (F.round(F.col(f.name).try_cast("decimal(28,9)"), digits).cast("double") + F.lit(0.0)).alias(f.name)
+            if f.dataType.simpleString() == "double"
+            else F.col(f.name)
             for f in df.schema.fields
         ]
     )
 
 
 def round_sql(sql: str, cols: Sequence[str], digits: int = DIGITS) -> str:
-    """The same rounding around an oracle. ``WITH`` clauses stay in front of it."""
-    replaced = ", ".join(f"(round({c}, {digits}) + 0.0)::DOUBLE AS {c}" for c in cols)
+    """The same rounding around an oracle."""
+    replaced = ", ".join(f"(round(TRY_CAST({c} AS DECIMAL(28, 9)), {digits})::DOUBLE + 0.0)::DOUBLE AS {c}" for c in cols)
     return f"SELECT * REPLACE ({replaced}) FROM ({sql})"
 
 

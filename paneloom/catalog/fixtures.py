@@ -278,12 +278,14 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
 def graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """The graph as it is stored: built once, written to the shared folder, then queried."""
     from paneloom.plans.edges import panel_graph
-    from paneloom.session import scratch_path
+    from paneloom.operators.aggregates import country_metrics
+    from paneloom.session import cut_lineage, scratch_path
     from paneloom.sources.readers import read_graph
     from paneloom.sources.writers import write_graph
 
     path = scratch_path(spark, "graph")
-    write_graph(*panel_graph(panel(spark, sf), metrics(spark, sf), min_points=MIN_POINTS), path)
+    prepared = cut_lineage(panel(spark, sf), "panel")
+    write_graph(*panel_graph(prepared, country_metrics(prepared), min_points=MIN_POINTS), path)
     return read_graph(spark, path)
 
 

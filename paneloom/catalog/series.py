@@ -16,7 +16,7 @@ WINDOW = "(PARTITION BY ISO_Code ORDER BY Date"
     "flagship_top15",
     f"""WITH {fx.PANEL}, last AS (
       SELECT ISO_Code, arg_max(Confirmed, Date) AS Confirmed, arg_max(New_Cases_7d, Date) AS New_Cases_7d FROM panel GROUP BY 1)
-    SELECT ISO_Code, Confirmed, (round(New_Cases_7d, 6) + 0.0)::DOUBLE AS New_Cases_7d FROM last ORDER BY Confirmed DESC, ISO_Code LIMIT 15""",
+    SELECT ISO_Code, Confirmed, round(New_Cases_7d::DECIMAL(28, 9), 6)::DOUBLE AS New_Cases_7d FROM last ORDER BY Confirmed DESC, ISO_Code LIMIT 15""",
 )
 def flagship_top15(spark: SparkSession, sf: str) -> DataFrame:
     """Prepared panel, latest snapshot, top 15: the path every page starts with."""

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from paneloom.functions.numeric import FLAT
+from paneloom.session import cut_lineage
 
 
 def band_pairs(
@@ -85,9 +86,11 @@ def correlated_pairs(
         .filter(F.size("c") >= min_points)
         .select("key", F.col("c.day").alias("days"), F.col("c.v").alias("values"))
     )
-    blocks = F.greatest(F.lit(1), F.ceil(curves.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(block))).cast("int")
-    homed = curves.withColumn("blocks", blocks).withColumn("home", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    spread = homed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    # Written once: their number decides the number of blocks, and then they are copied from there.
+    stored = cut_lineage(curves, "curves")
+    blocks = max(1, -(-stored.count() // block))
+    homed = stored.withColumn("home", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
+    spread = homed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
         F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home", "key", "days", "values"
     )
     return spread.groupBy("i", "j").applyInPandas(

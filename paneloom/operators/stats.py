@@ -48,7 +48,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
         F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), cell(i, F.col(x), F.col(y)))
         for i, (x, y) in enumerate(pairs, 1)
     ]
-    long = rows.select(*by, F.explode(F.array_compact(F.array(*cells))).alias("c")).select(*by, "c.p", "c.a", "c.b")
+    long = rows.select(*by, F.explode(F.array(*cells)).alias("c")).filter("c is not null").select(*by, "c.p", "c.a", "c.b")
     each = long.groupBy(*by, "p").agg(F.count(F.lit(1)).alias("n"), safe_corr(F.col("a"), F.col("b")).alias("r"))
     found = each.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("p", F.struct("n", "r").alias("v")))).alias("m"))
     table = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(x).alias("x"), F.lit(y).alias("y")) for i, (x, y) in enumerate(pairs, 1)])
@@ -113,7 +113,7 @@ def exact_quantiles(
         ]
         inside.append(F.when(F.col("_v").between(lo, hi), F.lit(i)))
     frame = placed.groupBy(*by).agg(F.first("_total").alias("_total"), *below)
-    core = placed.withColumn("_i", F.explode(F.array_compact(F.array(*inside)))).select(*by, "_i", "_v", "_n")
+    core = placed.withColumn("_i", F.explode(F.array(*inside))).filter("_i is not null").select(*by, "_i", "_v", "_n")
     running = F.sum("_n").over(
         Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     )

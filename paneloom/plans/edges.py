@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from paneloom.functions.numeric import round_half_up
 from paneloom.operators.ordering import union_all
 from paneloom.operators.pairs import band_pairs, correlated_pairs
+from paneloom.session import cut_lineage
 
 SIMILAR = "SIMILAR_EPIDEMIC_PATTERN"
 POLICY = "SIMILAR_POLICY_RESPONSE"
@@ -103,13 +104,15 @@ def panel_graph(
     panel: DataFrame, metrics: DataFrame, threshold: float = CORRELATION_MIN, min_points: int = MIN_POINTS,
     policy: float = POLICY_DIFF_MAX, max_lag: int = PEAK_LAG_MAX,
 ) -> tuple[DataFrame, DataFrame]:
-    """The whole graph of a prepared panel and its entity metrics."""
+    """The whole graph of a prepared panel and its entity metrics; the metrics, one row per entity,
+    feed four of the five parts and are written out first."""
+    stored = cut_lineage(metrics, "metrics")
     return build_graph(
-        vertices_of(metrics),
+        vertices_of(stored),
         correlation_edges(panel, threshold, min_points),
-        policy_edges(metrics, policy),
-        spread_edges(metrics, max_lag),
-        belongs_edges(metrics),
+        policy_edges(stored, policy),
+        spread_edges(stored, max_lag),
+        belongs_edges(stored),
     )
 
 

@@ -151,48 +151,50 @@ def last_states(
     return ends.join(frozen, key)
 
 
-class Forest:
-    """Split tables of a fitted forest as flat arrays, for scoring inside tasks.
+def forest_tables(spark: SparkSession, model: RandomForestRegressionModel) -> dict[str, np.ndarray | int]:
+    """Splits of a fitted forest as flat arrays, for scoring inside tasks.
 
     The size is bounded by the model's parameters, ``trees * 2 ** (depth + 1)`` nodes, whatever the data.
     """
-
-    def __init__(self, spark: SparkSession, model: RandomForestRegressionModel) -> None:
-        path = scratch_path(spark, "forest")
-        model.write().save(path)
-        nodes = (
-            spark.read.parquet(f"{path}/data")
-            .select(
-                F.col("treeID").alias("tree"),
-                "nodeData.id",
-                F.col("nodeData.leftChild").alias("left"),
-                F.col("nodeData.rightChild").alias("right"),
-                F.col("nodeData.prediction").alias("value"),
-                F.col("nodeData.split.featureIndex").alias("feature"),
-                F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-            )
-            .toPandas()
-            .sort_values(["tree", "id"])
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    nodes = (
+        spark.read.parquet(f"{path}/data")
+        .select(
+            F.col("treeID").alias("tree"),
+            "nodeData.id",
+            F.col("nodeData.leftChild").alias("left"),
+            F.col("nodeData.rightChild").alias("right"),
+            F.col("nodeData.prediction").alias("value"),
+            F.col("nodeData.split.featureIndex").alias("feature"),
+            F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
         )
-        self.depth = max(t.depth for t in model.trees)
-        starts = nodes.groupby("tree")["id"].size().cumsum().shift(fill_value=0)
-        base = nodes["tree"].map(starts).to_numpy()
-        here = base + nodes["id"].to_numpy()
-        inner = nodes["left"].to_numpy() >= 0
-        self.roots = starts.to_numpy()
-        self.feature = np.where(inner, nodes["feature"].to_numpy(), 0)
-        self.threshold = np.where(inner, nodes["threshold"].to_numpy(dtype=float), np.inf)
-        self.left = np.where(inner, base + nodes["left"].to_numpy(), here)
-        self.right = np.where(inner, base + nodes["right"].to_numpy(), here)
-        self.value = nodes["value"].to_numpy()
-
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        """Mean over the trees for each row of ``x``."""
-        at = np.broadcast_to(self.roots, (len(x), len(self.roots))).copy()
-        row = np.arange(len(x))[:, None]
-        for _ in range(self.depth):
-            at = np.where(x[row, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
-        return self.value[at].mean(axis=1)
+        .toPandas()
+        .sort_values(["tree", "id"])
+    )
+    starts = nodes.groupby("tree")["id"].size().cumsum().shift(fill_value=0)
+    base = nodes["tree"].map(starts).to_numpy()
+    here = base + nodes["id"].to_numpy()
+    inner = nodes["left"].to_numpy() >= 0
+    return {
+        "depth": max(t.depth for t in model.trees),
+        "roots": starts.to_numpy(),
+        "feature": np.where(inner, nodes["feature"].to_numpy(), 0),
+        "threshold": np.where(inner, nodes["threshold"].to_numpy(dtype=float), np.inf),
+        "left": np.where(inner, base + nodes["left"].to_numpy(), here),
+        "right": np.where(inner, base + nodes["right"].to_numpy(), here),
+        "value": nodes["value"].to_numpy(),
+    }
+
+
+def forest_scores(tables: dict[str, np.ndarray | int], x: np.ndarray) -> np.ndarray:
+    """Mean over the trees for each row of ``x``; leaves point at themselves."""
+    at = np.broadcast_to(tables["roots"], (len(x), len(tables["roots"]))).copy()
+    row = np.arange(len(x))[:, None]
+    for _ in range(tables["depth"]):
+        goes_left = x[row, tables["feature"][at]] <= tables["threshold"][at]
+        at = np.where(goes_left, tables["left"][at], tables["right"][at])
+    return tables["value"][at].mean(axis=1)
 
 
 def forecast(
@@ -213,7 +215,7 @@ def forecast(
     """
     spark = states.sparkSession
     present = [f for f in feats if f in states.columns]
-    forest = spark.sparkContext.broadcast(Forest(spark, model))
+    forest = spark.sparkContext.broadcast(forest_tables(spark, model))
     width = max(LAGS)
 
     def roll(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,7 +228,7 @@ def forecast(
                 grown[at, width - len(tail) : width] = tail
             for now in range(width, width + horizon):
                 lags = [grown[:, now - n] for n in LAGS]
-                raw = forest.value.predict(np.column_stack([frozen, *lags]))
+                raw = forest_scores(forest.value, np.column_stack([frozen, *lags]))
                 grown[:, now] = np.maximum(alpha * grown[:, now - 1] + (1 - alpha) * raw, 0.0)
             ahead = pd.DataFrame(grown[:, width:].T).rolling(SMOOTHING, min_periods=1).mean().to_numpy().T
             yield pd.DataFrame({"k": batch[key], "last_date": batch["last_date"], "path": list(ahead)})

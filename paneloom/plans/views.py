@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paneloom.dims import event_dim
 from paneloom.functions.classes import above_one
-from paneloom.functions.text import label_expr
+from paneloom.functions.text import label_of
 from paneloom.operators import aggregates as A, stats as ST
 from paneloom.operators.filters import between_dates, for_key
 from paneloom.operators.ordering import top_n
@@ -221,8 +221,8 @@ def policy_matrix(df: DataFrame, key: str | None = None, date_range: Range = Non
     """Weekly means on a gapless calendar, labelled."""
     present = [c for c in POLICIES if c in df.columns]
     wide = A.weekly_mean(scope(df, key, date_range), present, KEY, DAY)
-    long = wide.unpivot([KEY, "week_end"], present, "measure", "value")
-    return long.select(KEY, "week_end", label_expr("measure").alias("label"), "value")
+    labelled = wide.withColumnsRenamed({c: label_of(c) for c in present})
+    return labelled.unpivot([KEY, "week_end"], [label_of(c) for c in present], "label", "value")
 
 
 def cases_vs_stringency(df: DataFrame, key: str | None = None, date_range: Range = None) -> DataFrame:
@@ -315,7 +315,7 @@ def stacked(df: DataFrame, cols: Sequence[str], k: int = 3) -> DataFrame:
         cells.append(
             F.when(shown, F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"), below.alias("stacked")))
         )
-    long = rows.select(KEY, DAY, F.explode(F.array_compact(F.array(*cells))).alias("m"))
+    long = rows.select(KEY, DAY, F.explode(F.array(*cells)).alias("m")).filter("m is not null")
     return long.select(KEY, DAY, "m.measure", "m.value", "m.stacked").filter("value is not null")
 
 

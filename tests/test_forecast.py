@@ -50,7 +50,7 @@ def test_too_few_rows_give_no_model(panel):
 def test_task_side_forest_equals_the_model(spark, model):
     featured, _, names, fitted, _ = model
     scored = ML.predict(featured, fitted, names).select(*names, "_pred").toPandas()
-    mine = ML.Forest(spark, fitted).predict(scored[names].fillna(0).to_numpy(float))
+    mine = ML.forest_scores(ML.forest_tables(spark, fitted), scored[names].fillna(0).to_numpy(float))
     np.testing.assert_allclose(mine, scored["_pred"], rtol=1e-12)
 
 
@@ -59,13 +59,13 @@ def test_forecast_step_by_step(spark, model):
     states = ML.last_states(featured, target, FEATS)
     ahead = ML.forecast(fitted, states, FEATS, horizon=25).toPandas().sort_values(["ISO_Code", "Date"])
     assert ahead.groupby("ISO_Code").size().tolist() == [25] * 3 and (ahead["ML_Future"] >= 0).all()
-    forest = ML.Forest(spark, fitted)
+    forest = ML.forest_tables(spark, fitted)
     for row in states.collect():
         series, frozen = list(row["recent"]), [row[f] for f in FEATS]
         start = len(series)
         for _ in range(25):
             lags = [series[-n] if len(series) >= n else 0.0 for n in ML.LAGS]
-            raw = forest.predict(np.array([[*frozen, *lags]]))[0]
+            raw = ML.forest_scores(forest, np.array([[*frozen, *lags]]))[0]
             series.append(max(0.85 * series[-1] + 0.15 * raw, 0.0))
         want = [np.mean(series[start:][max(0, i - 6) : i + 1]) for i in range(25)]
         part = ahead[ahead["ISO_Code"] == row["ISO_Code"]]

@@ -154,3 +154,24 @@ def test_graph_page(drawn):
 
     page = graph_page(*drawn, "AAA")
     assert page["reach"].count() == 4 and page["density"].count() == 1
+
+
+def test_task_code_travels_without_the_package(tmp_path):
+    """Executors have no copy of the package: the pickled function has to load and run on its own."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from paneloom.operators.pairs import _block_edges
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(_block_edges(0.5, False)))
+    code = """
+import pickle, sys
+import pandas as pd
+f = pickle.load(open(sys.argv[1], "rb"))
+g = pd.DataFrame({"i": 0, "j": 0, "home": 0, "key": ["a", "b"], "days": [[1, 2, 3]] * 2, "values": [[1.0, 2.0, 3.0], [2.0, 4.0, 6.0]]})
+print(len(f(g)), "paneloom" in sys.modules)
+"""
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "f.pkl")], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == ["1", "False"]
