@@ -32,6 +32,7 @@ KEY_LIKE = (
 BREAKDOWN_COLUMNS = ("age_group", "age", "vaccine", "manufacturer", "state")
 
 MAX_PIVOT_COLUMNS = 10_000
+WIDE_AGGREGATE = 32
 
 
 def normalize_columns(df: DataFrame, aliases: Mapping[str, str] = COLUMN_ALIASES) -> DataFrame:
@@ -199,12 +200,16 @@ def pivot_first(
 ) -> DataFrame:
     """Long to wide, the first value by ``order`` per cell (ties by value).
 
-    ``min_by`` combines on the map side, so a cell or key that holds most of the rows costs no
-    task more than its share.
+    ``min`` over structs combines on the map side, so a cell or key that holds most of the rows costs
+    no task more than its share. A few names are columns of a single aggregate; many names go through
+    Spark's own two-step pivot, whose rows stay narrow until the end.
     """
     labels = list(names) if names is not None else category_values(df, name)
-    rank = F.struct(*[F.col(c) for c in order], F.col(value))
-    wide = df.groupBy(*keys).pivot(name, labels).agg(F.min_by(value, rank))
+    ranked = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.col(value).alias("_v"))
+    if len(labels) <= WIDE_AGGREGATE:
+        cells = [F.min(F.when(F.col(name) == F.lit(n), ranked))["_v"].alias(underscore_name(n)) for n in labels]
+        return df.groupBy(*keys).agg(*cells)
+    wide = df.groupBy(*keys).pivot(name, labels).agg(F.min_by(value, ranked))
     return wide.withColumnsRenamed({n: underscore_name(n) for n in labels})
 
 

@@ -50,13 +50,15 @@ def test_casts_never_raise(spark, rows):
     assert rows(schema.clean_nonfinite(dirty)) == [(1.0,), (None,), (None,), (None,), (None,)]
 
 
-def test_pivot_takes_the_first_row_even_if_null(spark, rows):
+def test_pivot_takes_the_first_row_even_if_null(spark, rows, monkeypatch):
     long = spark.createDataFrame(
         [("A", 1, "new tests", None, 1), ("A", 1, "new tests", 7.0, 2), ("A", 1, "beds", 3.0, 5), ("A", 1, "beds", 4.0, 4)],
         "k string, d int, indicator string, value double, seq int",
     )
-    wide = schema.pivot_first(long, ["k", "d"], "indicator", "value", ["seq"])
-    assert rows(wide.select("k", "d", "beds", "new_tests")) == [("A", 1, 4.0, None)]
+    for limit in (32, 0):
+        monkeypatch.setattr(schema, "WIDE_AGGREGATE", limit)
+        wide = schema.pivot_first(long, ["k", "d"], "indicator", "value", ["seq"])
+        assert rows(wide.select("k", "d", "beds", "new_tests")) == [("A", 1, 4.0, None)]
 
 
 def test_pivot_refuses_unbounded_names(spark):
