@@ -88,7 +88,7 @@ def test_column_finders(spark):
 
 
 def test_filters(spark, rows):
-    df = spark.createDataFrame([("ITA",), ("OWID_WRL",), ("OWI",), (None,), ("IT",)], "ISO_Code string")
+    df = spark.createDataFrame([("ITA",), ("OWI_WRL",), ("OWI",), (None,), ("IT",)], "ISO_Code string")
     assert rows(filters.exclude_prefix(filters.valid_iso(df))) == [("ITA",)]
     dated = spark.createDataFrame([("on 2020-01-02T00:00",), ("none",), (None,)], "Date string")
     assert rows(filters.valid_day(dated)) == [("2020-01-02",)]
