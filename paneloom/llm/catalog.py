@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paneloom.catalog.base import query, table
+from paneloom.llm.bpe import encode_documents
+from paneloom.llm.counts import count_tokens
 from paneloom.llm.lines import dedup_lines
+from paneloom.llm.postings import decontaminate
+from paneloom.llm.setsketch import near_duplicates
 from paneloom.llm.sharding import shard_documents
 
+#: Folder of the public tokenizer files; every worker has it at the same place.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 BID_SQL = (
@@ -68,3 +77,83 @@ FROM marked GROUP BY doc_id
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf, "documents"), min_chars=20, min_docs=3)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op3_bpe_round_trip")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    coded = encode_documents(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", decode=True)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return count_tokens(table(spark, sf, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", limit=4096)
+
+
+NEAR_SQL = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM texts WHERE len(w) > 0
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common, any_value(x.n) AS nx, any_value(y.n) AS ny
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n
+    GROUP BY x.doc_id, y.doc_id
+  ) WHERE 100 * common >= 80 * (nx + ny - common)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), named AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(len(s), 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  doc_id = coalesce(component_id, doc_id) AS kept
+FROM documents LEFT JOIN sets USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op8_near_duplicates", NEAR_SQL)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"), size=2, percent=80)
+
+
+TERMS_SQL = "regexp_extract_all(" + LOWER_SQL.format("coalesce(text, '')") + ", '[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+
+DECONTAMINATION_SQL = f"""
+WITH items AS (
+  SELECT item_id, w, least(13, len(w)) AS size FROM (SELECT item_id, {TERMS_SQL} AS w FROM benchmark) WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM items)
+), docs AS (
+  SELECT doc_id, {TERMS_SQL} AS w FROM documents
+), places AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, (SELECT DISTINCT size FROM windows))
+), found AS (
+  SELECT doc_id, i, places.size, item FROM places JOIN windows ON places.phrase = windows.phrase AND places.size = windows.size
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id
+), owners AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)
+"""
+
+
+@query("op9_decontamination", DECONTAMINATION_SQL)
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=13, share=(1, 20))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
