@@ -53,6 +53,7 @@ def keep_bitmaps(
     repeated = (
         first.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs).drop("n")
     )
+    repeated = cut_lineage(repeated, "repeated")  # as a table of its own, the plan can split its join
     gone = rows.join(repeated, KEY).where(~F.col("doc_id").eqNullSafe(F.col("last")))
     bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
     words = gone.groupBy("doc_id", F.shiftright("at", 32).alias("version"), F.expr("cast((at & 4294967295) >> 6 as int)").alias("word")).agg(
