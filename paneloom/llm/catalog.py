@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paneloom.catalog.base import query, table
 from paneloom.llm.bpe import encode_documents
 from paneloom.llm.counts import count_tokens
+from paneloom.llm.licenses import ANCHORS, COPYRIGHT, KNOWN, SPELLINGS, scan_licenses
 from paneloom.llm.lines import dedup_lines
+from paneloom.llm.lm import score_documents
 from paneloom.llm.postings import decontaminate
+from paneloom.llm.quality import judge_quality
+from paneloom.llm.ranking import rank_quality
 from paneloom.llm.setsketch import near_duplicates
 from paneloom.llm.sharding import shard_documents
+from paneloom.llm.tasks import crc_of_id
 
 #: Folder of the public tokenizer files; every worker has it at the same place.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -95,6 +100,25 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(table(spark, sf, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", limit=4096)
 
 
+@query("op5_quality_rules")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"), threshold=0.5).drop("probability")
+
+
+@query("op6_language_model")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = crc_of_id() % 7 == 2
+    scored = score_documents(table(spark, sf, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op7_quality_ranking")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = crc_of_id() % 5 == 0
+    scored = rank_quality(table(spark, sf, "documents"), table(spark, sf, "labels"), "quality", among=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 NEAR_SQL = f"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
@@ -157,3 +181,45 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
     )
+
+
+def canonical_sql(text: str) -> str:
+    out = f"regexp_replace({LOWER_SQL.format(text)}, '{COPYRIGHT}', '', 'g')"
+    out = f"' ' || regexp_replace({out}, '[^a-z0-9]+', '  ', 'g') || ' '"
+    for old, new in SPELLINGS.items():
+        out = f"replace({out}, ' {old.replace(' ', '  ')} ', ' {new} ')"
+    return f"sha256(trim(regexp_replace({out}, ' +', ' ', 'g')))"
+
+
+KNOWN_SQL = ", ".join("({}, {})".format(*(f"""'{x.replace("'", "''")}'""" for x in pair)) for pair in KNOWN.items())
+ANCHOR_SQL = " OR ".join(f"contains(lower(unit), '{a}')" for a in ANCHORS)
+
+LICENSE_SQL = f"""
+WITH known AS (
+  SELECT license, {canonical_sql("text")} AS digest FROM (VALUES {KNOWN_SQL}) AS t(license, text)
+), units AS (
+  SELECT doc_id, true AS entire, text AS unit FROM documents
+  UNION ALL SELECT doc_id, false, unnest(string_split(text, chr(10))) FROM documents
+  UNION ALL SELECT doc_id, false, unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n')) FROM documents
+), found AS (
+  SELECT doc_id, entire, license FROM (SELECT doc_id, entire, {canonical_sql("unit")} AS digest FROM units WHERE {ANCHOR_SQL}) JOIN known USING (digest)
+), named AS (
+  SELECT doc_id, min(license) FILTER (WHERE entire) AS whole, count(DISTINCT license) FILTER (WHERE NOT entire) AS n_parts,
+    coalesce(string_agg(DISTINCT license, ',' ORDER BY license) FILTER (WHERE NOT entire), '') AS parts
+  FROM found GROUP BY doc_id
+)
+SELECT doc_id, whole, coalesce(n_parts, 0)::BIGINT AS n_parts, coalesce(parts, '') AS parts, n_parts IS NOT NULL AS licensed
+FROM documents LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op10_license_scan", LICENSE_SQL)
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "whole",
+        F.size("parts").cast("long").alias("n_parts"),
+        F.array_join("parts", ",").alias("parts"),
+        (F.col("whole").isNotNull() | (F.size("parts") > 0)).alias("licensed"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from paneloom.llm.tasks import documents, lower_ascii
+from paneloom.llm.tasks import documents, lower_ascii, unused
 from paneloom.session import cut_lineage
 
 SPACE = " \t\n\u000b\f\r"
@@ -67,20 +67,19 @@ def keep_bitmaps(
 
 def drop_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` cut to the kept lines, and ``n_lines``, ``n_dropped`` added or replaced."""
-    marks = bitmaps.select(
-        F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("dropped").alias("__dropped"), F.col("n_dropped").alias("__n")
-    )
+    own, key, mark, dropped, number = (unused(docs, f"__{n}") for n in ("version", "key", "mark", "dropped", "number"))
+    marks = bitmaps.select(*[F.col(a).alias(b) for a, b in zip(("doc_id", "version", "dropped", "n_dropped"), (key, mark, dropped, number))])
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("__v", version(F.col(text_col)))
-    joined = keyed.join(marks, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version")), "left")
-    word = lambda i: F.coalesce(F.element_at("__dropped", F.floor(i / 64).cast("int")), F.lit(0))
+    keyed = docs.withColumn(own, version(F.col(text_col)))
+    joined = keyed.join(marks, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(mark)), "left")
+    word = lambda i: F.coalesce(F.element_at(dropped, F.floor(i / 64).cast("int")), F.lit(0))
     kept = F.filter(split_lines(F.col(text_col)), lambda line, i: F.expr("1L").bitwiseAND(F.call_function("shiftright", word(i), i % 64)) == 0)
     new = {
         "n_lines": F.size(split_lines(F.col(text_col))).cast("long"),
-        "n_dropped": F.coalesce("__n", F.lit(0)).cast("long"),
-        text_col: F.when(F.col("__dropped").isNull(), text).otherwise(F.array_join(kept, "\n")),
+        "n_dropped": F.coalesce(number, F.lit(0)).cast("long"),
+        text_col: F.when(F.col(dropped).isNull(), text).otherwise(F.array_join(kept, "\n")),
     }
-    return joined.withColumns(new).drop("__v", "__id", "__version", "__dropped", "__n")
+    return joined.withColumns(new).drop(own, key, mark, dropped, number)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

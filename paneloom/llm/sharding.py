@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from paneloom.llm.tasks import documents
+from paneloom.llm.tasks import documents, unused
 from paneloom.session import cut_lineage
 
 DIGITS = 13  # hex digits of the digest that make the uniform number: 52 bits, exact in a double
@@ -36,10 +36,11 @@ def assign(df: DataFrame, keys: Sequence[str], weights: Sequence[float], grown:
     Columns of these names in ``df`` are replaced. A null key is a key of its own.
     """
     key = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in keys])
-    won = df.withColumn("__won", winner(key, weights))
+    name = unused(df, "__won")
+    won = df.withColumn(name, winner(key, weights))
     more = [bid(key, len(weights) + i, w) for i, w in enumerate(grown) if w > 0]
-    after = F.least("__won", *more) if more else F.col("__won")
-    return won.withColumn("grown_shard", after["shard"]).withColumn("shard", F.col("__won")["shard"]).drop("__won")
+    after = F.least(name, *more) if more else F.col(name)
+    return won.withColumn("grown_shard", after["shard"]).withColumn("shard", F.col(name)["shard"]).drop(name)
 
 
 def with_slots(df: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -24,6 +24,13 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(col: Column) -> Column:
     """A-Z to a-z and nothing else. Pure ASCII takes the fast built-in, which does the same there."""
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(
@@ -128,7 +135,7 @@ class SharedArrays:
             pad = -len(data) % 8
             parts += [data, b"\0" * pad]
             at += len(data) + pad
-        blob, folder = b"".join(parts), mounted_dir(spark, name)
+        blob, folder = b"".join(parts) or bytes(8), mounted_dir(spark, name)  # an empty file cannot be mapped
         self.path = self.sent = None
         if folder is None:
             self.sent = spark.sparkContext.broadcast(blob)
