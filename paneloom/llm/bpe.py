@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -17,13 +18,15 @@ from paneloom.llm.tasks import SharedArrays, documents
 
 LEXICON_WORDS = 50_000  # words compiled into the transducer: about 2 MB
 CACHED = 200_000  # strings that a worker remembers
+SIDE_BY_SIDE = 32  # bytes of the longest words that are merged side by side
+UNRANKED = 1 << 40
 CHUNK = 1_000_000  # characters of text that are looked up together
 
 # The pattern that splits text before merges, with Unicode white space spelled out.
 WHITE = r"\t-\r\x20\x85\xa0  -     　"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-#: White space other than single spaces and line ends between words: such texts are split by the pattern.
-ODD = re.compile(r"[^\S \n]|\s\s|^\s|\s\Z")
+#: A piece that is empty, a mere line end, or holds other white space: its text is split by the pattern instead.
+ODD = re.compile(r"\n?\Z|.+\s", re.DOTALL)
 
 
 class Vocabulary:
@@ -46,20 +49,87 @@ class Vocabulary:
         for token, number in self.added.items():
             self.bytes[number] = token.encode()
         pairs = (x.split(" ") if isinstance(x, str) else x for x in told["model"]["merges"])
-        self.merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        merges = [(ids[a], ids[b], ids[a + b]) for a, b in pairs]
+        self.merges = {(a, b): (rank, new) for rank, (a, b, new) in enumerate(merges)}
+        keys = np.array([a << 32 | b for a, b, _ in merges], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.ranks, self.merged = keys[order], order, np.array([new for *_, new in merges], np.int64)
         self.cut = re.compile("|".join(f"({re.escape(x)})" for x in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.word = regex.compile(WORD)
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of one word: the pair of the lowest rank is merged, the leftmost first, until none is left."""
-        out = [self.first[b] for b in word]
-        while len(out) > 1:
-            rank, at = min((self.merges.get(pair, (1 << 60,))[0], k) for k, pair in enumerate(zip(out, out[1:])))
-            if rank == 1 << 60:
-                break
-            out[at : at + 2] = [self.merges[out[at], out[at + 1]][1]]
+        """Ids of one word: the pair of the lowest rank is merged, the leftmost first, until none is left.
+        A heap of pairs over a chain of pieces keeps words of any length near linear time."""
+        ids, after, ahead = [self.first[b] for b in word], list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
+        none = (1 << 60, -1)
+        heap = [(self.merges.get((ids[k], ids[k + 1]), none)[0], k, ids[k], ids[k + 1]) for k in range(len(ids) - 1)]
+        heap = [x for x in heap if x[0] < none[0]]
+        heapify(heap)
+        while heap:
+            _, k, a, b = heappop(heap)
+            n = after[k] if ids[k] == a else len(ids)
+            if n >= len(ids) or ids[n] != b:
+                continue  # one of the two has been merged meanwhile
+            ids[k], ids[n] = self.merges[a, b][1], -1
+            after[k] = after[n]
+            if after[n] < len(ids):
+                ahead[after[n]] = k
+            for x, y in ((ahead[k], k), (k, after[k])):
+                if x >= 0 and y < len(ids) and (rank := self.merges.get((ids[x], ids[y]), none)[0]) < none[0]:
+                    heappush(heap, (rank, x, ids[x], ids[y]))
+        return [x for x in ids if x >= 0]
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids; UNRANKED for pairs without a merge."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], UNRANKED)
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words. Short words of about one length are merged side by side, a pair of each
+        in a step; longer ones, of which there are few, one by one."""
+        out: list[list[int]] = [[]] * len(words)
+        groups: dict[int, list[int]] = {}
+        for k, word in enumerate(words):
+            groups.setdefault((len(word) - 1).bit_length(), []).append(k)
+        for size, group in groups.items():
+            if 1 << size > SIDE_BY_SIDE or not len(self.keys):
+                for k in group:
+                    out[k] = self.merge(words[k])
+                continue
+            for start in range(0, len(group), 20_000):
+                part = group[start : start + 20_000]
+                for k, ids in zip(part, self.merge_side_by_side([words[k] for k in part])):
+                    out[k] = ids
         return out
 
+    def merge_side_by_side(self, words: list[bytes]) -> list[list[int]]:
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        width = max(2, int(lengths.max()))
+        ids = np.full((len(words), width), -1, np.int64)
+        ids[np.arange(width) < lengths[:, None]] = np.array(self.first)[np.frombuffer(b"".join(words), np.uint8)]
+        rank = self.rank(ids[:, :-1], ids[:, 1:])
+        alive, column = np.arange(len(words)), np.arange(width)
+        while True:
+            at = rank[alive].argmin(1)
+            best = rank[alive, at]
+            alive, at, best = (x[best < UNRANKED] for x in (alive, at, best))
+            if not len(alive):
+                break
+            own, old = ids[alive], rank[alive]
+            behind = column > at[:, None]
+            own = np.where(behind, np.pad(own[:, 1:], ((0, 0), (0, 1)), constant_values=-1), own)
+            row = np.arange(len(alive))
+            own[row, at] = self.merged[best]
+            old = np.where(behind[:, :-1], np.pad(old[:, 1:], ((0, 0), (0, 1)), constant_values=UNRANKED), old)
+            inner = np.flatnonzero(at < width - 1)
+            old[inner, at[inner]] = self.rank(own[inner, at[inner]], own[inner, at[inner] + 1])
+            later = np.flatnonzero(at > 0)
+            old[later, at[later] - 1] = self.rank(own[later, at[later] - 1], own[later, at[later]])
+            ids[alive], rank[alive] = own, old
+        kept = (ids >= 0).sum(1).tolist()
+        return [row[:n] for row, n in zip(ids.tolist(), kept)]
+
 
 def compile_words(entries: dict[bytes, list[int]]) -> dict[str, np.ndarray]:
     """A minimal acyclic transducer as flat arrays.
@@ -146,13 +216,15 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: dict[str, np.ndarray] | None = None, cached: int = CACHED):
         self.v, self.lexicon, self.cached = vocabulary, lexicon or compile_words({}), cached
-        self.pieces: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...] | None] = {}  # None: odd
+        self.words: dict[str, tuple[int, ...]] = {}
 
     def learn_words(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words]
-        for word, ids in zip(new, look_up(self.lexicon, [w.encode() for w in new])):
-            self.words[word] = self.v.merge(word.encode()) if ids is None else ids
+        found = look_up(self.lexicon, [w.encode() for w in new])
+        unseen = [w for w, ids in zip(new, found) if ids is None]
+        self.words.update((w, tuple(ids)) for w, ids in zip(new, found) if ids is not None)
+        self.words.update(zip(unseen, map(tuple, self.v.merge_all([w.encode() for w in unseen]))))
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Added tokens inside a text are themselves, as the library does by default."""
@@ -160,37 +232,31 @@ class Encoder:
             self.pieces.clear()
         if len(self.words) > self.cached:
             self.words.clear()
-        plan: list[list[tuple[str, list]]] = []
-        pieces: set[str] = set()
-        words: set[str] = set()
+        plan: list[list[tuple[str, list[str]]]] = []
+        met: set[str] = set()
         for text in texts:
-            parts = []
-            for part in self.v.cut.split(text or "") if self.v.cut else [text or ""]:
-                if not part:
-                    continue
-                if part in self.v.added:
-                    parts.append(("added", [part]))
-                elif ODD.search(part):
-                    parts.append(("words", found := self.v.word.findall(part)))
-                    words.update(found)
-                else:
-                    parts.append(("pieces", found := spaced(part)))
-                    pieces.update(found)
-            plan.append(parts)
-        new = {p: self.v.word.findall(p if p[:1] == "\n" else " " + p) for p in pieces if p not in self.pieces}
-        self.learn_words(words.union(*new.values()) if new else words)
+            parts = [x for x in (self.v.cut.split(text) if self.v.cut else [text]) if x] if text else []
+            plan.append([(x, [] if x in self.v.added else spaced(x)) for x in parts])
+            for _, pieces in plan[-1]:
+                met.update(pieces)
+        new = {p: None if ODD.match(p) else self.v.word.findall(p if p[0] == "\n" else " " + p) for p in met if p not in self.pieces}
+        self.learn_words(set(chain.from_iterable(inside for inside in new.values() if inside)))
+        word = self.words.__getitem__
         for piece, inside in new.items():
-            self.pieces[piece] = self.words[inside[0]] if len(inside) == 1 else list(chain.from_iterable(map(self.words.__getitem__, inside)))
+            self.pieces[piece] = None if inside is None else word(inside[0]) if len(inside) == 1 else tuple(chain.from_iterable(map(word, inside)))
         return [list(chain.from_iterable(self.ids_of(*part) for part in parts)) for parts in plan]
 
-    def ids_of(self, kind: str, parts: list[str]) -> list[int]:
-        if kind == "added":
-            return [self.v.added[parts[0]]]
-        if kind == "words":
-            return list(chain.from_iterable(map(self.words.__getitem__, parts)))
-        out = list(chain.from_iterable(map(self.pieces.__getitem__, parts)))
-        del out[0]  # the line end given to the first piece
-        return out
+    def ids_of(self, part: str, pieces: list[str]) -> list[int]:
+        if not pieces:
+            return [self.v.added[part]]
+        found = list(map(self.pieces.__getitem__, pieces))
+        if None not in found:
+            out = list(chain.from_iterable(found))
+            del out[0]  # the line end given to the first piece
+            return out
+        inside = self.v.word.findall(part)
+        self.learn_words(set(inside))
+        return list(chain.from_iterable(map(self.words.__getitem__, inside)))
 
 
 def decode_ids(vocabulary: Vocabulary, ids: list[int]) -> str:
@@ -203,7 +269,8 @@ def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> Sha
     vocabulary = Vocabulary(path)
     pieces = frequent_strings(docs, spaced, words)
     inside = dict.fromkeys(chain.from_iterable(vocabulary.word.findall(p if p[:1] == "\n" else " " + p) for p in pieces))
-    entries = {w.encode(): vocabulary.merge(w.encode()) for w in list(inside)[:words]}
+    frequent = [w.encode() for w in list(inside)[:words]]
+    entries = dict(zip(frequent, vocabulary.merge_all(frequent)))
     return SharedArrays(docs.sparkSession, "lexicon", compile_words(entries))
 
 
