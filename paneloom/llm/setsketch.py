@@ -105,17 +105,31 @@ def sketches(docs: DataFrame, size: int, sketch: Sketch) -> DataFrame:
 
 
 def band_rows(classes: DataFrame, sketch: Sketch) -> DataFrame:
-    """(bucket, rep): a row for each class and band."""
+    """(band, bucket, rep): a row for each class and band."""
     wide = 2 * sketch.rows
     keys = [F.xxhash64(F.lit(k), F.substring("registers", k * wide + 1, wide)) for k in range(sketch.bands)]
-    return classes.select(F.explode(F.array(*keys)).alias("bucket"), "rep")
+    return classes.select(F.posexplode(F.array(*keys)).alias("band", "bucket"), "rep")
 
 
-def compare(sketch: Sketch, n_left, left, n_right, right) -> np.ndarray:
-    """Estimated similarity of row i on the left and row i on the right."""
-    left, right = np.frombuffer(b"".join(left), np.uint16), np.frombuffer(b"".join(right), np.uint16)
-    left, right = left.reshape(-1, sketch.registers), right.reshape(-1, sketch.registers)
-    return sketch.similarity(np.asarray(n_left, float), np.asarray(n_right, float), (left > right).sum(1), (left < right).sum(1))
+def matrix(registers: pa.Array, sketch: Sketch) -> np.ndarray:
+    """The registers of a column, a row each, without copying them."""
+    width = 2 * sketch.registers
+    first = registers.offset * width
+    return np.frombuffer(registers.buffers()[2], np.uint16, len(registers) * sketch.registers, first).reshape(-1, sketch.registers)
+
+
+def compare(sketch: Sketch, n_left, left: np.ndarray, n_right, right: np.ndarray, least: float) -> np.ndarray:
+    """Estimated similarity of row i on the left and row i on the right; 0 where the set sizes alone, or far
+    too few equal registers, rule ``least`` out."""
+    out = np.zeros(len(left))
+    n_left, n_right = np.asarray(n_left, float), np.asarray(n_right, float)
+    able = np.flatnonzero(np.minimum(n_left, n_right) >= least * np.maximum(n_left, n_right))
+    equal = (left[able] == right[able]).sum(1)
+    able = able[equal >= (least - 0.05) * sketch.registers]
+    if len(able):
+        x, y = left[able], right[able]
+        out[able] = sketch.similarity(n_left[able], n_right[able], (x > y).sum(1), (x < y).sum(1))
+    return out
 
 
 def likely_stars(stars: DataFrame, classes: DataFrame, sketch: Sketch, least: float) -> DataFrame:
@@ -126,8 +140,8 @@ def likely_stars(stars: DataFrame, classes: DataFrame, sketch: Sketch, least: fl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             if x.num_rows:
-                cell = {name: x.column(name).to_pylist() for name in ("n_a", "r_a", "n_b", "r_b")}
-                found = compare(sketch, cell["n_a"], cell["r_a"], cell["n_b"], cell["r_b"])
+                sizes = [x.column(name).to_numpy() for name in ("n_a", "n_b")]
+                found = compare(sketch, sizes[0], matrix(x.column("r_a"), sketch), sizes[1], matrix(x.column("r_b"), sketch), least)
                 near = pa.array(found >= least)
                 yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b"), pa.array(found)], names=["a", "b", "near"]).filter(near)
 
@@ -136,43 +150,91 @@ def likely_stars(stars: DataFrame, classes: DataFrame, sketch: Sketch, least: fl
     return scored.join(best, ["b", "near"]).groupBy("b").agg(F.min("a").alias("a"))
 
 
-def stray_pairs(bands: DataFrame, classes: DataFrame, labels: DataFrame, sketch: Sketch, least: float, block: int) -> DataFrame:
-    """Likely pairs inside buckets whose classes are still in several components.
+class Block:
+    """Classes of a bucket in a task."""
+
+    def __init__(self, cell: pa.ListScalar, sketch: Sketch):
+        self.rows = cell.values
+        self.label, self.rep, self.stray = (np.array(self.rows.field(f).to_pylist(), object) for f in ("label", "rep", "stray"))
+        self.registers, self.n = matrix(self.rows.field("registers"), sketch), self.rows.field("n").to_numpy()
+        self.sets: dict[int, np.ndarray] = {}
+
+    def likely(self, k: int, others: Block, sketch: Sketch, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Which others of another component class ``k`` may be linked with, the likeliest first; two strays
+        meet once."""
+        met = np.flatnonzero((others.label != self.label[k]) & (~others.stray.astype(bool) | (others.rep > self.rep[k])))
+        mine = np.broadcast_to(self.registers[k], (len(met), sketch.registers))
+        found = compare(sketch, np.full(len(met), self.n[k]), mine, others.n[met], others.registers[met], least)
+        order = np.argsort(-found, kind="stable")
+        return met[order[found[order] >= least]], mine
+
+    def elements(self, k: int, hashes: WordHashes, size: int) -> np.ndarray:
+        if k not in self.sets:
+            self.sets[k] = shingle_hashes(hashes.of(words(self.rows.field("text")[k].as_py())), size)
+        return self.sets[k]
+
+
+def stray_links(
+    members: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int, sketch: Sketch, least: float, block: int
+) -> DataFrame:
+    """Links (a, b) inside buckets whose classes are still in several components.
 
     In such a bucket the classes outside its largest component, the strays, meet all others. Both sides are
-    dealt into blocks of about ``block`` classes; a task compares a block with a block by their registers
-    and returns only the likely pairs that would join two components.
+    dealt into blocks of about ``block`` classes, and a task compares a block with a block: a first pass, by
+    registers alone, finds the buckets that hold a likely pair; a second one, over these buckets with their
+    texts, verifies the likely pairs where they are, the likeliest first. Only links leave a task, and of a
+    class and a component one is enough. A pair that shares several bands is verified in the first one.
     """
     kind = classes.schema["rep"].dataType.simpleString()
-    crowded = bands.groupBy("bucket").agg(F.count("*").alias("n_all")).where("n_all > 1")
-    held = bands.join(crowded, "bucket").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    held = members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     parts = held.groupBy("bucket", "label").agg(F.count("*").alias("size"))
-    most = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("size", "label")).alias("top")).where("parts > 1")
+    most = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("size").alias("all"), F.max(F.struct("size", "label")).alias("top")).where("parts > 1")
     mixed = cut_lineage(
-        held.join(most.select("bucket", F.col("top.label").alias("top")), "bucket")
-        .withColumn("part", F.pmod(F.xxhash64("rep"), F.ceil(F.col("n_all") / block)))
-        .select("bucket", "part", "rep", "label", (F.col("label") != F.col("top")).alias("stray")),
+        held.join(most.select("bucket", "all", F.col("top.label").alias("top")), "bucket")
+        .withColumn("part", F.pmod(F.xxhash64("rep"), F.ceil(F.col("all") / block)))
+        .select("bucket", "band", "part", "rep", "label", (F.col("label") != F.col("top")).alias("stray")),
         "mixed",
     )
-    full = mixed.join(classes, "rep")
-    packed = lambda df, name: df.groupBy("bucket", "part").agg(F.collect_list(F.struct("rep", "label", "stray", "n", "registers")).alias(name)).drop("part")
-    blocks = packed(full.where("stray"), "strays").join(packed(full, "others"), "bucket")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(full: DataFrame, *more: str) -> DataFrame:
+        cell = F.collect_list(F.struct("rep", "label", "stray", "n", "registers", *more))
+        strays = full.where("stray").groupBy("bucket", "band", "part").agg(cell.alias("strays")).drop("part")
+        return strays.join(full.groupBy("bucket", "part").agg(cell.alias("others")).drop("part"), "bucket")
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            hit = []
+            for row in range(x.num_rows):
+                strays, others = (Block(x.column(name)[row], sketch) for name in ("strays", "others"))
+                hit.append(any(len(strays.likely(k, others, sketch, least)[0]) for k in range(len(strays.rep))))
+            yield pa.RecordBatch.from_arrays([x.column("bucket")], names=["bucket"]).filter(pa.array(hit, pa.bool_()))
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for x in batches:
-            for strays, others in zip(x.column("strays"), x.column("others")):
-                strays, others = strays.as_py(), others.as_py()
-                for s in strays:
-                    met = [o for o in others if o["label"] != s["label"] and (not o["stray"] or o["rep"] > s["rep"])]
-                    if met:
-                        n, r = [o["n"] for o in met], [o["registers"] for o in met]
-                        found = compare(sketch, np.full(len(met), s["n"]), [s["registers"]] * len(met), n, r)
-                        near = [o["rep"] for o, j in zip(met, found) if j >= least]
-                        ends = [pa.array([min(s["rep"], o) for o in near]), pa.array([max(s["rep"], o) for o in near])]
-                        if near:
-                            yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+            for row in range(x.num_rows):
+                strays, others = (Block(x.column(name)[row], sketch) for name in ("strays", "others"))
+                band, ends = x.column("band")[row].as_py(), []
+                for k in range(len(strays.rep)):
+                    met, mine = strays.likely(k, others, sketch, least)
+                    shared = (others.registers[met] == mine[: len(met)]).reshape(-1, sketch.bands, sketch.rows).all(2)
+                    done: set = set()
+                    for m in met[shared.argmax(1) == band] if len(met) else ():
+                        if others.label[m] not in done and linked(strays.elements(k, hashes, size), others.elements(m, hashes, size), percent):
+                            done.add(others.label[m])
+                            ends.append(sorted((strays.rep[k], others.rep[m])))
+                if ends:
+                    yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends]), pa.array([e[1] for e in ends])], names=["a", "b"])
+
+    full = mixed.join(classes, "rep")
+    flagged = cut_lineage(blocks(full).mapInArrow(flag, "bucket long").distinct(), "flagged")
+    whole = full.join(flagged, "bucket").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    return blocks(whole, "text").mapInArrow(link, f"a {kind}, b {kind}")
+
 
-    return blocks.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+def linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(left) + len(right) - both)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -185,14 +247,13 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last, left = WordHashes(), None, None
         for x in batches:
-            linked = []
+            kept = []
             for a, b in zip(x.column("t_a"), x.column("t_b")):
                 if a != last or left is None:
                     last, left = a, shingle_hashes(hashes.of(words(a.as_py())), size)
                 right = shingle_hashes(hashes.of(words(b.as_py())), size)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                linked.append(both > 0 and 100 * both >= percent * (len(left) + len(right) - both))
-            yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
+                kept.append(linked(left, right, percent))
+            yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
@@ -225,7 +286,7 @@ def near_duplicates(
     size: int = 5,
     percent: int = 80,
     sketch: Sketch = Sketch(),
-    margin: float = 0.2,
+    margin: float = 0.14,
     block: int = 256,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -233,7 +294,8 @@ def near_duplicates(
     """Each document's n_shingles, component_id and ``kept``, for links at ``percent`` of Jaccard similarity
     between sets of ``size``-word shingles.
 
-    Equal sets are one class from the start. Classes that share a band meet the least class of the bucket, so
+    ``margin`` is how far below ``percent`` an estimate may lie before the pair is given up: 5 standard
+    deviations of the default sketch. Equal sets are one class from the start. Classes that share a band meet the least class of the bucket, so
     a bucket of any size gives one pair for each member; the most likely pair of each is verified on whole
     texts. Where a bucket is left in several components, those outside the largest meet all others in blocks.
     Every pair that shares a band is thus in one component or compared, and no group is ever gathered whole.
@@ -250,14 +312,13 @@ def near_duplicates(
     classes = whole.select("rep", "n", "registers")
     bands = cut_lineage(band_rows(classes, sketch), "bands")
     centres = bands.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").drop("z")
-    members = cut_lineage(bands.join(centres, "bucket").select("bucket", "rep", "a"), "members")
+    members = cut_lineage(bands.join(centres, "bucket").select("bucket", "band", "rep", "a"), "members")
     least = percent / 100 - margin
     stars = members.where("a < rep").select("a", F.col("rep").alias("b")).distinct()
     texts = cut_lineage(docs.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"), "texts")
     links = verify(likely_stars(stars, classes, sketch, least), texts, size, percent)
     labels = components(links)
-    strays = cut_lineage(stray_pairs(members.select("bucket", "rep"), classes, labels, sketch, least, block), "strays")
-    more = cut_lineage(verify(strays, texts, size, percent), "links")
+    more = cut_lineage(stray_links(members.drop("a"), classes, labels, texts, size, percent, sketch, least, block), "links")
     if not more.isEmpty():
         labels = components(more.union(labels.select("label", "rep")))
     named = whole.select("d1", "d2", "rep").join(labels, "rep", "left").select("d1", "d2", F.coalesce("label", "rep").alias("label"))
