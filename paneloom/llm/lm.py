@@ -29,6 +29,11 @@ BLOCK = "part int, data binary"
 LOW = np.uint64(32)
 
 
+def ranges_of(parts: int) -> int:
+    """How many ranges the word numbers fall into: fewer than parts, as every part sends to every range."""
+    return max(1, parts // 4)
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays of one length; the first one ascends and is stored by its steps."""
     first, *rest = arrays
@@ -208,7 +213,8 @@ def count_bigrams(texts: DataFrame, folder: str, parts: int, starts: list[int])
 
     Gives how many bigrams, and how many continuations, are counted 1, 2, 3, 4 and more times."""
     begin = starts[-1]
-    width = begin // parts + 1  # word numbers of a range
+    ranges = ranges_of(parts)
+    width = begin // ranges + 1  # word numbers of a range
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbered = Words(folder, parts, starts)
@@ -241,7 +247,7 @@ def count_bigrams(texts: DataFrame, folder: str, parts: int, starts: list[int])
         left, right = (keys >> LOW).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         contexts = summed(left, counts, counts == 1, counts == 2, counts > 2)
         followers = summed(right, np.ones(len(right)))
-        both = [blocks(x[0] // width, parts, *x) for x in (contexts, followers)]
+        both = [blocks(x[0] // width, ranges, *x) for x in (contexts, followers)]
         tables = [pa.Table.from_batches([b]).append_column("kind", pa.array([k] * b.num_rows)) for b, k in zip(both, ("context", "follower"))]
         histogram = np.bincount(np.minimum(counts, 5), minlength=6)[1:].astype(np.int64)
         told = pa.table({"part": pa.array([-1], pa.int32()), "data": pa.array([histogram.tobytes()], pa.binary()), "kind": ["bigrams"]})
@@ -289,9 +295,10 @@ class Scorer:
         self.m, self.words = model, Words(model.folder, model.parts, model.starts, counts=True)
         self.bigrams = stored(model.folder, "bigrams", model.parts, "<u8")
         self.times = stored(model.folder, "times", model.parts, "<u4")
-        width = model.vocabulary // model.parts + 1
-        self.dense = [x if len(x) else np.zeros((5, 0), np.int64) for x in stored(model.folder, "numbers", model.parts, "<i8")]
-        self.ranges = np.minimum(np.arange(model.parts + 1) * width, model.vocabulary + 1)
+        ranges = ranges_of(model.parts)
+        width = model.vocabulary // ranges + 1
+        self.dense = [x if len(x) else np.zeros((5, 0), np.int64) for x in stored(model.folder, "numbers", ranges, "<i8")]
+        self.ranges = np.minimum(np.arange(ranges + 1) * width, model.vocabulary + 1)
 
     def numbers(self, row: int, asked: np.ndarray) -> np.ndarray:
         return gathered([x[row] for x in self.dense], self.ranges, asked)
