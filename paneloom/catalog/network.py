@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paneloom.catalog import fixtures as fx
 from paneloom.catalog.base import query, round_sql, rounded, table
-from paneloom.catalog.series import live_rows
+from paneloom.catalog.series import _LIVE
 from paneloom.plans import edges as E, forecast as ML, graph as G, live as LV
-from paneloom.session import scratch_path
+from paneloom.session import cut_lineage, scratch_path
 from paneloom.streaming import bulletins as B, upsert as U
 
 SOURCE = "U7"
@@ -67,7 +67,7 @@ _BOTH = "SELECT src AS id, type FROM {0} UNION ALL SELECT dst, type FROM {0}"
     ORDER BY connections DESC, id LIMIT 15""")
 def hubs(spark: SparkSession, sf: str) -> DataFrame:
     """GQ3."""
-    return G.hubs(*fx.graph(spark, sf))
+    return G.hubs(*fx.graph(spark, sf, E.SIMILAR))
 
 
 _REACH = f"""{fx.GRAPH}, walk AS (
@@ -80,7 +80,7 @@ reach AS (SELECT id, min(hops)::INTEGER AS hops FROM walk GROUP BY 1)"""
 @query("reach_3hops", f"WITH {_REACH} SELECT id, hops FROM reach")
 def reach_3hops(spark: SparkSession, sf: str) -> DataFrame:
     """GQ4."""
-    return G.spread_reach(fx.graph(spark, sf)[1], SOURCE, 3)
+    return G.spread_reach(fx.graph(spark, sf, E.SPREAD)[1], SOURCE, 3)
 
 
 @query("path_edges_3hops", f"""WITH {_REACH}, starts AS (SELECT '{SOURCE}' AS id, 0 AS hops UNION ALL SELECT id, hops FROM reach WHERE hops <= 2)
@@ -88,7 +88,7 @@ def reach_3hops(spark: SparkSession, sf: str) -> DataFrame:
     FROM spread JOIN starts ON id = src LEFT JOIN metrics a ON a.iso_code = src LEFT JOIN metrics b ON b.iso_code = dst""")
 def path_edges_3hops(spark: SparkSession, sf: str) -> DataFrame:
     """GQ5."""
-    vertices, edges = fx.graph(spark, sf)
+    vertices, edges = fx.graph(spark, sf, E.SPREAD)
     return G.spread_edges_on_paths(edges, SOURCE, 3, vertices=vertices)
 
 
@@ -98,14 +98,14 @@ def path_edges_3hops(spark: SparkSession, sf: str) -> DataFrame:
     ORDER BY abs(a.total_deaths_per_million - b.total_deaths_per_million) DESC, src, dst LIMIT 10""")
 def divergent_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """GQ6."""
-    return G.divergent_pairs(*fx.graph(spark, sf))
+    return G.divergent_pairs(*fx.graph(spark, sf, E.POLICY))
 
 
 @query("continent_density", f"""WITH {fx.GRAPH} SELECT a.continent, count(*) AS internal_links FROM linked JOIN metrics a ON a.iso_code = src JOIN metrics b ON b.iso_code = dst
     WHERE a.continent = b.continent AND a.continent <> 'Unknown' GROUP BY 1""")
 def continent_density(spark: SparkSession, sf: str) -> DataFrame:
     """GQ7."""
-    return G.continent_density(*fx.graph(spark, sf))
+    return G.continent_density(*fx.graph(spark, sf, E.SIMILAR))
 
 
 _TOP = f"""{fx.GRAPH}, top AS (SELECT iso_code, continent, total_deaths_per_million FROM metrics ORDER BY total_deaths_per_million DESC, iso_code LIMIT 30),
@@ -181,6 +181,37 @@ def stream_upsert_fields(spark: SparkSession, sf: str) -> DataFrame:
     return live.select("ISO_Code", "Date", F.col("payload")["kind"].alias("kind"), seen.alias("seen"))
 
 
+_LAST = """SELECT 'U' || user_id AS ISO_Code, strftime(ts, '%Y-%m-%d') AS Date, arg_max(value, event_id) AS New_Confirmed,
+    arg_max(event_type, event_id) AS kind FROM events GROUP BY 1, 2"""
+
+
+def middle_event(spark: SparkSession, sf: str) -> int:
+    return table(spark, sf, "events").agg((F.max("event_id") / 2).cast("long")).first()[0]
+
+
+@query("stream_files", _LAST)
+def stream_files(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC8, SM4: text files in two deliveries, keys repeated inside each file; the last line wins."""
+    folder, middle = scratch_path(spark, "bulletins"), middle_event(spark, sf)
+    messages = event_messages(spark, sf, stream=False).withColumn("user", F.get_json_object("value", "$.iso_code"))
+    for half in (F.col("offset") <= middle, F.col("offset") > middle):
+        lines = messages.filter(half).repartition("user").sortWithinPartitions("offset").select("value")
+        lines.write.mode("append").text(folder)
+    parsed = B.parse_bulletins(B.read_bulletins(spark, {"maxFilesPerTrigger": "3"}, path=folder))
+    live = U.upsert_once(parsed, scratch_path(spark, "live"), scratch_path(spark, "offsets"))
+    return live.select("ISO_Code", "Date", "New_Confirmed", F.col("payload")["kind"].alias("kind"))
+
+
+@query("stream_restarted", _LAST)
+def stream_restarted(spark: SparkSession, sf: str) -> DataFrame:
+    """SM7, SNK5: all messages, then with a new checkpoint the older half again, into one target."""
+    target, middle = scratch_path(spark, "live"), middle_event(spark, sf)
+    messages = event_messages(spark, sf, stream=True)
+    for part in (messages, messages.filter(F.col("offset") <= middle)):
+        live = U.upsert_once(B.parse_bulletins(part), target, scratch_path(spark, "offsets"))
+    return live.select("ISO_Code", "Date", "New_Confirmed", F.col("payload")["kind"].alias("kind"))
+
+
 @query("replay_messages", f"""WITH {fx.NATIONS} SELECT Date AS day, count(*) AS n, sum(n)::BIGINT AS confirmed FROM nations WHERE Date >= DATE '1999-01-01' GROUP BY 1""")
 def replay_messages(spark: SparkSession, sf: str) -> DataFrame:
     """SM1, SM2: messages from the start day on, with the default for the daily value."""
@@ -193,12 +224,6 @@ def replay_messages(spark: SparkSession, sf: str) -> DataFrame:
 FEATURES = tuple(f for f in ML.LIVE_FEATURES if f != "positive_rate")
 
 
-def model_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    panel, live = live_rows(spark, sf, "Confirmed")
-    target = LV.live_target(panel, live, fx.SINCE)
-    return ML.combine(panel, target, FEATURES), target
-
-
 _W7 = "OVER (PARTITION BY ISO_Code ORDER BY Date ROWS 6 PRECEDING)"
 _LAGGED = ", ".join(f"lag(New_Cases_7d, {n}) OVER (PARTITION BY ISO_Code ORDER BY Date) AS lag_{n}" for n in ML.LAGS)
 _FEATURES = f"""{fx.PANEL}, featured AS (
@@ -213,59 +238,114 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(built.select("ISO_Code", "Date", *FEATURES, "lag_7", "lag_14", "lag_21", "New_Cases_7d"))
 
 
-@query("training_set", round_sql(f"WITH {_FEATURES} SELECT * FROM featured WHERE lag_21 IS NOT NULL AND lag_14 IS NOT NULL AND lag_7 IS NOT NULL AND New_Cases_7d IS NOT NULL AND "
-    + " AND ".join(f"{f} IS NOT NULL" for f in FEATURES), [*FEATURES, "lag_7", "lag_14", "lag_21", "New_Cases_7d"]))
+# History before the cut, live days from it on: both sides give rows to the model.
+_COMBINED = f"""{_LIVE.replace("CONF", "Confirmed")}, combined AS (
+  SELECT p.ISO_Code, p.Date, {", ".join(FEATURES)}, CASE WHEN p.Date < DATE '{fx.SINCE}' THEN New_Cases_7d ELSE Live_Target END AS New_Cases_7d
+  FROM panel p LEFT JOIN target t ON t.ISO_Code = p.ISO_Code AND t.Date = p.Date),
+learned AS (
+  SELECT ISO_Code, Date, {", ".join(f"avg({f}) {_W7} AS {f}" for f in FEATURES)}, {_LAGGED}, New_Cases_7d FROM combined),
+complete AS (SELECT * FROM learned WHERE {" AND ".join(f"{c} IS NOT NULL" for c in [*FEATURES, "lag_7", "lag_14", "lag_21", "New_Cases_7d"])})"""
+
+
+def model_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """History cut before the live days, and the live series with its own features."""
+    panel = cut_lineage(fx.panel(spark, sf).select("ISO_Code", "Date", "Confirmed", "received_at", "New_Cases_7d", *FEATURES), "panel")
+    live = LV.live_clean(panel.select("ISO_Code", "Date", "Confirmed", "received_at", *FEATURES), fx.SINCE)
+    hist = panel.filter(F.col("Date") < F.lit(fx.SINCE).cast("date"))
+    return hist, cut_lineage(LV.live_target(hist, live, fx.SINCE), "target")
+
+
+@query("training_set", round_sql(f"WITH {_COMBINED} SELECT * FROM complete", [*FEATURES, "lag_7", "lag_14", "lag_21", "New_Cases_7d"]))
 def training_set(spark: SparkSession, sf: str) -> DataFrame:
-    """ML2, J7, U2: a day in both histories counts once, from the batch side."""
-    panel, target = live_rows(spark, sf, "Confirmed")
-    live = LV.live_target(panel, target, fx.SINCE)
-    return rounded(ML.training_set(panel, live, FEATURES))
+    """ML2, J7, U2: days of the history and live days, lags reaching across the cut."""
+    hist, target = model_rows(spark, sf)
+    return rounded(ML.training_set(hist, target, FEATURES))
 
 
 def trained(spark: SparkSession, sf: str):
-    both, target = model_inputs(spark, sf)
-    featured = ML.build_features(both, FEATURES)
+    hist, target = model_rows(spark, sf)
+    featured = cut_lineage(ML.build_features(ML.combine(hist, target, FEATURES), FEATURES), "featured")
     names = ML.feature_names(featured, FEATURES)
-    fitted = ML.fit_forest(featured.dropna(subset=[*names, ML.TARGET]), names)
-    if fitted is None:
+    result = ML.fit_forest(featured.dropna(subset=[*names, ML.TARGET]), names)
+    if result is None:
         raise ValueError("too few complete rows to train on")
-    return featured, target, names, *fitted
+    return featured, target, names, *result
 
 
-@query("forest_fit")
+@query("forest_fit", f"WITH {_COMBINED} SELECT count(*) AS n_rows, {ML.TREES} AS trees, true AS r2_between_0_and_1 FROM complete")
 def forest_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """ML3: rows and in-sample R2."""
+    """ML3: rows, trees and whether the in-sample R2 is one."""
     featured, _, names, model, score = trained(spark, sf)
     rows = featured.dropna(subset=[*names, ML.TARGET])
-    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(model.getNumTrees).alias("trees"), F.lit(score).alias("r2"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(model.getNumTrees).alias("trees"), F.lit(0 <= score <= 1).alias("r2_between_0_and_1"))
+
+
+def in_label_range(fit: DataFrame, labels: DataFrame) -> DataFrame:
+    """Whether each smoothed prediction lies between the least and the greatest label, as means of leaves do."""
+    ends = labels.agg(F.min(ML.TARGET).alias("lo"), F.max(ML.TARGET).alias("hi")).first()
+    return fit.withColumn("plausible", F.col("ML_Pred").between(ends["lo"] - 1e-9, ends["hi"] + 1e-9)).drop("ML_Pred")
 
 
-@query("fitted")
+@query("fitted", round_sql(f"WITH {_COMBINED} SELECT ISO_Code, Date, New_Cases_7d, true AS plausible FROM learned WHERE Date >= DATE '{fx.SINCE}'", ["New_Cases_7d"]))
 def fitted(spark: SparkSession, sf: str) -> DataFrame:
-    """ML4, J8."""
+    """ML4, J8: the live days, their values and whether the fit can be one."""
     featured, target, names, model, _ = trained(spark, sf)
-    return ML.fitted(featured, model, names, target).select("ISO_Code", "Date", ML.TARGET, "ML_Pred")
+    shown = ML.fitted(featured, model, names, target).select("ISO_Code", "Date", ML.TARGET, "ML_Pred")
+    return rounded(in_label_range(shown, featured.dropna(subset=[*names, ML.TARGET])))
 
 
-@query("forecast_60")
+_AHEAD = "ends AS (SELECT ISO_Code, max(Date) AS last_date, arg_max(Live_Target, Date) AS last_value FROM target GROUP BY 1)"
+
+
+@query("forecast_60", f"""WITH {_COMBINED}, {_AHEAD} SELECT ISO_Code, (last_date + i::INTEGER)::DATE AS Date, true AS plausible
+    FROM ends, unnest(range(1, {ML.HORIZON + 1})) AS days(i)""")
 def forecast_60(spark: SparkSession, sf: str) -> DataFrame:
-    """ML5."""
+    """ML5: the days of every entity, no value below zero."""
     featured, target, _, model, _ = trained(spark, sf)
-    return ML.forecast(model, ML.last_states(featured, target, FEATURES), FEATURES)
+    ahead = ML.forecast(model, ML.last_states(featured, target, FEATURES), FEATURES)
+    return ahead.select("ISO_Code", "Date", (F.col("ML_Future") >= 0).alias("plausible"))
+
+
+_HELD = f"SELECT ISO_Code, (last_date + i::INTEGER)::DATE AS Date, last_value AS ML_Future FROM ends, unnest(range(1, {ML.HORIZON + 1})) AS days(i)"
+
+
+def held_forecast(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    featured, target, _, model, _ = trained(spark, sf)
+    return featured, target, ML.forecast(model, ML.last_states(featured, target, FEATURES), FEATURES, alpha=1.0)
+
+
+@query("forecast_held", round_sql(f"WITH {_COMBINED}, {_AHEAD} {_HELD}", ["ML_Future"]))
+def forecast_held(spark: SparkSession, sf: str) -> DataFrame:
+    """ML5 with full inertia: the last live value on each day."""
+    return rounded(held_forecast(spark, sf)[2])
+
+
+@query("stitched_forecast", round_sql(f"""WITH {_COMBINED}, {_AHEAD}, firsts AS (SELECT ISO_Code, min(Date) AS Date, arg_min(Live_Target, Date) AS v FROM target GROUP BY 1)
+    SELECT ISO_Code, Date, New_Cases_7d AS value, 'history' AS kind FROM hist
+    UNION ALL SELECT ISO_Code, Date, v, 'history' FROM firsts WHERE ISO_Code IN (SELECT ISO_Code FROM hist)
+    UNION ALL SELECT ISO_Code, Date, Live_Target, 'live' FROM target
+    UNION ALL SELECT ISO_Code, last_date, last_value, 'forecast' FROM ends
+    UNION ALL SELECT ISO_Code, Date, ML_Future, 'forecast' FROM ({_HELD})""", ["value"]))
+def stitched_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """LV5, V32 with forecast rows."""
+    _, target, ahead = held_forecast(spark, sf)
+    return rounded(LV.stitch(model_rows(spark, sf)[0], target, fcst=ahead, since=fx.SINCE))
 
 
-@query("importances")
+@query("importances", f"""SELECT unnest([{", ".join(f"'{n}'" for n in [*FEATURES, "lag_7", "lag_14", "lag_21"])}]) AS feature, true AS sum_is_one""")
 def importances(spark: SparkSession, sf: str) -> DataFrame:
-    """ML6, V33."""
-    featured, _, names, model, _ = trained(spark, sf)
-    return ML.importances(spark, model, names)
+    """ML6, V33: the features, and whether their shares add up."""
+    _, _, names, model, _ = trained(spark, sf)
+    ranked = ML.importances(spark, model, names)
+    total = ranked.agg(F.abs(F.sum("importance") - 1) < 1e-6).first()[0]
+    return ranked.select("feature", F.lit(total).alias("sum_is_one"))
 
 
-@query("fallback_fit")
+@query("fallback_fit", round_sql(f"WITH {fx.PANEL} SELECT ISO_Code, Date, New_Cases_7d, true AS plausible FROM panel", ["New_Cases_7d"]))
 def fallback_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """ML7, V34."""
-    panel = fx.panel(spark, sf).select("ISO_Code", "Date", *ML.BASE_FEATURES, ML.TARGET)
+    """ML7, V34: every day, its value and whether the fit can be one."""
+    panel = cut_lineage(fx.panel(spark, sf).select("ISO_Code", "Date", *ML.BASE_FEATURES, ML.TARGET), "panel")
     result = ML.fallback_fit(panel)
     if result is None:
         raise ValueError("too few complete rows to train on")
-    return result[0]
+    return rounded(in_label_range(result[0], panel.dropna(subset=[ML.TARGET])))

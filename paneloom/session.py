@@ -45,9 +45,27 @@ def shared_dir(spark: SparkSession) -> str:
     return fresh
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder below the shared one that holds everything this application writes for itself."""
+    return os.path.join(shared_dir(spark), f"run-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; never reused, so nothing is overwritten."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path in this application's folder; never reused, so nothing is overwritten."""
+    return os.path.join(run_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def drop_scratch(spark: SparkSession, path: str | None = None) -> bool:
+    """Delete this application's folder, or one path in it, once no result that reads it is needed any more.
+
+    Nothing is deleted by itself: frames that were cut go on reading what was written.
+    """
+    own = run_dir(spark)
+    if path is not None and not path.startswith(own + os.sep):
+        raise ValueError(f"{path} is not in {own}")
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path or own)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

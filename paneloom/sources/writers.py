@@ -48,8 +48,17 @@ def to_messages(df: DataFrame, day: str = "Date") -> DataFrame:
     return df.select(F.col(day).alias("day"), message)
 
 
-def publish(df: DataFrame, options: dict[str, str] | None = None, path: str | None = None, day: str = "Date") -> None:
-    """Send rows to a topic (``options``) or lay them down as text files, one folder per day (``path``).
+def keyed_messages(df: DataFrame, key: str = "ISO_Code") -> DataFrame:
+    """``(key, value)``: messages of one entity share a key, so a topic keeps their order."""
+    message = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")
+    return df.select(F.col(key).cast("string").alias("key"), message) if key in df.columns else to_json_row(df)
+
+
+def publish(
+    df: DataFrame, options: dict[str, str] | None = None, path: str | None = None, day: str = "Date", key: str = "ISO_Code"
+) -> None:
+    """Send rows to a topic (``options``), keyed by entity, or lay them down as text files, one folder per
+    day (``path``).
 
     Files follow the days; a day with many rows is cut into several files by the second range key.
     """
@@ -62,7 +71,7 @@ def publish(df: DataFrame, options: dict[str, str] | None = None, path: str | No
             .text(path)
         )
     else:
-        to_json_row(df).write.format("kafka").options(**(options or {})).save()
+        keyed_messages(df, key).write.format("kafka").options(**(options or {})).save()
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:

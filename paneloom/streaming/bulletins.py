@@ -19,16 +19,20 @@ MESSAGE_SCHEMA = "value string"
 def read_bulletins(spark: SparkSession, options: Mapping[str, str], path: str | None = None) -> DataFrame:
     """Stream of messages ``(value, offset)`` from the earliest position.
 
-    With ``path`` a folder of text files takes the place of the topic; file order and position stand
-    in for the offset. The position already reached is kept by the query's checkpoint.
+    ``offset`` is what orders messages: on a topic its time, partition and offset, as offsets compare
+    within a partition only. With ``path`` a folder of text files takes the place of the topic, ordered
+    by file time, name and block; the upsert numbers the lines of a block as they are read. The position
+    already reached is kept by the query's checkpoint.
     """
     if path is not None:
         reader = spark.readStream.schema(MESSAGE_SCHEMA).options(**options)
         meta = F.col("_metadata")
-        arrival = F.unix_micros(meta["file_modification_time"])
-        return reader.text(path).select("value", arrival.alias("offset"))
+        place = F.struct(
+            F.unix_micros(meta["file_modification_time"]).alias("time"), meta["file_path"].alias("file"), meta["file_block_start"].alias("block")
+        )
+        return reader.text(path).select("value", place.alias("offset"))
     topic = spark.readStream.format("kafka").option("startingOffsets", "earliest").options(**options).load()
-    return topic.select(F.col("value").cast("string").alias("value"), "offset")
+    return topic.select(F.col("value").cast("string").alias("value"), F.struct("timestamp", "partition", "offset").alias("offset"))
 
 
 def normalize_record(df: DataFrame) -> DataFrame:

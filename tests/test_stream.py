@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from paneloom.sources.writers import publish
+from paneloom.sources.writers import keyed_messages, publish
 from paneloom.streaming import bulletins as B, upsert as U
 
 
@@ -63,12 +63,57 @@ def test_upsert_keeps_last_payload_and_first_arrival(spark, fresh):
     assert table(run(spark, folder, fresh("live"), fresh("ck"))) == got
 
 
+def test_a_new_checkpoint_overwrites_nothing(spark, fresh):
+    first, second, target, check = fresh("in"), fresh("in"), fresh("live"), fresh("ck")
+    drop(first, "a.txt", {"ISO_Code": "ITA", "Date": "2021-02-01", "Confirmed": 1, "seq": 1})
+    run(spark, first, target, check)
+    drop(first, "b.txt", {"ISO_Code": "ITA", "Date": "2021-02-01", "Confirmed": 2, "seq": 2})
+    run(spark, first, target, check)
+    drop(second, "c.txt", {"ISO_Code": "ITA", "Date": "2021-02-01", "Confirmed": 3, "seq": 3})
+    assert table(run(spark, second, target, fresh("ck")))["ITA", "2021-02-01"][0] == 3.0
+    assert len([d for d in os.listdir(target) if d.startswith("run=")]) == 2
+    # An older message that a later run brings changes nothing.
+    third = fresh("in")
+    drop(third, "d.txt", {"ISO_Code": "ITA", "Date": "2021-02-01", "Confirmed": 9, "seq": 2})
+    assert table(run(spark, third, target, fresh("ck")))["ITA", "2021-02-01"][0] == 3.0
+
+
 def test_a_repeated_batch_replaces_itself(spark, fresh):
-    folder, target = fresh("in"), fresh("live")
+    folder, target, check = fresh("in"), fresh("live"), fresh("ck")
     drop(folder, "a.txt", {"ISO_Code": "ITA", "Date": "2021-02-01", "Confirmed": 1, "seq": 1})
-    run(spark, folder, target, fresh("ck"))
-    again = table(run(spark, folder, target, fresh("ck")))
-    assert len(again) == 1 and os.path.isdir(os.path.join(target, "batch=0")) and not os.path.isdir(os.path.join(target, "batch=1"))
+    run(spark, folder, target, check)
+    os.remove(os.path.join(check, "commits", "0"))  # as if the driver died before it could commit the batch
+    crc = os.path.join(check, "commits", ".0.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    assert len(table(run(spark, folder, target, check))) == 1
+    assert [os.listdir(os.path.join(target, d)) for d in os.listdir(target) if d.startswith("run=")] == [["batch=0"]]
+
+
+def test_the_last_line_of_a_file_wins(spark, fresh):
+    folder, target, check = fresh("in"), fresh("live"), fresh("ck")
+    message = {"ISO_Code": "ITA", "Date": "2021-02-01"}
+    drop(folder, "a.txt", message | {"Confirmed": 100}, message | {"Confirmed": 7})
+    live = lambda: U.upsert_once(B.parse_bulletins(B.read_bulletins(spark, {}, path=folder)), target, check)
+    assert table(live())["ITA", "2021-02-01"][0] == 7.0
+    drop(folder, "b.txt", message | {"Confirmed": 3})
+    assert table(live())["ITA", "2021-02-01"][0] == 3.0
+
+
+def test_fields_are_judged_by_their_own_position(spark, fresh):
+    folder, target, check, packed = fresh("in"), fresh("live"), fresh("ck"), fresh("packed")
+    message = {"ISO_Code": "ITA", "Date": "2021-02-01"}
+    drop(folder, "a.txt", message | {"beds": 1, "seq": 1}, message | {"Deaths": 9, "seq": 9})
+    run(spark, folder, target, check, merge="fields")
+    U.compact(spark, target, packed, merge="fields")
+    drop(folder, "b.txt", message | {"beds": 5, "Deaths": 5, "seq": 5})
+    payload = table(run(spark, folder, packed, check, merge="fields"))["ITA", "2021-02-01"][1]
+    assert payload["beds"] == "5" and payload["Deaths"] == "9"
+
+
+def test_topic_messages_carry_their_entity_as_key(spark):
+    rows = spark.createDataFrame([("ITA", 1)], "ISO_Code string, n int")
+    assert [tuple(r) for r in keyed_messages(rows).collect()] == [("ITA", '{"ISO_Code":"ITA","n":1}')]
 
 
 def test_fields_merge(spark, fresh):
@@ -111,3 +156,15 @@ def test_rejects_are_kept(spark, fresh):
     drop(folder, "a.txt", "oops", {"ISO_Code": "ITA", "Date": "2021-02-01", "Confirmed": 1, "seq": 1})
     U.upsert_stream(stream(spark, folder), target, fresh("ck"), rejects=bad).awaitTermination(120)
     assert [r["raw"] for r in spark.read.parquet(bad).collect()] == ["oops"]
+
+
+def test_scratch_of_a_run_can_be_dropped(spark, fresh):
+    from paneloom.session import cut_lineage, drop_scratch
+
+    kept, gone = fresh("kept"), fresh("gone")
+    for path in (kept, gone):
+        spark.range(3).write.parquet(path)
+    assert drop_scratch(spark, gone) and not os.path.exists(gone) and spark.read.parquet(kept).count() == 3
+    assert cut_lineage(spark.range(5)).count() == 5
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/somewhere/else")
