@@ -293,7 +293,7 @@ def pivot_first(spark: SparkSession, sf: str) -> DataFrame:
 def pivot_count(spark: SparkSession, sf: str) -> DataFrame:
     """P14 with T5 names."""
     docs = table(spark, sf, "documents")
-    langs = schema.category_values(docs, "lang", 100)
+    langs = schema.category_values(docs, "lang")
     return schema.pivot_count(docs, ["source"], "lang", dict(zip(langs, text.unique_names(langs))))
 
 

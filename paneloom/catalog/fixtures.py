@@ -275,8 +275,9 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
     return country_metrics(panel(spark, sf))
 
 
-def graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The graph as it is stored: built once, written to the shared folder, then queried."""
+def graph(spark: SparkSession, sf: str, *types: str) -> tuple[DataFrame, DataFrame]:
+    """The graph as it is stored, with all edges or those of some types: built once, written to the shared
+    folder, then queried."""
     from paneloom.plans.edges import panel_graph
     from paneloom.operators.aggregates import country_metrics
     from paneloom.session import cut_lineage, scratch_path
@@ -285,7 +286,8 @@ def graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
     path = scratch_path(spark, "graph")
     prepared = cut_lineage(panel(spark, sf), "panel")
-    write_graph(*panel_graph(prepared, country_metrics(prepared), min_points=MIN_POINTS), path)
+    chosen = {"types": types} if types else {}
+    write_graph(*panel_graph(prepared, country_metrics(prepared), min_points=MIN_POINTS, **chosen), path)
     return read_graph(spark, path)
 
 

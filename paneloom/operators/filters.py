@@ -59,9 +59,9 @@ def else_other(col: Column, values: Sequence[object], other: str = "other") -> C
 
 
 def else_other_by(df: DataFrame, col: str, top: DataFrame, other: str = "other") -> DataFrame:
-    """Values outside ``top`` become ``other``; ``top`` is a ranked frame cut by a limit, so it is small."""
+    """Values outside ``top`` become ``other``. Spark sees how large ``top`` is and sends it to the rows or not."""
     known = top.select(F.col(col).alias("_known"))
-    hit = df.join(F.broadcast(known), F.col(col) == F.col("_known"), "left")
+    hit = df.join(known, F.col(col) == F.col("_known"), "left")
     return hit.withColumn(col, F.when(F.col("_known").isNotNull(), F.col(col)).otherwise(F.lit(other))).drop("_known")
 
 

@@ -59,25 +59,40 @@ def join_weekly(
     weekly_date: str = "Date",
     skip: Sequence[str] = ("country",),
     order: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
-    """Each row takes the values of its week; ``None`` leaves the panel as it is."""
+    """Each row takes the values of its week; ``None`` leaves the panel as it is.
+
+    ``unique`` states that ``weekly`` has one row for each key and week, as an aggregate by them has;
+    otherwise the first row by ``order`` is taken.
+    """
     if weekly is None:
         return panel
     values = [c for c in weekly.columns if c not in (*keys, weekly_date, *skip, "_week")]
     dated = weekly.withColumn("_week", week_start(weekly_date))
     ranked = dated.select(*keys, "_week", *[c for c in order if c not in values and c in dated.columns], *values)
-    right = dedupe_first(ranked, [*keys, "_week"], order).select(*keys, "_week", *values)
+    right = (ranked if unique else dedupe_first(ranked, [*keys, "_week"], order)).select(*keys, "_week", *values)
     joined = panel.withColumn("_week", week_start(date)).join(right, [*keys, "_week"], "left")
     return joined.select(*panel.columns, *values)
 
 
-def work_list(countries: DataFrame, terms: DataFrame, done: DataFrame | None = None, geo: str = "geo", term: str = "term_id") -> DataFrame:
+#: Chunks that the terms of a work list are dealt into.
+TERM_CHUNKS = 32
+
+
+def work_list(
+    countries: DataFrame, terms: DataFrame, done: DataFrame | None = None, geo: str = "geo", term: str = "term_id", chunks: int = TERM_CHUNKS
+) -> DataFrame:
     """Every entity with every term, less what is done.
 
-    The terms are one short array that each entity row unfolds, so nothing is cross-joined.
+    The product is the result. Terms are dealt into ``chunks`` by their hash; an entity meets each chunk
+    by its number and unfolds it, so no task needs all terms.
     """
-    all_terms = terms.agg(F.sort_array(F.collect_set(term)).alias("t")).scalar()
-    full = countries.withColumn(term, F.explode(all_terms)).withColumn("query_key", F.concat_ws("_", geo, term))
+    chunk = F.pmod(F.xxhash64(term), F.lit(chunks))
+    dealt = terms.select(term).distinct().groupBy(chunk.alias("_chunk")).agg(F.collect_list(term).alias("_terms"))
+    numbered = countries.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    full = numbered.join(dealt, "_chunk").withColumn(term, F.explode("_terms")).drop("_chunk", "_terms")
+    full = full.withColumn("query_key", F.concat_ws("_", geo, term))
     if done is None:
         return full
     finished = done.select(F.concat_ws("_", geo, term).alias("query_key")).distinct()
@@ -93,8 +108,8 @@ def localized_term(work: DataFrame, terms: DataFrame, term: str = "term_id", lan
 
 
 def in_both(df: DataFrame, top: DataFrame, src: str = "src", dst: str = "dst", id_: str = "id") -> DataFrame:
-    """Edges with both ends in ``top``, a ranked frame cut by a limit and therefore small."""
-    ids = F.broadcast(top.select(F.col(id_).alias("_top")))
+    """Edges with both ends in ``top``. Spark sees how large it is and sends it to the edges or not."""
+    ids = top.select(F.col(id_).alias("_top"))
     return df.join(ids, F.col(src) == F.col("_top"), "left_semi").join(ids, F.col(dst) == F.col("_top"), "left_semi")
 
 
@@ -112,6 +127,12 @@ class EnrichmentReport:
         schema = "name string, status string, reason string, added array<string>"
         return spark.createDataFrame(self.entries, schema) if self.entries else spark.createDataFrame([], schema)
 
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The whole report: what became of each table, the columns it added and the keys it matched."""
+        found = self.matches()
+        told = self.frame(spark)
+        return told.withColumn("matched", F.lit(None).cast("long")) if found is None else told.join(found, "name", "left")
+
     def matches(self) -> DataFrame | None:
         """Matched keys per table, computed only when asked for."""
         from paneloom.operators.ordering import union_all
@@ -132,39 +153,58 @@ def enrich(
 ) -> tuple[DataFrame, EnrichmentReport]:
     """Fold source tables into the panel by left joins on entity and day.
 
-    The first table to bring a column wins. Every right side is reduced to one row per key by an
-    aggregate hashed on the join keys, so it arrives already partitioned for the join; the panel is
-    exchanged at most once for the whole fold, because a left join keeps its partitioning.
+    The first table to bring a column wins. What the schemas alone reject goes first, then one job finds
+    the empty ones among the others. Every right side is reduced to one row per key by an aggregate hashed
+    on the join keys, so it arrives already partitioned for the join; the panel is exchanged at most once
+    for the whole fold, because a left join keeps its partitioning.
     """
     keys = ["ISO_Code", "Date"]
     report = EnrichmentReport()
     merged = panel
+    sources: dict[str, DataFrame] = {}
+    reasons: dict[str, str] = {}
     for name, table in tables.items():
         source, reason = _keyed(table, dim)
+        if source is not None and S.is_disaggregated(source):
+            reason, source = "broken down by " + ", ".join(S.breakdown_columns(source)), None
         if source is None:
-            report.note(name, "skipped", reason)
+            reasons[name] = reason
+        else:
+            sources[name] = source
+    filled = _with_rows(sources) if check_empty else set(sources)
+    for name in tables:
+        source = sources.get(name)
+        if source is None:
+            report.note(name, "skipped", reasons[name])
             continue
-        if check_empty and source.isEmpty():
+        if name not in filled:
             report.note(name, "skipped", "no rows after the key filter")
             continue
-        if S.is_disaggregated(source):
-            report.note(name, "skipped", "broken down by " + ", ".join(S.breakdown_columns(source)))
-            continue
-        if {"indicator", "value"} <= set(source.columns):
+        long = {"indicator", "value"} <= set(source.columns)
+        if long:
             source = S.pivot_first(source, keys, "indicator", "value", [c for c in order if c in source.columns])
         added = [c for c in S.new_columns(merged.columns, source) if c not in order]
         if not added:
             report.note(name, "skipped", "no new columns")
             continue
         ranked = [c for c in order if c in source.columns]
-        subset = dedupe_first(source.select(*keys, *ranked, *added), keys, ranked).select(*keys, *added)
-        subset = S.to_double(subset, except_=keys)
+        first = source if long else dedupe_first(source.select(*keys, *ranked, *added), keys, ranked)
+        subset = S.to_double(first.select(*keys, *added), except_=keys)
         report.counts.append(match_count(panel, subset, keys).select(F.lit(name).alias("name"), "matched"))
         merged = merged.join(subset, keys, "left").select(*merged.columns, *added)
         report.note(name, "joined", "", added)
     return merged, report
 
 
+def _with_rows(sources: Mapping[str, DataFrame]) -> set[str]:
+    """Names of the tables that hold a row, by one job that reads one row of each."""
+    from paneloom.operators.ordering import union_all
+
+    if not sources:
+        return set()
+    return {r["name"] for r in union_all([s.limit(1).select(F.lit(n).alias("name")) for n, s in sources.items()]).collect()}
+
+
 def _keyed(table: DataFrame, dim: DataFrame | None) -> tuple[DataFrame | None, str]:
     """A source table with canonical key columns, or the reason why it has none."""
     date = S.pick_column(table, S.DATE_CANDIDATES)

@@ -12,6 +12,10 @@ from paneloom.functions.numeric import FLAT
 from paneloom.session import cut_lineage
 
 
+#: Pairs that are centred again at a time.
+DOUBTFUL = 4_096
+
+
 def band_pairs(
     df: DataFrame,
     key: str,
@@ -155,16 +159,21 @@ def _pair_correlation(a: _Block, b: _Block) -> tuple[np.ndarray, np.ndarray]:
         # are computed again from their shared days.
         doubtful = ~flat & ((vx < 1e-6 * sxx / n) | (vy < 1e-6 * syy / n))
     r[flat | (n == 0)] = np.nan
-    for p, q in zip(*np.nonzero(doubtful)):
-        r[p, q] = _exact_correlation(a, b, p, q)
+    p, q = np.nonzero(doubtful)
+    for start in range(0, len(p), DOUBTFUL):
+        part = slice(start, start + DOUBTFUL)
+        r[p[part], q[part]] = _exact_correlation(a, b, p[part], q[part])
     return np.clip(r, -1.0, 1.0), n
 
 
-def _exact_correlation(a: _Block, b: _Block, p: int, q: int) -> float:
-    shared = (a.m[p] > 0) & (b.m[q] > 0)
-    x, y = a.x[p, shared], b.x[q, shared]
-    x, y = x - x.mean(), y - y.mean()
-    sd_x, sd_y = np.sqrt((x * x).mean()), np.sqrt((y * y).mean())
-    if sd_x < FLAT or sd_y < FLAT:
-        return float("nan")
-    return float((x * y).mean() / (sd_x * sd_y))
+def _exact_correlation(a: _Block, b: _Block, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Pearson of the pairs of rows ``p`` and ``q``, centred again on the days that each pair shares."""
+    shared = a.m[p] * b.m[q]
+    n = shared.sum(1, keepdims=True)
+    x, y = a.x[p] * shared, b.x[q] * shared
+    x, y = (x - x.sum(1, keepdims=True) / n) * shared, (y - y.sum(1, keepdims=True) / n) * shared
+    n = n[:, 0]
+    sd_x, sd_y = np.sqrt((x * x).sum(1) / n), np.sqrt((y * y).sum(1) / n)
+    flat = (sd_x < FLAT) | (sd_y < FLAT)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(flat, np.nan, (x * y).sum(1) / n / (sd_x * sd_y))

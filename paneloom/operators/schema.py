@@ -31,9 +31,6 @@ KEY_LIKE = (
 # Columns that mark a table as broken down below country and day.
 BREAKDOWN_COLUMNS = ("age_group", "age", "vaccine", "manufacturer", "state")
 
-MAX_PIVOT_COLUMNS = 10_000
-WIDE_AGGREGATE = 32
-
 
 def normalize_columns(df: DataFrame, aliases: Mapping[str, str] = COLUMN_ALIASES) -> DataFrame:
     """Alias spellings to canonical names; where both exist the canonical value wins per row."""
@@ -57,24 +54,26 @@ def pick_column(df: DataFrame, candidates: Sequence[str]) -> str | None:
 
 
 def sniff_column(
-    df: DataFrame, token: str, parser: Callable[[Column], Column] | None = None, sample: int = 10, need: int = 5
+    df: DataFrame, token: str, parser: Callable[[Column], Column] | None = None, share: float = 0.5
 ) -> str | None:
-    """First column whose name contains ``token``; failing that, the first of whose ``sample`` first
-    rows more than ``need`` can be parsed."""
+    """First column whose name contains ``token``; failing that, the first of whose values, blank ones
+    aside, more than ``share`` can be parsed. All rows decide, in one aggregate."""
     named = next((c for c in df.columns if token in c.lower()), None)
     if named is not None or parser is None:
         return named
-    hits = df.limit(sample).agg(*[F.count(parser(F.col(c).cast("string"))).alias(c) for c in df.columns]).first()
-    return next((c for c in df.columns if hits[c] > need), None)
+    text = {c: F.col(c).cast("string") for c in df.columns}
+    readable = [F.count(parser(v)).alias(f"r{i}") for i, v in enumerate(text.values())]
+    filled = [F.count_if(F.trim(v) != "").alias(f"n{i}") for i, v in enumerate(text.values())]
+    hits = df.agg(*readable, *filled).first()
+    return next((c for i, c in enumerate(text) if hits[f"r{i}"] > share * hits[f"n{i}"]), None)
 
 
 def pick_low_cardinality(df: DataFrame, cols: Sequence[str] = ("class", "category"), limit: int = 20) -> str | None:
-    """First column with at most ``limit`` distinct values, all counted in one job."""
-    present = [c for c in cols if c in df.columns]
-    if not present:
-        return None
-    counts = df.agg(*[F.countDistinct(c).alias(c) for c in present]).first()
-    return next((c for c in present if counts[c] <= limit), None)
+    """First column with at most ``limit`` distinct values; a column is read until it shows one more."""
+    for c in (c for c in cols if c in df.columns):
+        if df.select(c).dropna().distinct().limit(limit + 1).count() <= limit:
+            return c
+    return None
 
 
 def pick_populated(df: DataFrame, cols: Sequence[str], k: int) -> str | None:
@@ -178,18 +177,20 @@ def is_disaggregated(df: DataFrame) -> bool:
     return bool(breakdown_columns(df))
 
 
-def category_values(df: DataFrame, col: str, limit: int = MAX_PIVOT_COLUMNS) -> list[str]:
-    """Distinct values that are to become column names, sorted.
-
-    A schema has to be known on the driver, so the list is bounded; a longer one is an error rather
-    than a silent cut.
-    """
-    rows = df.select(F.col(col).cast("string").alias("v")).filter("v is not null").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} values, too many to become columns")
+def category_values(df: DataFrame, col: str) -> list[str]:
+    """Distinct values that are to become column names, sorted: the driver holds one text for each column
+    of the table to come, as it does for any schema."""
+    rows = df.select(F.col(col).cast("string").alias("v")).filter("v is not null").distinct().collect()
     return sorted(r["v"] for r in rows)
 
 
+def first_values(df: DataFrame, keys: Sequence[str], name: str, value: str, order: Sequence[str] = ()) -> DataFrame:
+    """The first value by ``order`` (ties by value) of each key and name, still one row for each: the form
+    for name sets that are too many to be columns."""
+    ranked = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.col(value).alias("_v"))
+    return df.groupBy(*keys, name).agg(F.min(ranked)["_v"].alias(value))
+
+
 def pivot_first(
     df: DataFrame,
     keys: Sequence[str],
@@ -200,15 +201,12 @@ def pivot_first(
 ) -> DataFrame:
     """Long to wide, the first value by ``order`` per cell (ties by value).
 
-    ``min`` over structs combines on the map side, so a cell or key that holds most of the rows costs
-    no task more than its share. A few names are columns of a single aggregate; many names go through
-    Spark's own two-step pivot, whose rows stay narrow until the end.
+    ``names`` are the columns to be; found in the data when not given, as no schema is known before.
+    The first aggregate makes one row of each cell and combines on the map side, so a cell or key that
+    holds most of the rows costs no task more than its share; the second one turns cells into columns.
     """
     labels = list(names) if names is not None else category_values(df, name)
     ranked = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.col(value).alias("_v"))
-    if len(labels) <= WIDE_AGGREGATE:
-        cells = [F.min(F.when(F.col(name) == F.lit(n), ranked))["_v"].alias(underscore_name(n)) for n in labels]
-        return df.groupBy(*keys).agg(*cells)
     wide = df.groupBy(*keys).pivot(name, labels).agg(F.min_by(value, ranked))
     return wide.withColumnsRenamed({n: underscore_name(n) for n in labels})
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from paneloom.functions.classes import corr_direction, corr_strength
 from paneloom.functions.numeric import both_count, safe_corr
+from paneloom.session import cut_lineage
 
 # Fewest complete rows for a correlation or a line.
 MIN_ROWS = 6
@@ -86,13 +88,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles, one column ``q{i}`` per probability.
 
-    A mergeable sketch of fixed size brackets each quantile from both sides. Equal values are then
-    counted together, everything below a bracket enters as a sum, and only the distinct values inside
-    a bracket, a few times ``1/accuracy`` of them, are ordered. Nothing is sampled: the sketch only
+    A mergeable sketch of fixed size brackets each quantile from both sides. One conditional aggregate
+    over the rows then sums up everything below a bracket, and only the values inside a bracket, a few
+    times ``1/accuracy`` of all, are shuffled, counted and ordered. Nothing is sampled: the sketch only
     decides where to look, and the neighbours of each bracket are kept for ranks at its very edge.
     """
-    value = F.col(col).cast("double")
-    rows = df.select(*by, value.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    rows = finite_rows(df, col, by)
     margin = 4.0 / accuracy
     low = [max(0.0, p - margin) for p in probs]
     high = [min(1.0, p + margin) for p in probs]
@@ -101,19 +102,19 @@ def exact_quantiles(
         F.percentile_approx("_v", low, accuracy).alias("_lo"),
         F.percentile_approx("_v", high, accuracy).alias("_hi"),
     )
-    counts = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = attach(counts, bracket, by)
+    placed = attach(rows, bracket, by)
     below, inside = [], []
     for i in range(len(probs)):
         lo, hi = F.col("_lo")[i], F.col("_hi")[i]
         below += [
-            F.coalesce(F.sum(F.when(F.col("_v") < lo, F.col("_n"))), F.lit(0)).alias(f"_below{i}"),
+            F.count_if(F.col("_v") < lo).alias(f"_below{i}"),
             F.max(F.when(F.col("_v") < lo, F.col("_v"))).alias(f"_pred{i}"),
             F.min(F.when(F.col("_v") > hi, F.col("_v"))).alias(f"_succ{i}"),
         ]
         inside.append(F.when(F.col("_v").between(lo, hi), F.lit(i)))
-    frame = placed.groupBy(*by).agg(F.first("_total").alias("_total"), *below)
-    core = placed.withColumn("_i", F.explode(F.array(*inside))).filter("_i is not null").select(*by, "_i", "_v", "_n")
+    frame = placed.groupBy(*by).agg(F.max("_total").alias("_total"), *below)
+    near = placed.select(*by, "_v", F.explode(F.array_compact(F.array(*inside))).alias("_i"))
+    core = near.groupBy(*by, "_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
     running = F.sum("_n").over(
         Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -143,15 +144,30 @@ def exact_quantiles(
 
 
 def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Columns of ``stats`` next to each row: joined by key, or as a scalar when there is no key."""
+    """Columns of ``stats``, one row per key, next to each row of ``df``: joined by key, nulls being a key
+    too, or as a scalar when there is no key.
+
+    The keyed statistics are written first, so the planner knows their size: a small table is sent to the
+    rows, which then need no exchange, and a large one is joined.
+    """
     if by:
-        return df.join(stats, list(by))
+        found = cut_lineage(stats, "stats").withColumnsRenamed({k: f"_key_{k}" for k in by})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in by])
+        return df.join(found, same, "left").drop(*[f"_key_{k}" for k in by])
     row = stats.select(F.struct(*stats.columns).alias("s")).scalar()
     return df.withColumn("_stats", row).select(*df.columns, *[F.col("_stats")[c].alias(c) for c in stats.columns])
 
 
-def describe_col(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+def finite_rows(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` and the value as the double ``_v``, without missing values and NaN."""
     value = F.col(col).cast("double")
+    return df.select(*keep, value.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+
+
+def describe_col(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Count, mean, exact median, deviation and range of the values; NaN counts as missing."""
+    cast = F.col(col).cast("double")
+    value = F.when(~F.isnan(cast), cast)
     basic = df.groupBy(*by).agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
@@ -164,9 +180,8 @@ def describe_col(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
-    """Equal-width bins from minimum to maximum, the last one closed; empty bins count zero."""
-    value = F.col(col).cast("double")
-    rows = df.select(*by, value.alias("_v")).filter(F.col("_v").isNotNull())
+    """Equal-width bins from minimum to maximum, the last one closed; empty bins count zero, NaN is missing."""
+    rows = finite_rows(df, col, by)
     bounds = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     place = F.when(
@@ -181,14 +196,16 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] = ()) -
         (F.col("_lo") + step * (F.col("bin") - 1)).alias("bin_low"),
         (F.col("_lo") + step * F.col("bin")).alias("bin_high"),
     )
-    return edges.join(counts, [*by, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    found = counts.withColumnsRenamed({k: f"_key_{k}" for k in (*by, "bin")})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in (*by, "bin")])
+    filled = edges.join(found, same, "left").drop(*[f"_key_{k}" for k in (*by, "bin")])
+    return filled.withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 interquartile ranges, and outlier count."""
     fenced = _fences(df, col, by)
-    rows = df.select(*by, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    placed = attach(rows, fenced, by)
+    placed = attach(finite_rows(df, col, by), fenced, by)
     inside = F.col("_v").between(F.col("low_fence"), F.col("high_fence"))
     return placed.groupBy(*by, "q1", "median", "q3", "low_fence", "high_fence").agg(
         F.min(F.when(inside, F.col("_v"))).alias("low_whisker"),
@@ -198,9 +215,9 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def box_outliers(df: DataFrame, col: str, by: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
-    """Rows outside the fences."""
+    """Rows outside the fences; NaN is missing."""
     placed = attach(df.select(*by, *keep, col), _fences(df, col, by), by)
-    return placed.filter(~F.col(col).between(F.col("low_fence"), F.col("high_fence"))).select(*by, *keep, col)
+    return placed.filter(~F.isnan(F.col(col).cast("double")) & ~F.col(col).between(F.col("low_fence"), F.col("high_fence"))).select(*by, *keep, col)
 
 
 def _fences(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:

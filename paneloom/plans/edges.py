@@ -102,18 +102,18 @@ def build_graph(vertices: DataFrame, *edges: DataFrame) -> tuple[DataFrame, Data
 
 def panel_graph(
     panel: DataFrame, metrics: DataFrame, threshold: float = CORRELATION_MIN, min_points: int = MIN_POINTS,
-    policy: float = POLICY_DIFF_MAX, max_lag: int = PEAK_LAG_MAX,
+    policy: float = POLICY_DIFF_MAX, max_lag: int = PEAK_LAG_MAX, types: Sequence[str] = (SIMILAR, POLICY, SPREAD, BELONGS),
 ) -> tuple[DataFrame, DataFrame]:
-    """The whole graph of a prepared panel and its entity metrics; the metrics, one row per entity,
-    feed four of the five parts and are written out first."""
+    """The graph of a prepared panel and its entity metrics, with the edges of the ``types`` asked for; the
+    metrics, one row per entity, feed four of the five parts and are written out first."""
     stored = cut_lineage(metrics, "metrics")
-    return build_graph(
-        vertices_of(stored),
-        correlation_edges(panel, threshold, min_points),
-        policy_edges(stored, policy),
-        spread_edges(stored, max_lag),
-        belongs_edges(stored),
-    )
+    parts = {
+        SIMILAR: lambda: correlation_edges(panel, threshold, min_points),
+        POLICY: lambda: policy_edges(stored, policy),
+        SPREAD: lambda: spread_edges(stored, max_lag),
+        BELONGS: lambda: belongs_edges(stored),
+    }
+    return build_graph(vertices_of(stored), *[parts[t]() for t in types])
 
 
 def undirected(edges: DataFrame, columns: Sequence[str] = ()) -> DataFrame:

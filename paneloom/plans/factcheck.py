@@ -76,7 +76,7 @@ def weekly_factchecks(expanded: DataFrame, top: int = TOP_CATEGORIES) -> DataFra
 def merge_factchecks(panel: DataFrame, weekly: DataFrame, date: str = "Date") -> DataFrame:
     """Weekly checks on every day of their week; columns of an earlier run are replaced."""
     clean = drop_derived(panel, prefixes=("factcheck_", "fc_"))
-    return join_weekly(clean, weekly, ["ISO_Code"], date, weekly_date="_week")
+    return join_weekly(clean, weekly, ["ISO_Code"], date, weekly_date="_week", unique=True)
 
 
 def coverage(df: DataFrame, col: str = "factcheck_count") -> DataFrame:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from paneloom.operators.aggregates import dedupe_first
 from paneloom.operators.ordering import union_prefer
 from paneloom.operators.windows import rolling_mean_col, series
-from paneloom.session import cut_lineage, scratch_path
+from paneloom.session import cut_lineage
 
 KEY, DAY, TARGET = "ISO_Code", "Date", "New_Cases_7d"
 
@@ -24,6 +22,12 @@ TREES, DEPTH, LEAF, SEED = 200, 8, 5, 42
 MIN_TRAINING_ROWS = 30
 HORIZON, INERTIA, SMOOTHING = 60, 0.85, 7
 
+#: MLlib draws a bootstrap for each partition, so training rows are dealt by key into a fixed number of them
+#: and sorted: the same rows give the same forest on any number of cores.
+TRAIN_PARTITIONS = 32
+#: Forecast steps between two cuts of the plan.
+CUT = 10
+
 # Policy features, with and without live data.
 LIVE_FEATURES = (
     "containment_health_index", "stringency_index", "c1m_school_closing", "c2m_workplace_closing",
@@ -86,14 +90,14 @@ def fit_forest(
     train: DataFrame, names: Sequence[str], target: str = TARGET, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF
 ) -> tuple[RandomForestRegressionModel, float] | None:
     """Forest and its in-sample R2, or nothing when there are too few rows to learn from."""
-    slim = train.select(*[F.col(n).cast("double").alias(n) for n in names], F.col(target).cast("double").alias("label"))
+    values = [F.col(n).cast("double").alias(n) for n in names]
+    order = [c for c in (KEY, DAY) if c in train.columns] or list(names)
+    slim = train.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *values, F.col(target).cast("double").alias("label"))
     # Training passes over the rows many times: they are written once instead of derived each time.
     stored = cut_lineage(slim, "training")
     if stored.limit(MIN_TRAINING_ROWS + 1).count() <= MIN_TRAINING_ROWS:
         return None
-    parts = stored.sparkSession.sparkContext.defaultParallelism
-    if stored.rdd.getNumPartitions() < parts:
-        stored = stored.repartition(parts)
+    stored = stored.repartition(TRAIN_PARTITIONS, "_o0").sortWithinPartitions(*[f"_o{i}" for i in range(len(order))], *names, "label")
     data = assemble(stored, names).select("features", "label")
     forest = RandomForestRegressor(
         numTrees=trees,
@@ -151,52 +155,6 @@ def last_states(
     return ends.join(frozen, key)
 
 
-def forest_tables(spark: SparkSession, model: RandomForestRegressionModel) -> dict[str, np.ndarray | int]:
-    """Splits of a fitted forest as flat arrays, for scoring inside tasks.
-
-    The size is bounded by the model's parameters, ``trees * 2 ** (depth + 1)`` nodes, whatever the data.
-    """
-    path = scratch_path(spark, "forest")
-    model.write().save(path)
-    nodes = (
-        spark.read.parquet(f"{path}/data")
-        .select(
-            F.col("treeID").alias("tree"),
-            "nodeData.id",
-            F.col("nodeData.leftChild").alias("left"),
-            F.col("nodeData.rightChild").alias("right"),
-            F.col("nodeData.prediction").alias("value"),
-            F.col("nodeData.split.featureIndex").alias("feature"),
-            F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-        )
-        .toPandas()
-        .sort_values(["tree", "id"])
-    )
-    starts = nodes.groupby("tree")["id"].size().cumsum().shift(fill_value=0)
-    base = nodes["tree"].map(starts).to_numpy()
-    here = base + nodes["id"].to_numpy()
-    inner = nodes["left"].to_numpy() >= 0
-    return {
-        "depth": max(t.depth for t in model.trees),
-        "roots": starts.to_numpy(),
-        "feature": np.where(inner, nodes["feature"].to_numpy(), 0),
-        "threshold": np.where(inner, nodes["threshold"].to_numpy(dtype=float), np.inf),
-        "left": np.where(inner, base + nodes["left"].to_numpy(), here),
-        "right": np.where(inner, base + nodes["right"].to_numpy(), here),
-        "value": nodes["value"].to_numpy(),
-    }
-
-
-def forest_scores(tables: dict[str, np.ndarray | int], x: np.ndarray) -> np.ndarray:
-    """Mean over the trees for each row of ``x``; leaves point at themselves."""
-    at = np.broadcast_to(tables["roots"], (len(x), len(tables["roots"]))).copy()
-    row = np.arange(len(x))[:, None]
-    for _ in range(tables["depth"]):
-        goes_left = x[row, tables["feature"][at]] <= tables["threshold"][at]
-        at = np.where(goes_left, tables["left"][at], tables["right"][at])
-    return tables["value"][at].mean(axis=1)
-
-
 def forecast(
     model: RandomForestRegressionModel,
     states: DataFrame,
@@ -208,37 +166,26 @@ def forecast(
 ) -> DataFrame:
     """Roll every entity forward ``horizon`` days.
 
-    Entities do not depend on each other, so their states are spread over the cluster once and each
-    task rolls its batches forward in memory: every step predicts from the frozen features and the
-    lags found in the growing series, and keeps ``alpha`` of the previous value. One pass, no lineage
-    to cut and no job per step.
+    A step is one ``transform`` over all entities at once: it predicts from the frozen features and the
+    lags found in the growing series, keeps ``alpha`` of the previous value and appends the result. The
+    states are rows of fixed size, so no step needs an exchange; the plan is cut every ``CUT`` steps.
     """
-    spark = states.sparkSession
     present = [f for f in feats if f in states.columns]
-    forest = spark.sparkContext.broadcast(forest_tables(spark, model))
-    width = max(LAGS)
-
-    def roll(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            frozen = batch[present].fillna(0.0).to_numpy(dtype=float)
-            # Series are right-aligned; what lies before their start counts as zero, as missing lags do.
-            grown = np.zeros((len(batch), width + horizon))
-            for at, recent in enumerate(batch["recent"]):
-                tail = np.asarray(recent, dtype=float)[-width:]
-                grown[at, width - len(tail) : width] = tail
-            for now in range(width, width + horizon):
-                lags = [grown[:, now - n] for n in LAGS]
-                raw = forest_scores(forest.value, np.column_stack([frozen, *lags]))
-                grown[:, now] = np.maximum(alpha * grown[:, now - 1] + (1 - alpha) * raw, 0.0)
-            ahead = pd.DataFrame(grown[:, width:].T).rolling(SMOOTHING, min_periods=1).mean().to_numpy().T
-            yield pd.DataFrame({"k": batch[key], "last_date": batch["last_date"], "path": list(ahead)})
-
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    slim = states.select(key, "last_date", *[F.col(f).cast("double").alias(f) for f in present], "recent")
-    kind = states.schema[key].dataType.simpleString()
-    rolled = slim.repartition(parts, key).mapInPandas(roll, f"k {kind}, last_date date, path array<double>")
-    days = rolled.select(F.col("k").alias(key), "last_date", F.posexplode("path").alias("_i", "ML_Future"))
-    return days.select(key, F.date_add("last_date", (F.col("_i") + 1).cast("int")).alias(date), "ML_Future")
+    names = [*present, *(f"lag_{n}" for n in LAGS)]
+    grown = states.select(key, "last_date", *present, F.col("recent").cast("array<double>").alias("_grown"), F.size("recent").alias("_n0"))
+    grown = grown.repartition(key)
+    for step in range(1, horizon + 1):
+        # An index before the start of the series gives null, and missing lags count as zero.
+        lags = {f"lag_{n}": F.get("_grown", F.size("_grown") - F.lit(n)) for n in LAGS}
+        scored = predict(grown.withColumns(lags), model, names, "_raw")
+        last = F.coalesce(F.try_element_at("_grown", F.lit(-1)), F.lit(0.0))
+        value = F.greatest(F.lit(alpha) * last + F.lit(1 - alpha) * F.col("_raw"), F.lit(0.0))
+        grown = scored.withColumn("_grown", F.concat("_grown", F.array(value))).select(*grown.columns)
+        if step % CUT == 0 and step < horizon:
+            grown = cut_lineage(grown, "forecast")
+    ahead = grown.select(key, "last_date", F.posexplode(F.slice("_grown", F.col("_n0") + 1, horizon)).alias("_i", "_v"))
+    days = ahead.withColumn(date, F.date_add("last_date", (F.col("_i") + 1).cast("int")))
+    return days.select(key, date, rolling_mean_col("_v", series(key, date), SMOOTHING).alias("ML_Future"))
 
 
 def importances(spark: SparkSession, model: RandomForestRegressionModel, names: Sequence[str]) -> DataFrame:

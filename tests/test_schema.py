@@ -50,21 +50,20 @@ def test_casts_never_raise(spark, rows):
     assert rows(schema.clean_nonfinite(dirty)) == [(1.0,), (None,), (None,), (None,), (None,)]
 
 
-def test_pivot_takes_the_first_row_even_if_null(spark, rows, monkeypatch):
+def test_pivot_takes_the_first_row_even_if_null(spark, rows):
     long = spark.createDataFrame(
         [("A", 1, "new tests", None, 1), ("A", 1, "new tests", 7.0, 2), ("A", 1, "beds", 3.0, 5), ("A", 1, "beds", 4.0, 4)],
         "k string, d int, indicator string, value double, seq int",
     )
-    for limit in (32, 0):
-        monkeypatch.setattr(schema, "WIDE_AGGREGATE", limit)
-        wide = schema.pivot_first(long, ["k", "d"], "indicator", "value", ["seq"])
-        assert rows(wide.select("k", "d", "beds", "new_tests")) == [("A", 1, 4.0, None)]
+    wide = schema.pivot_first(long, ["k", "d"], "indicator", "value", ["seq"])
+    assert rows(wide.select("k", "d", "beds", "new_tests")) == [("A", 1, 4.0, None)]
+    assert rows(schema.first_values(long, ["k", "d"], "indicator", "value", ["seq"])) == [("A", 1, "beds", 4.0), ("A", 1, "new tests", None)]
 
 
-def test_pivot_refuses_unbounded_names(spark):
-    wide = spark.range(20).select(F.lit(1).alias("k"), F.col("id").cast("string").alias("name"), F.lit(1.0).alias("v"))
-    with pytest.raises(ValueError):
-        schema.category_values(wide, "name", limit=10)
+def test_pivot_of_many_names(spark):
+    long = spark.range(400).select((F.col("id") % 2).alias("k"), F.concat(F.lit("n"), (F.col("id") % 90).cast("string")).alias("name"), F.col("id").alias("v"))
+    wide = schema.pivot_first(long, ["k"], "name", "v")
+    assert len(wide.columns) == 91 and {r["k"]: r["n4"] for r in wide.collect()} == {0: 4, 1: None}
 
 
 def test_category_names():
@@ -81,6 +80,8 @@ def test_row_mean_skips_nulls(spark, rows):
 def test_column_finders(spark):
     df = spark.createDataFrame([("x", f"2020-01-{d:02d}", d % 3) for d in range(1, 20)], "a string, when string, c int")
     assert schema.sniff_column(df, "date", dates.parse_day) == "when"
+    late = df.withColumn("when", F.when(F.col("when") > "2020-01-12", F.col("when")))
+    assert schema.sniff_column(late, "date", dates.parse_day) == "when"
     assert schema.sniff_column(df, "country", dates.parse_day) == "when" and schema.sniff_column(df, "country") is None
     assert schema.pick_low_cardinality(df, ["when", "c"], 5) == "c"
     assert schema.pick_populated(df.withColumn("e", F.lit(None)), ["e", "zz", "c"], 3) == "c"

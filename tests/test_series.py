@@ -150,6 +150,20 @@ def test_distribution_by_entity(panel, frame):
     assert all(r["b"] == 50 for r in hist) and {r["ISO_Code"]: r["n"] for r in hist} == frame.groupby("ISO_Code")["x"].count().to_dict()
 
 
+def test_null_groups_and_nan(spark):
+    values = [("a", 1.0), ("a", 2.0), ("a", 3.0), ("a", float("nan")), (None, 5.0), (None, 7.0), (None, None), ("empty", None)]
+    df = spark.createDataFrame(values, "k string, v double")
+    described = {r["k"]: (r["count"], r["mean"], r["median"], r["max"]) for r in ST.describe_col(df, "v", ["k"]).collect()}
+    assert described == {"a": (3, 2.0, 2.0, 3.0), None: (2, 6.0, 6.0, 7.0), "empty": (0, None, None, None)}
+    assert ST.describe_col(df, "v").first()["median"] == 3.0
+    bins = {(r["k"], r["bin"]): (r["bin_low"], r["n"]) for r in ST.histogram(df, "v", 2, ["k"]).collect()}
+    assert bins == {("a", 1): (1.0, 1), ("a", 2): (2.0, 2), (None, 1): (5.0, 1), (None, 2): (6.0, 1)}
+    box = {r["k"]: (r["median"], r["n_outliers"]) for r in ST.box_stats(df, "v", ["k"]).collect()}
+    assert box == {"a": (2.0, 0), None: (6.0, 0)}
+    far = df.unionByName(spark.createDataFrame([("a", 99.0)], df.schema))
+    assert [tuple(r) for r in ST.box_outliers(far, "v", ["k"]).collect()] == [("a", 99.0)]
+
+
 def test_constant_histogram(spark):
     bins = ST.histogram(spark.createDataFrame([(4.0,)] * 3, "v double"), "v").collect()
     assert len(bins) == 50 and sum(b["n"] for b in bins) == 3
