@@ -17,7 +17,7 @@ from paneloom.llm.frequent import frequent_strings
 from paneloom.llm.tasks import SharedArrays, documents
 
 LEXICON_WORDS = 50_000  # words compiled into the transducer: about 2 MB
-CACHED = 200_000  # strings that a worker remembers
+CACHED = 400_000  # pieces, and words, that a worker remembers
 SIDE_BY_SIDE = 32  # bytes of the longest words that are merged side by side
 UNRANKED = 1 << 40
 CHUNK = 1_000_000  # characters of text that are looked up together
@@ -211,6 +211,18 @@ def spaced(text: str) -> list[str]:
     return ("\n" + text).replace("\n", " \n").split(" ")[1:]
 
 
+def words_of(piece: str, pattern: regex.Pattern) -> list[str] | None:
+    """Words that the pattern finds in a piece of plainly spaced text; None for an odd piece. Letters, and
+    letters with one full stop or comma behind them, need no pattern."""
+    if piece.isalpha():
+        return [f" {piece}"]
+    if piece[-1:] in (".", ",") and piece[:-1].isalpha():
+        return [f" {piece[:-1]}", piece[-1]]
+    if ODD.match(piece):
+        return None
+    return pattern.findall(piece if piece[0] == "\n" else f" {piece}")
+
+
 class Encoder:
     """Exact encoding in a task, with the transducer in front of the merges and memories in front of both."""
 
@@ -239,7 +251,7 @@ class Encoder:
             plan.append([(x, [] if x in self.v.added else spaced(x)) for x in parts])
             for _, pieces in plan[-1]:
                 met.update(pieces)
-        new = {p: None if ODD.match(p) else self.v.word.findall(p if p[0] == "\n" else " " + p) for p in met if p not in self.pieces}
+        new = {p: words_of(p, self.v.word) for p in met if p not in self.pieces}
         self.learn_words(set(chain.from_iterable(inside for inside in new.values() if inside)))
         word = self.words.__getitem__
         for piece, inside in new.items():
@@ -268,7 +280,7 @@ def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> Sha
     """The transducer of the most frequent words of all documents, as a file that workers memory-map."""
     vocabulary = Vocabulary(path)
     pieces = frequent_strings(docs, spaced, words)
-    inside = dict.fromkeys(chain.from_iterable(vocabulary.word.findall(p if p[:1] == "\n" else " " + p) for p in pieces))
+    inside = dict.fromkeys(chain.from_iterable(words_of(p, vocabulary.word) or [] for p in pieces))
     frequent = [w.encode() for w in list(inside)[:words]]
     entries = dict(zip(frequent, vocabulary.merge_all(frequent)))
     return SharedArrays(docs.sparkSession, "lexicon", compile_words(entries))
