@@ -574,3 +574,13 @@ def verify_load(spark: SparkSession, sf: str) -> DataFrame:
     """Q3."""
     slim = fx.merged(spark, sf).select("ISO_Code", "Date", "disinfo_index", "trust_ratio")
     return quality.verify_load(slim)
+
+
+@query("trend_reader", "SELECT user_id, ts::DATE AS date, CASE WHEN event_type <> 'view' THEN round(value, 2) END AS search_interest FROM events")
+def trend_reader(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC4: days and interests come back typed, text that is no number as null."""
+    path = scratch_path(spark, "trends")
+    interest = F.when(F.col("event_type") == "view", F.lit("<1")).otherwise(F.round("value", 2).cast("string"))
+    rows = table(spark, sf, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"), interest.alias("search_interest"), F.lit("False").alias("isPartial"))
+    writers.write_csv(rows, path)
+    return readers.read_trends(spark, path).select(F.col("user_id").cast("long").alias("user_id"), "date", "search_interest")

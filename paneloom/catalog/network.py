@@ -108,6 +108,13 @@ def continent_density(spark: SparkSession, sf: str) -> DataFrame:
     return G.continent_density(*fx.graph(spark, sf, E.SIMILAR))
 
 
+@query("continent_density_wide", f"""WITH {fx.GRAPH} SELECT a.continent, 2 * count(*) AS internal_links FROM linked JOIN metrics a ON a.iso_code = src JOIN metrics b ON b.iso_code = dst
+    WHERE a.continent = b.continent GROUP BY 1""")
+def continent_density_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """GQ7 with both orientations and the unknown continent."""
+    return G.continent_density(*fx.graph(spark, sf, E.SIMILAR), both_orientations=True, keep_unknown=True)
+
+
 _TOP = f"""{fx.GRAPH}, top AS (SELECT iso_code, continent, total_deaths_per_million FROM metrics ORDER BY total_deaths_per_million DESC, iso_code LIMIT 30),
 links AS (SELECT src, dst, type FROM edges WHERE type <> 'BELONGS_TO' AND src IN (SELECT iso_code FROM top) AND dst IN (SELECT iso_code FROM top))"""
 

@@ -364,6 +364,12 @@ def new_cases_series(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(V.new_cases(fx.panel(spark, sf)))
 
 
+@query("scoped_page", round_sql(f"WITH {fx.PANEL} SELECT ISO_Code, Date, New_Cases, New_Cases_7d FROM panel WHERE ISO_Code = 'U7' AND Date BETWEEN DATE '{fx.SINCE}' AND DATE '2999-12-31'", ["New_Cases_7d"]))
+def scoped_page(spark: SparkSession, sf: str) -> DataFrame:
+    """V8 for one entity and a range of days, as a page shows it."""
+    return rounded(V.new_cases(fx.panel(spark, sf), "U7", (fx.SINCE, "2999-12-31")))
+
+
 @query("new_deaths_series", round_sql(f"WITH {fx.PANEL} SELECT ISO_Code, Date, New_Deaths, New_Deaths_7d FROM panel", ["New_Deaths_7d"]))
 def new_deaths_series(spark: SparkSession, sf: str) -> DataFrame:
     """V9."""
