@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paneloom.catalog import fixtures as fx
 from paneloom.catalog.base import query, round_sql, rounded, table
 from paneloom.functions import classes, dates, numeric, records, text
-from paneloom.operators import filters, ordering, quality, schema
+from paneloom.operators import filters, ordering, quality, schema, windows
 from paneloom.session import scratch_path
 from paneloom.sources import readers, writers
 
@@ -474,11 +474,7 @@ def threshold_classes(spark: SparkSession, sf: str) -> DataFrame:
 )
 def path_edges(spark: SparkSession, sf: str) -> DataFrame:
     """SC14: the turns of a conversation as a path."""
-    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("p")
-    )
-    edges = turns.select(F.explode(records.path_edges(F.col("p.role"))).alias("e"))
-    return edges.groupBy("e.src", "e.dst").agg(F.count(F.lit(1)).alias("n"))
+    return windows.path_steps(table(spark, sf, "conversations"), "conv_id", ["turn"], "role")
 
 
 @query("sort_panel", f"WITH {fx.NATIONS} SELECT ISO_Code, Date, n FROM nations ORDER BY ISO_Code, Date")

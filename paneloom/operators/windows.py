@@ -8,10 +8,18 @@ specification that ``series`` returns, so that Spark plans a single exchange and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from paneloom.session import cut_lineage
+
+#: Different steps that a task counts before it passes them on.
+STEPS = 100_000
+
 
 def series(key: str | Sequence[str], order: str | Sequence[str]) -> WindowSpec:
     keys = [key] if isinstance(key, str) else list(key)
@@ -71,3 +79,51 @@ def first_batches(df: DataFrame, key: str, batch: str, n: int) -> DataFrame:
     rank = F.dense_rank().over(Window.partitionBy(key).orderBy(batch))
     keep = batches.withColumn("_r", rank).filter(F.col("_r") <= n).drop("_r")
     return df.join(keep, [key, batch], "left_semi")
+
+
+def path_steps(df: DataFrame, path: str, order: Sequence[str], node: str) -> DataFrame:
+    """(src, dst, n): how often each node follows another in the paths by ``order``, ties by node.
+
+    Rows are dealt by range over (path, order), so a path spreads over as many tasks as its length asks for.
+    A task counts the steps inside its sorted rows; only its first and its last row go on, to be laid end to
+    end with those of its neighbours. A null path is one path; steps to a null node are left out.
+    """
+    keys = [path, *[c for c in order if c not in (path, node)], node]
+    dealt = df.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ends = dealt.select(F.col(path).alias("path"), F.col(node).cast("string").alias("node"))
+    kind = df.schema[path].dataType.simpleString()
+    names = ["part", "edge", "path", "src", "dst", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, steps, first, last, kept = TaskContext.get().partitionId(), Counter(), None, None, None
+
+        def told(rows: list[tuple]) -> pa.RecordBatch:
+            cols = list(zip(*rows)) if rows else [()] * 6
+            kinds = (pa.int32(), pa.int32(), kept, pa.string(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+
+        for batch in batches:
+            kept = batch.column("path").type
+            for row in zip(batch.column("path").to_pylist(), batch.column("node").to_pylist()):
+                if last is None:
+                    first = row
+                elif row[0] == last[0] and row[1] is not None:
+                    steps[last[1], row[1]] += 1
+                last = row
+            if len(steps) > STEPS:
+                yield told([(part, 0, None, a, b, n) for (a, b), n in steps.items()])
+                steps.clear()
+        if last is not None:
+            inner = [(part, 0, None, a, b, n) for (a, b), n in steps.items()]
+            yield told([*inner, (part, 1, first[0], None, first[1], 0), (part, 2, last[0], last[1], None, 0)])
+
+    counted = cut_lineage(ends.mapInArrow(run, f"part int, edge int, path {kind}, src string, dst string, n long"), "steps")
+    # Two rows for each task: the last row of a part meets the first one of the next part that has rows.
+    along = Window.orderBy("part", "edge")
+    following = F.lead(F.struct("path", F.col("dst").alias("node"))).over(along)
+    joints = counted.filter("edge > 0").withColumn("next", following).filter("edge = 2 and next is not null")
+    joints = joints.filter(F.col("path").eqNullSafe(F.col("next.path")) & F.col("next.node").isNotNull())
+    inside = counted.filter("edge = 0").select("src", "dst", "n")
+    steps = inside.union(joints.select("src", F.col("next.node").alias("dst"), F.lit(1).cast("long").alias("n")))
+    back = [F.col(c).cast(df.schema[node].dataType).alias(c) for c in ("src", "dst")]
+    return steps.groupBy("src", "dst").agg(F.sum("n").alias("n")).select(*back, "n")
