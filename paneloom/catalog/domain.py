@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -299,6 +300,57 @@ def corr_matrix_by_entity(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(V.correlation_family(fx.panel(spark, sf), "health", per_entity=True))
 
 
+def family_sql(cols: Sequence[str], name: str) -> str:
+    """Every pair of ``cols`` over the whole table ``name``."""
+    return " UNION ALL ".join(
+        f"SELECT '{x}' AS x, '{y}' AS y, {_SAFE.format(x=x, y=y)} AS r, count(*) FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL) AS n FROM {name}"
+        for x, y in combinations(cols, 2))
+
+
+_INFODEMIC = ("disinfo_index", *V.NARRATIVES, "proscience_index", *V.INTENTS, "trust_ratio", "sentiment_balance")
+
+
+@query("corr_matrix_infodemic", round_sql(f"WITH {fx.MERGED} {family_sql(_INFODEMIC, 'merged')}", ["r"]))
+def corr_matrix_infodemic(spark: SparkSession, sf: str) -> DataFrame:
+    """V19 for the infodemic family over all entities."""
+    return rounded(V.correlation_family(fx.merged(spark, sf), "infodemic"))
+
+
+_VACCINATION = ("people_fully_vaccinated_per_hundred", "people_vaccinated_per_hundred", "new_vaccinations_smoothed")
+
+
+@query("corr_matrix_vaccination", round_sql(f"WITH {fx.PANEL} {family_sql(_VACCINATION, 'panel')}", ["r"]))
+def corr_matrix_vaccination(spark: SparkSession, sf: str) -> DataFrame:
+    """V19 for the vaccination columns that the panel has."""
+    return rounded(V.correlation_family(fx.panel(spark, sf), "vaccination"))
+
+
+@query("corr_matrix_factcheck", round_sql(f"""WITH {_CHECKED}, week_cells AS (
+      SELECT ISO_Code, _week, 0 AS k, 'factcheck_count' AS col, factcheck_count::DOUBLE AS v FROM check_weekly
+      UNION ALL SELECT ISO_Code, _week, 1, 'factcheck_cumulative', factcheck_cumulative::DOUBLE FROM check_weekly
+      UNION ALL SELECT w.ISO_Code, w._week, 2, 'fc_' || t.category, count(l.category)::DOUBLE
+        FROM check_weekly w CROSS JOIN (SELECT DISTINCT category FROM check_labelled) t
+          LEFT JOIN check_labelled l ON l.ISO_Code = w.ISO_Code AND l._week = w._week AND l.category = t.category GROUP BY ALL),
+    day_cells AS (SELECT n.ISO_Code, n.Date, k, col, v FROM nations n JOIN week_cells c ON c.ISO_Code = n.ISO_Code AND c._week = date_trunc('week', n.Date))
+    SELECT a.col AS x, b.col AS y, CASE WHEN stddev_pop(a.v) >= 1e-9 AND stddev_pop(b.v) >= 1e-9 THEN corr(a.v, b.v) END AS r, count(*) AS n
+    FROM day_cells a JOIN day_cells b ON a.ISO_Code = b.ISO_Code AND a.Date = b.Date AND (a.k < b.k OR a.k = b.k AND a.col < b.col)
+    GROUP BY 1, 2 HAVING count(*) >= 6""", ["r"]))
+def corr_matrix_factcheck(spark: SparkSession, sf: str) -> DataFrame:
+    """V19 for the fact-check family: totals and every category column."""
+    return rounded(V.correlation_family(checked_nations(spark, sf), "factcheck"))
+
+
+_EXCESS = [c for c in V.EXCESS if c in fx.MEASURES]
+
+
+@query("corr_matrix_excess", round_sql(f"""WITH {fx.PANEL}, pairs AS ({family_sql(_EXCESS, 'panel')}),
+    filled AS (SELECT col FROM (SELECT {", ".join(f"count({c}) AS {c}" for c in _EXCESS)} FROM panel) UNPIVOT (n FOR col IN ({", ".join(_EXCESS)})) WHERE n > 3)
+    SELECT * FROM pairs WHERE x IN (SELECT col FROM filled) AND y IN (SELECT col FROM filled)""", ["r"]))
+def corr_matrix_excess(spark: SparkSession, sf: str) -> DataFrame:
+    """V19 for the excess columns with more than three values."""
+    return rounded(V.correlation_family(fx.panel(spark, sf), "excess"))
+
+
 @query("ols", round_sql("""SELECT regr_count(l_extendedprice, l_quantity)::BIGINT AS n, regr_slope(l_extendedprice, l_quantity) AS slope,
     regr_intercept(l_extendedprice, l_quantity) AS intercept, corr(l_extendedprice, l_quantity) ** 2 AS r2 FROM lineitem""", ["slope", "intercept", "r2"], 4))
 def ols(spark: SparkSession, sf: str) -> DataFrame:
