@@ -7,8 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paneloom.catalog.base import query, table
+from paneloom.llm.audit import audit_filters
 from paneloom.llm.bpe import encode_documents
 from paneloom.llm.counts import count_tokens
+from paneloom.llm.infill import infill, restored
 from paneloom.llm.licenses import ANCHORS, COPYRIGHT, KNOWN, SPELLINGS, scan_licenses
 from paneloom.llm.lines import dedup_lines
 from paneloom.llm.lm import score_documents
@@ -223,3 +225,81 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("parts", ",").alias("parts"),
         (F.col("whole").isNotNull() | (F.size("parts") > 0)).alias("licensed"),
     )
+
+
+def draw_sql(group: int) -> str:
+    return f"CAST('0x' || substr(sha256('1:' || CAST(doc_id AS VARCHAR)), {8 * group + 1}, 8) AS BIGINT)"
+
+
+INFILL_SQL = f"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, least({draw_sql(0)} % (len(u) + 1), {draw_sql(1)} % (len(u) + 1)) AS a, greatest({draw_sql(0)} % (len(u) + 1), {draw_sql(1)} % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {draw_sql(2)} % 100 >= 90 THEN 'plain'
+      WHEN {draw_sql(3)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM units
+), parts AS (
+  SELECT doc_id, n, form, text, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM drawn
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op12_fill_in_middle", INFILL_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    made = infill(table(spark, sf, "documents"), plain=90, spm=20)
+    whole = restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(whole, 256).alias("restored_sha256")
+    )
+
+
+WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+AUDIT_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {WORDS_SQL} AS w FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS first FROM texts GROUP BY text
+), fails AS (
+  SELECT texts.doc_id, part,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(texts.text, '[^A-Z]', '', 'g')) > 10 * length(texts.text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(texts.text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN texts.doc_id > first THEN 'E' ELSE '' END AS failed
+  FROM texts JOIN firsts ON texts.text = firsts.text
+), marks AS (
+  SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, failed, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM fails LEFT JOIN marks USING (doc_id) GROUP BY part, failed
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), steps AS (
+  SELECT o AS filter_order, step::INTEGER AS step, o[step] AS own, o[1:step - 1] AS before
+  FROM (
+    SELECT a.l || b.l || c.l || d.l || e.l AS o, unnest(range(1, 6)) AS step FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+  )
+), counted AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN translate(failed, before || own, '') = failed THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN contains(failed, own) AND translate(failed, before, '') = failed THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(failed, own) AND translate(failed, before, '') <> failed THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(failed, own) AND translate(failed, before, '') = failed THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(failed, own) AND translate(failed, before, '') = failed THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return audit_filters(table(spark, sf, "documents"), table(spark, sf, "labels"))
