@@ -19,6 +19,7 @@ from paneloom.llm.quality import judge_quality
 from paneloom.llm.ranking import rank_quality
 from paneloom.llm.setsketch import near_duplicates
 from paneloom.llm.sharding import shard_documents
+from paneloom.llm.substrings import dedup_substrings
 from paneloom.llm.tasks import crc_of_id
 
 #: Folder of the public tokenizer files; every worker has it at the same place.
@@ -227,6 +228,35 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+SUBSTRINGS_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, {WORDS_SQL} AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS phrase FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM texts WHERE len(w) >= 35)
+), repeated AS (
+  SELECT doc_id, i FROM windows WHERE phrase IN (SELECT phrase FROM windows GROUP BY phrase HAVING count(*) > 1)
+), marked AS (
+  SELECT words.doc_id, words.i, word, max(repeated.i) OVER (PARTITION BY words.doc_id ORDER BY words.i) AS last
+  FROM words LEFT JOIN repeated ON words.doc_id = repeated.doc_id AND words.i = repeated.i
+), kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE i < last + 35) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE last IS NULL OR i >= last + 35) AS body
+  FROM marked GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op11_substring_dedup", SUBSTRINGS_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    kept = dedup_substrings(table(spark, sf, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def draw_sql(group: int) -> str:
     return f"CAST('0x' || substr(sha256('1:' || CAST(doc_id AS VARCHAR)), {8 * group + 1}, 8) AS BIGINT)"
 
@@ -258,8 +288,6 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-WORDS_SQL = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
-
 AUDIT_SQL = f"""
 WITH texts AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {WORDS_SQL} AS w FROM documents
