@@ -10,25 +10,48 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from paneloom.llm.frequent import frequent_strings
+from paneloom.llm.frequent import frequent_pieces, split_pieces
 from paneloom.llm.tasks import SharedArrays, documents
 
 LEXICON_WORDS = 50_000  # words compiled into the transducer: about 2 MB
 CACHED = 400_000  # pieces, and words, that a worker remembers
 SIDE_BY_SIDE = 32  # bytes of the longest words that are merged side by side
 UNRANKED = 1 << 40
-CHUNK = 1_000_000  # characters of text that are looked up together
+CHUNK = 4_000_000  # bytes of text that are looked up together
 
-# The pattern that splits text before merges, with Unicode white space spelled out.
-WHITE = r"\t-\r\x20\x85\xa0  -     　"
-WORD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
+# The pattern that splits text before merges, for text whose code points beyond ASCII are replaced by
+# an ASCII one of their class: a letter that no contraction has, a digit, a sign, or white space that is no space.
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+STAND_IN = {"a": "A", "1": "0", "!": "!"}
 #: A piece that is empty, a mere line end, or holds other white space: its text is split by the pattern instead.
 ODD = re.compile(r"\n?\Z|.+\s", re.DOTALL)
 
 
+class Alphabet(dict):
+    """The stand-in of each code point met, for ``str.translate``. What class a code point has is asked of the
+    library itself, as its tables are those of another Unicode version than Python's: the code point belongs to
+    the class of the sign in front of it if the library does not part them."""
+
+    def __init__(self):
+        super().__init__((point, point) for point in range(128))
+        from tokenizers import pre_tokenizers
+
+        self.split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+
+    def __missing__(self, point: int) -> str:
+        found = next((own for sign, own in STAND_IN.items() if len(self.split(sign + chr(point))) == 1), "\t")
+        self[point] = found
+        return found
+
+    def words(self, text: str) -> list[str]:
+        if text.isascii():
+            return WORD.findall(text)
+        return [text[m.start() : m.end()] for m in WORD.finditer(text.translate(self))]
+
+
 class Vocabulary:
     """A byte-level BPE file: the bytes of each id, the merges by pairs of ids, the added tokens."""
 
@@ -37,6 +60,8 @@ class Vocabulary:
             told = json.load(file)
         if told["model"]["type"] != "BPE" or told["normalizer"] or told["pre_tokenizer"]["type"] != "ByteLevel":
             raise ValueError(f"{path} is not a plain byte-level BPE")
+        if told["pre_tokenizer"].get("add_prefix_space") or not told["pre_tokenizer"].get("use_regex", True):
+            raise ValueError(f"{path} splits words in another way")
         ids = told["model"]["vocab"]
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         signs = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(plain))}
@@ -55,7 +80,7 @@ class Vocabulary:
         order = np.argsort(keys)
         self.keys, self.ranks, self.merged = keys[order], order, np.array([new for *_, new in merges], np.int64)
         self.cut = re.compile("|".join(f"({re.escape(x)})" for x in sorted(self.added, key=len, reverse=True))) if self.added else None
-        self.word = regex.compile(WORD)
+        self.alphabet = Alphabet()
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of the lowest rank is merged, the leftmost first, until none is left.
@@ -205,22 +230,17 @@ def look_up(lexicon: dict[str, np.ndarray], words: list[bytes]) -> list[list[int
     return [None if gone else ids[ends[p] : ends[p + 1]].tolist() for gone, p in zip(lost.tolist(), place.tolist())]
 
 
-def spaced(text: str) -> list[str]:
-    """Pieces of a text with plain spacing, where each space or line end begins a new one. A piece stands for
-    itself behind a space, or begins with its line end; the first one is given a line end."""
-    return ("\n" + text).replace("\n", " \n").split(" ")[1:]
-
-
-def words_of(piece: str, pattern: regex.Pattern) -> list[str] | None:
-    """Words that the pattern finds in a piece of plainly spaced text; None for an odd piece. Letters, and
+def words_of(piece: str, alphabet: Alphabet) -> list[str] | None:
+    """Words that the pattern finds in a piece of plainly spaced text; None for an odd piece. ASCII letters, and
     letters with one full stop or comma behind them, need no pattern."""
-    if piece.isalpha():
-        return [f" {piece}"]
-    if piece[-1:] in (".", ",") and piece[:-1].isalpha():
-        return [f" {piece[:-1]}", piece[-1]]
+    if piece.isascii():
+        if piece.isalpha():
+            return [f" {piece}"]
+        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
+            return [f" {piece[:-1]}", piece[-1]]
     if ODD.match(piece):
         return None
-    return pattern.findall(piece if piece[0] == "\n" else f" {piece}")
+    return alphabet.words(piece if piece[0] == "\n" else f" {piece}")
 
 
 class Encoder:
@@ -238,37 +258,54 @@ class Encoder:
         self.words.update((w, tuple(ids)) for w, ids in zip(new, found) if ids is not None)
         self.words.update(zip(unseen, map(tuple, self.v.merge_all([w.encode() for w in unseen]))))
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Added tokens inside a text are themselves, as the library does by default."""
-        if len(self.pieces) > self.cached:
-            self.pieces.clear()
-        if len(self.words) > self.cached:
-            self.words.clear()
-        plan: list[list[tuple[str, list[str]]]] = []
-        met: set[str] = set()
-        for text in texts:
-            parts = [x for x in (self.v.cut.split(text) if self.v.cut else [text]) if x] if text else []
-            plan.append([(x, [] if x in self.v.added else spaced(x)) for x in parts])
-            for _, pieces in plan[-1]:
-                met.update(pieces)
-        new = {p: words_of(p, self.v.word) for p in met if p not in self.pieces}
+    def learn_pieces(self, pieces: list[str]) -> None:
+        new = {p: words_of(p, self.v.alphabet) for p in pieces if p not in self.pieces}
         self.learn_words(set(chain.from_iterable(inside for inside in new.values() if inside)))
         word = self.words.__getitem__
         for piece, inside in new.items():
             self.pieces[piece] = None if inside is None else word(inside[0]) if len(inside) == 1 else tuple(chain.from_iterable(map(word, inside)))
-        return [list(chain.from_iterable(self.ids_of(*part) for part in parts)) for parts in plan]
 
-    def ids_of(self, part: str, pieces: list[str]) -> list[int]:
-        if not pieces:
-            return [self.v.added[part]]
-        found = list(map(self.pieces.__getitem__, pieces))
-        if None not in found:
-            out = list(chain.from_iterable(found))
-            del out[0]  # the line end given to the first piece
-            return out
-        inside = self.v.word.findall(part)
-        self.learn_words(set(inside))
-        return list(chain.from_iterable(map(self.words.__getitem__, inside)))
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the number of ids of each.
+
+        Texts are split into pieces that begin at spaces and line ends, and each different piece is encoded once;
+        the ids of its occurrences are gathered by offsets. Texts with odd pieces or added tokens are encoded by
+        themselves; added tokens inside a text are themselves, as the library does by default.
+        """
+        if len(self.pieces) > self.cached:
+            self.pieces.clear()
+        if len(self.words) > self.cached:
+            self.words.clear()
+        texts = texts.fill_null("")
+        lists = split_pieces(pc.binary_join_element_wise(pa.scalar("\n"), texts, pa.scalar("")))
+        coded = lists.flatten().dictionary_encode()
+        pieces, codes, starts = coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        self.learn_pieces(pieces)
+        found = [self.pieces[p] for p in pieces]
+        odd = np.array([x is None for x in found], bool)[codes]
+        odd[starts[:-1]] = False  # the empty piece in front of the line end given to each text
+        lengths = np.fromiter((len(x or ()) for x in found), np.int64, len(found))
+        table = np.fromiter(chain.from_iterable(x or () for x in found), np.int32, int(lengths.sum()))
+        own = lengths[codes]
+        ends = np.cumsum(own)
+        ids = table[np.repeat((np.cumsum(lengths) - lengths)[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.concatenate(([0], ends))[starts]
+        alone = np.add.reduceat(odd, starts[:-1]) > 0 if len(texts) else odd
+        for token in self.v.added:
+            alone |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        parts = [np.array(self.encode_alone(texts[k].as_py()), np.int32) if alone[k] else ids[edges[k] + 1 : edges[k + 1]] for k in range(len(texts))]
+        return np.concatenate([*parts, np.empty(0, np.int32)]), np.array([len(p) for p in parts], np.int64)
+
+    def encode_alone(self, text: str) -> list[int]:
+        out: list[int] = []
+        for part in (self.v.cut.split(text) if self.v.cut else [text]):
+            if part in self.v.added:
+                out.append(self.v.added[part])
+            elif part:
+                inside = self.v.alphabet.words(part)
+                self.learn_words(set(inside))
+                out += chain.from_iterable(map(self.words.__getitem__, inside))
+        return out
 
 
 def decode_ids(vocabulary: Vocabulary, ids: list[int]) -> str:
@@ -279,8 +316,8 @@ def decode_ids(vocabulary: Vocabulary, ids: list[int]) -> str:
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> SharedArrays:
     """The transducer of the most frequent words of all documents, as a file that workers memory-map."""
     vocabulary = Vocabulary(path)
-    pieces = frequent_strings(docs, spaced, words)
-    inside = dict.fromkeys(chain.from_iterable(words_of(p, vocabulary.word) or [] for p in pieces))
+    pieces = frequent_pieces(docs, words)
+    inside = dict.fromkeys(chain.from_iterable(words_of(p, vocabulary.alphabet) or [] for p in pieces))
     frequent = [w.encode() for w in list(inside)[:words]]
     entries = dict(zip(frequent, vocabulary.merge_all(frequent)))
     return SharedArrays(docs.sparkSession, "lexicon", compile_words(entries))
@@ -290,7 +327,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """(doc_id, ids array<int>) of each document, with ``decode`` also ``decoded``, the text of the ids.
 
     Exactly what the vocabulary's library gives, whatever the lexicon holds. Null and empty texts have no
-    ids; repeated rows each get theirs; very long texts are encoded whole; further columns are ignored.
+    ids; repeated rows each get theirs; very long texts are encoded whole; an empty table gives no rows; further
+    columns are ignored.
     """
     docs = documents(docs, id_col, text_col)
     lexicon = build_lexicon(docs, path, words)
@@ -300,18 +338,17 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(path), lexicon.open())
         for batch in batches:
-            texts, start = batch.column("text"), 0
+            start, sizes = 0, np.cumsum(np.asarray(pc.binary_length(batch.column("text")).fill_null(0), np.int64))
             while start < batch.num_rows:
-                chunk, size = [], 0
-                while size < CHUNK and start + len(chunk) < batch.num_rows:
-                    chunk.append(texts[start + len(chunk)].as_py())
-                    size += len(chunk[-1] or "")
-                ids = encoder.encode(chunk)
-                cells = [batch.column("doc_id").slice(start, len(chunk)), pa.array(ids, pa.list_(pa.int32()))]
+                stop = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + CHUNK)))
+                rows = batch.slice(start, stop - start)
+                ids, counts = encoder.encode(rows.column("text"))
+                ends = np.concatenate(([0], np.cumsum(counts)))
+                cells = [rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))]
                 if decode:
-                    cells.append(pa.array([decode_ids(encoder.v, x) for x in ids], pa.string()))
+                    cells.append(pa.array([decode_ids(encoder.v, ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(cells, names=names)
-                start += len(chunk)
+                start = stop
 
     return docs.mapInArrow(run, f"doc_id {kind}, ids array<int>" + ", decoded string" * decode)
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paneloom.catalog.base import query, table
@@ -22,8 +21,8 @@ from paneloom.llm.sharding import shard_documents
 from paneloom.llm.substrings import dedup_substrings
 from paneloom.llm.tasks import crc_of_id
 
-#: Folder of the public tokenizer files; every worker has it at the same place.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: Vocabulary files; every worker has them at the same place.
+BYTE_BPE, PIECE_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -89,7 +88,7 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op3_bpe_round_trip")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
-    coded = encode_documents(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", decode=True)
+    coded = encode_documents(table(spark, sf, "documents"), BYTE_BPE, decode=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -100,7 +99,7 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
-    return count_tokens(table(spark, sf, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", limit=4096)
+    return count_tokens(table(spark, sf, "documents"), PIECE_BPE, limit=4096)
 
 
 @query("op5_quality_rules")

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from paneloom.llm.frequent import frequent_strings
+from paneloom.llm.frequent import LONGEST, frequent_pieces
 from paneloom.llm.tasks import documents, map_documents
 
-FREQUENT = 50_000  # pre-tokens in the broadcast table: about 1 MB
-CACHED = 300_000  # further pre-tokens that a worker remembers
+FREQUENT = 50_000  # pre-tokens in the broadcast table: about 1 MB, as none is longer than LONGEST bytes
+CACHED = 300_000  # pre-tokens that a worker remembers, none longer either
 SPACE_SIGN = "▁"
 SEGMENT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 
@@ -39,32 +42,66 @@ def pre_tokens(text: str) -> list[str]:
     return marked.split(" ")[1:]
 
 
+@dataclass(frozen=True)
+class LengthTable:
+    """A compact hash table of pre-tokens and their lengths: open addressing over their bytes, which lie one after
+    the other, so any byte may occur in them."""
+
+    slots: np.ndarray  # number of an entry plus 1, 0 where free
+    ends: np.ndarray
+    data: bytes
+    lengths: np.ndarray
+
+    @classmethod
+    def of(cls, entries: dict[str, int]) -> LengthTable:
+        keys = [k.encode() for k in entries]
+        slots = np.zeros(max(8, 1 << (2 * len(keys)).bit_length()), np.int32)
+        for number, key in enumerate(keys, 1):
+            at = xxhash.xxh3_64_intdigest(key) % len(slots)
+            while slots[at]:
+                at = (at + 1) % len(slots)
+            slots[at] = number
+        return cls(slots, np.cumsum([0, *map(len, keys)], dtype=np.int64), b"".join(keys), np.array(list(entries.values()), np.int32))
+
+    def find(self, word: str) -> int | None:
+        key = word.encode()
+        at = xxhash.xxh3_64_intdigest(key) % len(self.slots)
+        while number := int(self.slots[at]):
+            if self.data[self.ends[number - 1] : self.ends[number]] == key:
+                return int(self.lengths[number - 1])
+            at = (at + 1) % len(self.slots)
+        return None
+
+
 class Lengths(dict):
-    """Tokens of a pre-token: the broadcast table first, then what this worker has met, else the model."""
+    """Tokens of a pre-token: what this worker has met, then the broadcast table, else the model."""
 
-    def __init__(self, model, frequent: dict[str, int], cached: int = CACHED):
-        super().__init__(frequent)
-        self.model, self.frequent, self.limit = model, frequent, len(frequent) + cached
+    def __init__(self, model, table: LengthTable | None = None, cached: int = CACHED):
+        super().__init__()
+        self.model, self.table, self.limit = model, table or LengthTable.of({}), cached
 
     def __missing__(self, word: str) -> int:
-        count = lambda text: len(self.model.encode(text, num_threads=1))
-        if word[:1] == "\0":
-            segment = word[1:]
-            if segment[:1] == " ":
-                value = count(segment[1:]) or 1
-            else:
-                value = 1 if segment == "\n" else count("\n" + segment) - 2
-        else:
-            value = count(word) - (word[:1] == "\n")
-        self[word] = value
+        value = self.table.find(word)
+        if value is None:
+            value = self.count(word)
+        if len(word) <= LONGEST:
+            self[word] = value
         return value
 
+    def count(self, word: str) -> int:
+        tokens = lambda text: len(self.model.encode(text, num_threads=1))
+        if word[:1] != "\0":
+            return tokens(word) - (word[:1] == "\n")
+        segment = word[1:]
+        if segment[:1] == " ":
+            return tokens(segment[1:]) or 1
+        return 1 if segment == "\n" else tokens("\n" + segment) - 2
+
     def total(self, text: str | None) -> int:
         if not text:
             return 0
         if len(self) > self.limit:
             self.clear()
-            self.update(self.frequent)
         return sum(map(self.__getitem__, pre_tokens(text)))
 
 
@@ -75,17 +112,16 @@ def count_tokens(
 
     The frequent pre-tokens come from reports of all tasks; no pre-token is shuffled, and the broadcast has
     ``frequent`` entries at most. Null and empty texts have no tokens; repeated rows each get theirs; very
-    long texts are counted whole; further columns are ignored.
+    long texts are counted whole; an empty table gives no rows; further columns are ignored.
     """
     docs = documents(docs, id_col, text_col)
-    table = Lengths(load(path), {})
-    known = {word: table[word] for word in frequent_strings(docs, pre_tokens, frequent)}
-    sent = docs.sparkSession.sparkContext.broadcast(("\1".join(known), list(known.values())) if known else ("", []))
+    lengths = Lengths(load(path))
+    plain = [p for p in frequent_pieces(docs, frequent) if "\0" not in p and SPACE_SIGN not in p and p != "\n"]
+    sent = docs.sparkSession.sparkContext.broadcast(LengthTable.of({p: lengths.count(p) for p in plain}))
 
     def make():
-        words, values = sent.value
-        lengths = Lengths(load(path), dict(zip(words.split("\1"), values)))
-        return lambda texts: {"n_tokens": [lengths.total(text) for text in texts]}
+        known = Lengths(load(path), sent.value)
+        return lambda texts: {"n_tokens": [known.total(text) for text in texts]}
 
     sized = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     counted = map_documents(sized, make, "n_tokens long", ("doc_id", "n_bytes"))

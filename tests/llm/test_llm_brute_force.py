@@ -17,7 +17,7 @@ from paneloom.llm import bpe, catalog, counts, lines, lm, ngrams, postings, qual
 from paneloom.llm.tasks import SharedArrays, WordHashes
 
 SF = "/root/testdata/sf0.001"
-BPE, PIECES = f"{catalog.TOKENIZERS}/byte_bpe_50k.json", f"{catalog.TOKENIZERS}/piece_bpe_32k.model"
+BPE, PIECES = catalog.BYTE_BPE, catalog.PIECE_BPE
 SCRAPS = [
     " ", "\n", "  ", "\t", "a", "b", "The", " of", "'s", "'re", "é", "ß", "123", "٣", "!!", "...", "<|endoftext|>", "\xa0", " ", "\x1c", "\x85",
     "漢字", "😀", "é", "worthless", "\r\n", "_", "$$$", "\x00", "▁", "<s>", "<unk>", "THE", "hello",

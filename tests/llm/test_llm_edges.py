@@ -18,8 +18,8 @@ CLASH = ("shard", "slot", "n_lines", "n_dropped", "dropped", "version", "key", "
 OPERATORS = {
     "shards": lambda d, l, b: sharding.shard_documents(d),
     "lines": lambda d, l, b: lines.dedup_lines(d),
-    "encode": lambda d, l, b: bpe.encode_documents(d, f"{catalog.TOKENIZERS}/byte_bpe_50k.json", decode=True),
-    "counts": lambda d, l, b: counts.count_tokens(d, f"{catalog.TOKENIZERS}/piece_bpe_32k.model"),
+    "encode": lambda d, l, b: bpe.encode_documents(d, catalog.BYTE_BPE, decode=True),
+    "counts": lambda d, l, b: counts.count_tokens(d, catalog.PIECE_BPE),
     "quality": lambda d, l, b: quality.judge_quality(d, l),
     "lm": lambda d, l, b: lm.score_documents(d, F.lit(True)),
     "ranking": lambda d, l, b: ranking.rank_quality(d, l),

@@ -63,4 +63,4 @@ def test_pipeline_equals_plain_stages(spark):
 def test_stages_are_those_of_the_contract():
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality classifier", "line dedup", "MinHash near-dedup", "benchmark decontamination", "BPE encoding and decoding"]
-    assert catalog.TOKENIZERS and corpus_pipeline.ORACLE_SQL is None
+    assert catalog.BYTE_BPE and corpus_pipeline.ORACLE_SQL is None
