@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paneloom.catalog.base import table
 from paneloom.llm.bpe import encode_documents
-from paneloom.llm.catalog import TOKENIZERS
+from paneloom.llm.catalog import BYTE_BPE
 from paneloom.llm.lines import dedup_lines
 from paneloom.llm.postings import decontaminate
 from paneloom.llm.ranking import rank_quality
@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document left, and a digest of their decoded text."""
-    coded = encode_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json", decode=True)
+    coded = encode_documents(docs, BYTE_BPE, decode=True)
     return coded.select(
         "doc_id",
         "ids",
