@@ -148,7 +148,7 @@ FROM documents LEFT JOIN sets USING (doc_id) LEFT JOIN named USING (doc_id)
 
 @query("op8_near_duplicates", NEAR_SQL)
 def op8(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(table(spark, sf, "documents"), size=2, percent=80)
+    return near_duplicates(table(spark, sf, "documents"), size=2, percent=80).drop("version")
 
 
 TERMS_SQL = "regexp_extract_all(" + LOWER_SQL.format("coalesce(text, '')") + ", '[0-9a-z\\x{80}-\\x{10FFFF}]+')"

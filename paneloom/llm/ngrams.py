@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +16,7 @@ WORD_SIZES, CHAR_SIZES = (1, 2), (2, 4)
 SHAPES = 6
 KINDS = len(WORD_SIZES) + len(CHAR_SIZES)
 WIDTH = (KINDS << BITS) + SHAPES
+FEATURE_BYTES = 256_000_000  # features of a sample that a model is fitted to, at most
 
 
 class Grams:
@@ -81,28 +82,53 @@ class Rows:
         return np.add.reduceat(weights[self.ids] * self.values, np.append(0, self.ends[:-1])) if len(self) else np.empty(0)
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int, among: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> Rows:
-    """Features of at most ``rows`` labelled documents, those whose keys hash lowest: the same ones each time,
-    spread over the table, and whole texts. The bound makes the keys safe to broadcast and the features safe
-    to collect. Rows without a label or key are left out; of repeated labels one holds."""
+def labelled_features(docs: DataFrame, labels: DataFrame, label: str, rows: int, among: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(h, k, label, ids, vals) of at most ``rows`` labelled documents, those whose keys hash lowest: the same ones
+    each time, spread over the table, and whole texts. The bound makes the keys safe to broadcast. Rows without a
+    label or key are left out; of repeated labels the greatest holds, and of texts that share a key one counts."""
     named = labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("label")).where("label is not null and doc_id is not null")
     named = named.where(among) if among is not None else named
     order = F.xxhash64(F.col("doc_id").cast("string"))
     picked = named.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(order, "doc_id").limit(rows)
-    texts = documents(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label")
+    met = documents(docs, id_col, text_col).join(F.broadcast(picked), "doc_id")
+    texts = met.groupBy("doc_id").agg(F.max("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text")).withColumn("h", order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch in batches:
             found = [grams.sparse(t) for t in batch.column("text").to_pylist()]
-            cells = [batch.column("doc_id").cast(pa.string()), batch.column("label"), *(pa.array([np.asarray(f[k], kind).tobytes() for f in found], pa.binary()) for k, kind in ((0, "<i4"), (1, "<f4")))]
-            yield pa.RecordBatch.from_arrays(cells, names=["k", "label", "ids", "vals"])
-
-    told = texts.mapInArrow(run, "k string, label int, ids binary, vals binary").toArrow().sort_by([("k", "ascending"), ("ids", "ascending")])
-    ids = [np.frombuffer(x.as_py(), "<i4") for x in told.column("ids")]
-    values = [np.frombuffer(x.as_py(), "<f4") for x in told.column("vals")]
-    empty = np.empty(0, np.int32)
-    return Rows(np.concatenate(ids or [empty]), np.concatenate(values or [empty.astype(np.float32)]), np.cumsum([len(x) for x in ids], dtype=np.int64), np.array(told.column("label").to_pylist(), np.int64))
+            cells = [batch.column("h"), batch.column("doc_id").cast(pa.string()), batch.column("label"), *(pa.array([np.asarray(f[k], kind).tobytes() for f in found], pa.binary()) for k, kind in ((0, "<i4"), (1, "<f4")))]
+            yield pa.RecordBatch.from_arrays(cells, names=["h", "k", "label", "ids", "vals"])
+
+    return texts.mapInArrow(run, "h long, k string, label int, ids binary, vals binary")
+
+
+def fit_in_task(features: DataFrame, fit: Callable[[Rows], tuple[np.ndarray, list[float]]], most_bytes: int = FEATURE_BYTES) -> tuple[np.ndarray, list[float]]:
+    """Weights and numbers of a model fitted to a bounded sample, in a task: only the model comes to the driver.
+
+    The task takes the rows in the order of their hashes until their features fill ``most_bytes``, whatever the
+    length of the texts; at least one row counts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, values, labels, size = [], [], [], 0
+        for batch in batches:
+            for own, weight, label in zip(batch.column("ids"), batch.column("vals"), batch.column("label").to_pylist()):
+                size += 2 * len(own.as_buffer())
+                if size <= most_bytes or not labels:
+                    ids.append(np.frombuffer(own.as_py(), "<i4"))
+                    values.append(np.frombuffer(weight.as_py(), "<f4"))
+                    labels.append(label)
+        ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
+        flat = [np.concatenate([np.empty(0, kind), *parts]) for kind, parts in ((np.int32, ids), (np.float32, values))]
+        weights, numbers = fit(Rows(*flat, ends, np.array(labels, np.int64)))
+        cells = [pa.array([weights.astype("<f4").tobytes()], pa.binary()), pa.array([numbers], pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(cells, names=["weights", "numbers"])
+
+    told = features.repartition(1).sortWithinPartitions("h", "k").mapInArrow(run, "weights binary, numbers array<double>").first()
+    if told is None:  # a table without partitions has no task
+        return fit(Rows(np.empty(0, np.int32), np.empty(0, np.float32), np.empty(0, np.int64), np.empty(0, np.int64)))
+    return np.frombuffer(told["weights"], "<f4"), list(told["numbers"])
 
 
 class Learner:

@@ -18,7 +18,7 @@ from paneloom.session import cut_lineage
 
 SHARD_BYTES = 4_000_000  # text of a shard; a longer document is a shard of its own
 BLOCK_WORDS = 500_000  # query words that the driver and a task hold at a time
-INDEX = "doc_ids array<{0}>, n_words binary, terms binary, ends binary, positions binary"
+INDEX = "doc_ids array<{0}>, versions array<long>, n_words binary, terms binary, ends binary, positions binary"
 
 #: Everything in ASCII but digits and letters separates terms; A-Z become a-z; bytes from 0x80 on are in terms.
 TERM_BYTES = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in LOWER)
@@ -29,7 +29,7 @@ def terms_of(text: str | None) -> list[bytes]:
 
 
 def build_index(docs: DataFrame, vocabulary: SharedArrays | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Postings of ``docs`` (doc_id, text), a row for each shard: the documents with their word counts, the
+    """Postings of ``docs`` (doc_id, text), a row for each shard: the documents with a hash of their texts and their word counts, the
     sorted term hashes, and the positions of all terms one after the other, with the end of each list.
     Positions run through the shard; one free place after each document keeps phrases from crossing.
 
@@ -42,6 +42,7 @@ def build_index(docs: DataFrame, vocabulary: SharedArrays | None = None, shard_b
         hashes = WordHashes()
         wanted = None if vocabulary is None else vocabulary.open()["terms"]
         ids: list = []
+        versions: list = []
         found: list[np.ndarray] = []
         size = 0
 
@@ -60,24 +61,25 @@ def build_index(docs: DataFrame, vocabulary: SharedArrays | None = None, shard_b
             ends = np.cumsum(np.bincount(codes, minlength=len(terms)), dtype=np.int64)
             cells = [counts, terms.astype(np.uint64), ends, places[order].astype(np.int32)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(id_type)), *(pa.array([c.tobytes()], pa.binary()) for c in cells)],
-                names=["doc_ids", "n_words", "terms", "ends", "positions"],
+                [pa.array([ids], pa.list_(id_type)), pa.array([versions], pa.list_(pa.int64())), *(pa.array([c.tobytes()], pa.binary()) for c in cells)],
+                names=["doc_ids", "versions", "n_words", "terms", "ends", "positions"],
             )
 
         id_type = pa.int64()
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for key, version, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "text"))):
                 ids.append(key)
+                versions.append(version)
                 found.append(hashes.of(terms_of(text)))
                 size += len(text or "") + 1
                 if size >= shard_bytes:
                     yield shard()
-                    ids, found, size = [], [], 0
+                    ids, versions, found, size = [], [], [], 0
         if ids:
             yield shard()
 
-    return docs.select("doc_id", "text").mapInArrow(run, INDEX.format(kind))
+    return docs.select("doc_id", F.xxhash64("text").alias("version"), "text").mapInArrow(run, INDEX.format(kind))
 
 
 class Shard:
@@ -85,7 +87,7 @@ class Shard:
 
     def __init__(self, batch: pa.RecordBatch, row: int):
         cell = lambda name, kind: np.frombuffer(batch.column(name)[row].as_buffer(), kind)
-        self.ids = batch.column("doc_ids")[row].values
+        self.ids, self.versions = (batch.column(c)[row].values for c in ("doc_ids", "versions"))
         self.n_words = cell("n_words", np.int32).astype(np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.n_words + 1)))
         self.terms, self.ends, self.positions = cell("terms", np.uint64), cell("ends", np.int64), cell("positions", np.int32)
@@ -153,7 +155,7 @@ def phrase_blocks(benchmark: DataFrame, window: int, block_words: int) -> tuple[
 
 
 def find_phrases(index: DataFrame, blocks: list[tuple[SharedArrays, list[str]]]) -> DataFrame:
-    """A row for each document of the index: n_words, n_hit (words inside any occurrence) and the sorted
+    """A row for each document of the index: version (the hash of its text), n_words, n_hit (words inside any occurrence) and the sorted
     distinct items that own an occurring phrase."""
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
 
@@ -183,11 +185,11 @@ def find_phrases(index: DataFrame, blocks: list[tuple[SharedArrays, list[str]]])
                 hit = np.concatenate(([0], np.cumsum(np.cumsum(edges) > 0)))
                 n_hit = hit[shard.starts[1:]] - hit[shard.starts[:-1]]
                 yield pa.RecordBatch.from_arrays(
-                    [shard.ids, pa.array(shard.n_words), pa.array(n_hit.astype(np.int64)), pa.array([sorted(x) for x in owned], pa.list_(pa.string()))],
-                    names=["doc_id", "n_words", "n_hit", "items"],
+                    [shard.ids, shard.versions, pa.array(shard.n_words), pa.array(n_hit.astype(np.int64)), pa.array([sorted(x) for x in owned], pa.list_(pa.string()))],
+                    names=["doc_id", "version", "n_words", "n_hit", "items"],
                 )
 
-    return index.mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, items array<string>")
+    return index.mapInArrow(run, f"doc_id {kind}, version long, n_words long, n_hit long, items array<string>")
 
 
 def find_near(index: DataFrame, words: Sequence[str], within: int) -> DataFrame:
@@ -235,11 +237,12 @@ def decontaminate(
     block_words: int = BLOCK_WORDS,
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """Each document's n_words, n_hit, items and ``contaminated``: at least ``share`` of its words, and one
+    """Each document's version (a hash of its text), n_words, n_hit, items and ``contaminated``: at least ``share`` of its words, and one
     at least, lie inside occurrences of benchmark windows of ``window`` words (all words of shorter items).
 
     Null and empty texts have no words and are clean; items without words match nothing; repeated rows each
-    get their own result; an empty table gives no rows; further columns are ignored.
+    get their own result; very long texts are a shard of their own; an empty table gives no rows; further columns
+    are ignored.
     """
     vocabulary, blocks = phrase_blocks(documents(benchmark, item_col, text_col), window, block_words)
     index = cut_lineage(build_index(documents(docs, id_col, text_col), vocabulary, shard_bytes), "postings")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paneloom.llm.ngrams import Grams, Learner, Rows, WIDTH, labelled_rows, platt, sigmoid
+from paneloom.llm.ngrams import Grams, Learner, Rows, WIDTH, fit_in_task, labelled_features, platt, sigmoid
 from paneloom.llm.tasks import WordHashes, chain, documents, map_documents
 
 SAMPLE = 4_000  # labelled rows that the model is fitted to, at most
@@ -76,10 +76,16 @@ def judge_quality(
     probability of at least ``threshold``.
 
     The model is fitted to at most ``sample`` labelled rows (where ``among`` holds) and goes to the tasks as
-    weights of a fixed size. Null and empty texts have no words and fail; repeated rows are judged alike;
-    an empty table gives no rows; further columns are ignored.
+    weights of a fixed size; a task fits it, and the driver sees nothing else. Null and empty texts have no words and
+    fail; repeated rows are judged alike; very long texts are judged whole; an empty table gives no rows; further
+    columns are ignored.
     """
-    model = fit(labelled_rows(docs, labels, "quality", sample, among, id_col, text_col))
+    def fitted(rows: Rows) -> tuple[np.ndarray, list[float]]:
+        found = fit(rows)
+        return found.weights, [found.slope, found.shift]
+
+    weights, numbers = fit_in_task(labelled_features(docs, labels, "quality", sample, among, id_col, text_col), fitted)
+    model = Classifier(weights, *numbers)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH weights
 
     def make():

@@ -83,7 +83,7 @@ class Sketch:
 
 
 def sketches(docs: DataFrame, size: int, sketch: Sketch) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, registers): the set of word shingles as its size, a 128-bit digest and
+    """(doc_id, version, n_shingles, d1, d2, registers): the set of word shingles as its size, a 128-bit digest and
     its registers, which are null for an empty set."""
 
     def make():
@@ -101,7 +101,7 @@ def sketches(docs: DataFrame, size: int, sketch: Sketch) -> DataFrame:
 
         return score
 
-    return map_documents(docs, make, "n_shingles long, d1 long, d2 long, registers binary")
+    return map_documents(docs, make, "n_shingles long, d1 long, d2 long, registers binary", ("doc_id", "version"))
 
 
 def band_rows(classes: DataFrame, sketch: Sketch) -> DataFrame:
@@ -291,7 +291,7 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Each document's n_shingles, component_id and ``kept``, for links at ``percent`` of Jaccard similarity
+    """Each document's version (a hash of its text), n_shingles, component_id and ``kept``, for links at ``percent`` of Jaccard similarity
     between sets of ``size``-word shingles.
 
     ``margin`` is how far below ``percent`` an estimate may lie before the pair is given up: 5 standard
@@ -302,9 +302,10 @@ def near_duplicates(
 
     Texts without words have empty sets and are linked with nothing; fewer words than ``size`` make one
     shingle; rows that share a doc_id are one document; rows with a null doc_id are linked with nothing, and
-    stay, their component null; an empty table gives no rows; further columns are ignored.
+    stay, their component null; very long texts are compared whole; an empty table gives no rows; further columns
+    are ignored.
     """
-    docs = documents(docs, id_col, text_col)
+    docs = documents(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
     drawn = cut_lineage(sketches(docs, size, sketch), "sketches")
     able = drawn.where("n_shingles > 0 and doc_id is not null")
     whole = able.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
@@ -324,4 +325,4 @@ def near_duplicates(
     named = whole.select("d1", "d2", "rep").join(labels, "rep", "left").select("d1", "d2", F.coalesce("label", "rep").alias("label"))
     out = drawn.drop("registers").join(named, ["d1", "d2"], "left")
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("label")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "version", "n_shingles", own.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -107,7 +107,7 @@ def map_documents(
             arrays = {n: batch.column(n) for n in carry} | {n: v if isinstance(v, pa.Array) else pa.array(v) for n, v in new.items()}
             yield pa.RecordBatch.from_arrays([arrays[n] for n in names], names=names)
 
-    return docs.select(*carry, "text").mapInArrow(run, ", ".join([*kept, schema]))
+    return docs.select(*dict.fromkeys((*carry, "text"))).mapInArrow(run, ", ".join([*kept, schema]))
 
 
 def mounted_dir(spark: SparkSession, name: str) -> str | None:

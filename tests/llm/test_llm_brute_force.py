@@ -171,7 +171,9 @@ def test_platt_and_cut():
     scores, labels = np.array([-3.0, -2, -1, 1, 2, 3]), np.array([0, 0, 0, 1, 1, 1])
     slope, shift = ngrams.platt(scores, labels)
     assert 0 < slope < 100 and abs(shift) < 0.5
-    assert ranking.best_cut(scores, labels) == 0
+    assert ranking.quantile_cut(scores, labels) == 0
+    assert ranking.quantile_cut(np.array([3.0, 1, 2]), np.array([0, 0, 1])) == 2.5
+    assert ranking.quantile_cut(scores, labels * 0) > 3 and ranking.quantile_cut(scores, labels * 0 + 1) < -3
 
 
 # 6

@@ -64,3 +64,26 @@ def test_stages_are_those_of_the_contract():
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality classifier", "line dedup", "MinHash near-dedup", "benchmark decontamination", "BPE encoding and decoding"]
     assert catalog.BYTE_BPE and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_rows_that_share_a_key_are_judged_by_themselves(spark, tmp_path):
+    passage = " ".join(f"bench{k}" for k in range(30))
+    clean = [" ".join(f"word{j}x{k}" for k in range(60)) for j in range(5)]
+    rows = [(1, passage), (1, clean[0]), (2, passage), (3, clean[1]), (3, clean[1]), (None, clean[2]), (None, passage), (4, None), (5, clean[3] + " end"), (6, clean[3])]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(9, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = lambda out: sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    assert kept(corpus_pipeline.quality(spark, docs, str(tmp_path))) == sorted(rows, key=repr)
+    assert kept(corpus_pipeline.decontamination(spark, docs, str(tmp_path))) == sorted([r for r in rows if r[1] != passage], key=repr)
+    near = kept(corpus_pipeline.near_duplicate(spark, docs, str(tmp_path)))
+    assert near == sorted([(1, passage), (1, clean[0]), (3, clean[1]), (None, clean[2]), (None, passage), (4, None), (5, clean[3] + " end")], key=repr)
+
+
+def test_quality_judges_rows_by_their_text(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    verdicts = {r["doc_id"]: r["predicted"] for r in ranking.rank_quality(docs, spark.read.parquet(f"{SF}/labels.parquet"), "quality").collect()}
+    bad, good = (min(k for k, v in verdicts.items() if v == verdict) for verdict in (0, 1))
+    other = docs.where(f"doc_id = {bad}").selectExpr(f"{good}L AS doc_id", "text", "lang", "source", "n_chars")
+    out = corpus_pipeline.quality(spark, docs.unionByName(other), SF).where(f"doc_id = {good}").collect()
+    assert len(out) == 1 and out[0]["text"] == docs.where(f"doc_id = {good}").first()["text"]
