@@ -21,7 +21,7 @@ from paneloom.llm.tasks import WordHashes, chain, documents, mix
 from paneloom.session import cut_lineage
 
 GROUP_WORDS = 1_000_000  # words of the strips whose subtrees a task builds at a time
-CROWDED = 20_000  # different strips of one core, beyond which its prefixes get longer
+CROWDED = 2_000  # different strips of one core, beyond which its prefixes get longer
 CHUNK_WORDS = 2_000_000  # words that are hashed together
 SENT = 500_000  # strips that a task remembers having sent the words of
 
