@@ -269,16 +269,74 @@ def training_set(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ML.training_set(hist, target, FEATURES))
 
 
-def trained(spark: SparkSession, sf: str):
+def trained(spark: SparkSession, sf: str, **shape: object):
     hist, target = model_rows(spark, sf)
     featured = cut_lineage(ML.build_features(ML.combine(hist, target, FEATURES), FEATURES), "featured")
     names = ML.feature_names(featured, FEATURES)
-    result = ML.fit_forest(featured.dropna(subset=[*names, ML.TARGET]), names)
+    result = ML.fit_forest(featured.dropna(subset=[*names, ML.TARGET]), names, **shape)
     if result is None:
         raise ValueError("too few complete rows to train on")
     return featured, target, names, *result
 
 
+# Forests that SQL can state exactly: one tree that learns from all rows. Of depth 0 it is the mean of the labels.
+LEVEL = {"trees": 1, "depth": 0, "bootstrap": False}
+_LEVEL = "level AS (SELECT avg(New_Cases_7d) AS m FROM complete)"
+
+
+@query("forest_level", round_sql(f"WITH {_COMBINED}, {_LEVEL} SELECT count(*) AS n_rows, any_value(m) AS prediction, 0.0::DOUBLE AS r2 FROM complete, level", ["prediction", "r2"]))
+def forest_level(spark: SparkSession, sf: str) -> DataFrame:
+    """ML3, exactly: rows, prediction and R2 of a tree without splits."""
+    featured, _, names, model, score = trained(spark, sf, **LEVEL)
+    rows = ML.predict(featured.dropna(subset=[*names, ML.TARGET]), model, names)
+    return rounded(rows.agg(F.count(F.lit(1)).alias("n_rows"), F.max("_pred").alias("prediction"), (F.lit(float(score)) + F.max("_pred") - F.min("_pred")).alias("r2")))
+
+
+@query("fitted_level", round_sql(f"WITH {_COMBINED}, {_LEVEL} SELECT ISO_Code, Date, New_Cases_7d, m AS ML_Pred FROM learned, level WHERE Date >= DATE '{fx.SINCE}'", ["New_Cases_7d", "ML_Pred"]))
+def fitted_level(spark: SparkSession, sf: str) -> DataFrame:
+    """ML4, J8, exactly: the live days, their values and the smoothed fit."""
+    featured, target, names, model, _ = trained(spark, sf, **LEVEL)
+    return rounded(ML.fitted(featured, model, names, target).select("ISO_Code", "Date", ML.TARGET, "ML_Pred"))
+
+
+_STEPS = f"""stepped AS (
+  SELECT ISO_Code, last_date, 0 AS i, last_value AS v FROM ends
+  UNION ALL SELECT ISO_Code, last_date, i + 1, greatest({ML.INERTIA}::DOUBLE * v + (1 - {ML.INERTIA}::DOUBLE) * m, 0) FROM stepped, level WHERE i < {ML.HORIZON}
+)"""
+
+
+@query("forecast_level", round_sql(f"""WITH RECURSIVE {_COMBINED}, {_LEVEL}, ends AS (SELECT ISO_Code, max(Date) AS last_date, arg_max(Live_Target, Date) AS last_value FROM target GROUP BY 1), {_STEPS}
+    SELECT ISO_Code, (last_date + i)::DATE AS Date, avg(v) OVER (PARTITION BY ISO_Code ORDER BY i ROWS 6 PRECEDING) AS ML_Future FROM stepped WHERE i > 0""", ["ML_Future"]))
+def forecast_level(spark: SparkSession, sf: str) -> DataFrame:
+    """ML5, exactly: every step keeps its share of the day before, then the week is smoothed."""
+    featured, target, _, model, _ = trained(spark, sf, **LEVEL)
+    return rounded(ML.forecast(model, ML.last_states(featured, target, FEATURES), FEATURES))
+
+
+@query("fallback_level", round_sql(f"""WITH {_FEATURES}, complete AS (
+      SELECT * FROM featured WHERE {" AND ".join(f"{c} IS NOT NULL" for c in [*ML.BASE_FEATURES, "lag_7", "lag_14", "lag_21", "New_Cases_7d"])}
+    ), {_LEVEL} SELECT ISO_Code, Date, New_Cases_7d, m AS ML_Pred FROM panel, level""", ["New_Cases_7d", "ML_Pred"]))
+def fallback_level(spark: SparkSession, sf: str) -> DataFrame:
+    """ML7, V34, exactly: the curve and the fit without live data."""
+    panel = cut_lineage(fx.panel(spark, sf).select("ISO_Code", "Date", *ML.BASE_FEATURES, ML.TARGET), "panel")
+    result = ML.fallback_fit(panel, **LEVEL)
+    if result is None:
+        raise ValueError("too few complete rows to train on")
+    return rounded(result[0])
+
+
+@query("fit_part", round_sql(f"""WITH {_COMBINED}, {_LEVEL}, firsts AS (SELECT ISO_Code, min(Date) AS Date, arg_min(Live_Target, Date) AS v FROM target GROUP BY 1)
+    SELECT ISO_Code, Date, New_Cases_7d AS value, 'history' AS kind FROM hist
+    UNION ALL SELECT ISO_Code, Date, v, 'history' FROM firsts WHERE ISO_Code IN (SELECT ISO_Code FROM hist)
+    UNION ALL SELECT ISO_Code, Date, Live_Target, 'live' FROM target
+    UNION ALL SELECT ISO_Code, Date, m, 'fit' FROM target, level""", ["value"]))
+def fit_part(spark: SparkSession, sf: str) -> DataFrame:
+    """V32 with the fit over the live days."""
+    featured, target, names, model, _ = trained(spark, sf, **LEVEL)
+    fit = ML.fitted(featured, model, names, target)
+    return rounded(LV.stitch(model_rows(spark, sf)[0], target, fit=fit, since=fx.SINCE))
+
+
 @query("forest_fit", f"WITH {_COMBINED} SELECT count(*) AS n_rows, {ML.TREES} AS trees, true AS r2_between_0_and_1 FROM complete")
 def forest_fit(spark: SparkSession, sf: str) -> DataFrame:
     """ML3: rows, trees and whether the in-sample R2 is one."""

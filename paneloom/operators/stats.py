@@ -115,10 +115,7 @@ def exact_quantiles(
     frame = placed.groupBy(*by).agg(F.max("_total").alias("_total"), *below)
     near = placed.select(*by, "_v", F.explode(F.array_compact(F.array(*inside))).alias("_i"))
     core = near.groupBy(*by, "_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    running = F.sum("_n").over(
-        Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = attach(core.withColumn("_cum", running), frame, by)
+    ranked = attach(running_counts(core, [*by, "_i"], "_v", "_n"), frame, by)
     ends, outs = [], []
     for i, p in enumerate(probs):
         position = F.lit(p) * (F.col("_total") - 1)
@@ -143,6 +140,24 @@ def exact_quantiles(
     return grouped.select(*by, *outs)
 
 
+def running_counts(df: DataFrame, groups: Sequence[str], order: str, count: str) -> DataFrame:
+    """``_cum``: the sum of ``count`` up to each row of its group, by ``order``, without a group in one task.
+
+    Rows are dealt by range over group and order, so a group spreads over as many tasks as its size asks for. A
+    window sums inside each task's share only; the shares' totals, a row for each group and task, are summed up by
+    themselves and added. The dealt rows are a written table, so that a lost executor cannot deal them anew.
+    """
+    dealt = df.repartitionByRange(*groups, order).withColumn("_part", F.spark_partition_id())
+    rows = cut_lineage(dealt, "ranks")
+    inside = Window.partitionBy(*groups, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    shares = rows.groupBy(*groups, "_part").agg(F.sum(count).alias("_share"))
+    ahead = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = shares.select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.col("_part").alias("_g_part"), F.coalesce(F.sum("_share").over(ahead), F.lit(0)).alias("_before"))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups], F.col("_part") == F.col("_g_part"))
+    cumulated = rows.withColumn("_own", F.sum(count).over(inside)).join(before, same)
+    return cumulated.withColumn("_cum", F.col("_own") + F.col("_before")).select(*df.columns, "_cum")
+
+
 def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
     """Columns of ``stats``, one row per key, next to each row of ``df``: joined by key, nulls being a key
     too, or as a scalar when there is no key.

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from paneloom.functions.dates import parse_day, week_start
 from paneloom.functions.text import clean_text, unique_names
-from paneloom.operators.aggregates import top_values
 from paneloom.operators.filters import else_other
 from paneloom.operators.joins import join_weekly
 from paneloom.operators.schema import (
@@ -19,6 +18,7 @@ from paneloom.operators.schema import (
     sniff_column,
 )
 from paneloom.operators.windows import running_total_col, series
+from paneloom.session import cut_lineage
 
 TOP_CATEGORIES = 15
 
@@ -57,18 +57,21 @@ def weekly_factchecks(expanded: DataFrame, top: int = TOP_CATEGORIES) -> DataFra
     """Checks per entity and week: total, one column per leading category, and the running total.
 
     Category columns are the ``top`` most frequent values, plus ``other`` when there are more. That short list shapes the
-    schema and is read by the driver; totals and category counts then come from one aggregate.
+    schema and is read by the driver. The expanded checks are counted once, by entity, week and category; names, totals
+    and columns come from that table of counts.
     """
     clean = expanded.select("ISO_Code", week_start("date").alias("_week"), clean_text("category").alias("category"))
-    ranked = [r["category"] for r in top_values(clean, "category", top + 1).collect()]
+    counts = cut_lineage(clean.groupBy("ISO_Code", "_week", "category").agg(F.count(F.lit(1)).alias("_n")), "checks")
+    sizes = counts.groupBy("category").agg(F.sum("_n").alias("n")).orderBy(F.desc("n"), F.asc("category")).limit(top + 1)
+    ranked = [r["category"] for r in sizes.collect()]
     leading, more = ranked[:top], ranked[top:]
-    labelled = clean.withColumn("category", else_other(F.col("category"), leading))
+    labelled = counts.withColumn("category", else_other(F.col("category"), leading))
     values = sorted({*leading, "other"} if more else leading)
     cells = [
-        F.count_if(F.col("category") == F.lit(v)).alias(name)
+        F.coalesce(F.sum(F.when(F.col("category") == F.lit(v), F.col("_n"))), F.lit(0)).alias(name)
         for v, name in zip(values, unique_names(values, taken=("ISO_Code", "_week")))
     ]
-    weekly = labelled.groupBy("ISO_Code", "_week").agg(F.count(F.lit(1)).alias("factcheck_count"), *cells)
+    weekly = labelled.groupBy("ISO_Code", "_week").agg(F.sum("_n").alias("factcheck_count"), *cells)
     total = running_total_col("factcheck_count", series("ISO_Code", "_week"))
     return weekly.withColumn("factcheck_cumulative", total)
 

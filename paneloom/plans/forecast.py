@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from paneloom.operators.aggregates import dedupe_first
 from paneloom.operators.ordering import union_prefer
@@ -22,11 +23,9 @@ TREES, DEPTH, LEAF, SEED = 200, 8, 5, 42
 MIN_TRAINING_ROWS = 30
 HORIZON, INERTIA, SMOOTHING = 60, 0.85, 7
 
-#: MLlib draws a bootstrap for each partition, so training rows are dealt by key into a fixed number of them
-#: and sorted: the same rows give the same forest on any number of cores.
-TRAIN_PARTITIONS = 32
-#: Forecast steps between two cuts of the plan.
-CUT = 10
+#: MLlib draws a bootstrap for each partition, so training rows are dealt by key into as many as their number asks
+#: for, and sorted: the same rows give the same forest on any number of cores.
+ROWS_PER_PARTITION = 20_000
 
 # Policy features, with and without live data.
 LIVE_FEATURES = (
@@ -87,30 +86,37 @@ def assemble(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def fit_forest(
-    train: DataFrame, names: Sequence[str], target: str = TARGET, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF
+    train: DataFrame, names: Sequence[str], target: str = TARGET, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF, bootstrap: bool = True
 ) -> tuple[RandomForestRegressionModel, float] | None:
-    """Forest and its in-sample R2, or nothing when there are too few rows to learn from."""
+    """Forest and its in-sample R2, or nothing when there are too few rows to learn from.
+
+    Without ``bootstrap`` every tree learns from every row: one tree of depth 1 is then the best single split, and
+    one of depth 0 the mean.
+    """
     values = [F.col(n).cast("double").alias(n) for n in names]
     order = [c for c in (KEY, DAY) if c in train.columns] or list(names)
     slim = train.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *values, F.col(target).cast("double").alias("label"))
     # Training passes over the rows many times: they are written once instead of derived each time.
     stored = cut_lineage(slim, "training")
-    if stored.limit(MIN_TRAINING_ROWS + 1).count() <= MIN_TRAINING_ROWS:
+    rows = stored.count()
+    if rows <= MIN_TRAINING_ROWS:
         return None
-    stored = stored.repartition(TRAIN_PARTITIONS, "_o0").sortWithinPartitions(*[f"_o{i}" for i in range(len(order))], *names, "label")
-    data = assemble(stored, names).select("features", "label")
+    dealt = stored.repartition(max(1, -(-rows // ROWS_PER_PARTITION)), "_o0").sortWithinPartitions(*[f"_o{i}" for i in range(len(order))], *names, "label")
+    data = assemble(dealt, names).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     forest = RandomForestRegressor(
         numTrees=trees,
         maxDepth=depth,
         minInstancesPerNode=leaf,
         featureSubsetStrategy="all",
-        bootstrap=True,
+        bootstrap=bootstrap,
         subsamplingRate=1.0,
         seed=SEED,
         maxMemoryInMB=1024,
     )
     model = forest.fit(data)
-    return model, RegressionEvaluator(metricName="r2").evaluate(model.transform(data))
+    score = RegressionEvaluator(metricName="r2").evaluate(model.transform(data))
+    data.unpersist()
+    return model, score
 
 
 def predict(df: DataFrame, model: RandomForestRegressionModel, names: Sequence[str], name: str = "_pred") -> DataFrame:
@@ -166,23 +172,28 @@ def forecast(
 ) -> DataFrame:
     """Roll every entity forward ``horizon`` days.
 
-    A step is one ``transform`` over all entities at once: it predicts from the frozen features and the
-    lags found in the growing series, keeps ``alpha`` of the previous value and appends the result. The
-    states are rows of fixed size, so no step needs an exchange; the plan is cut every ``CUT`` steps.
+    No lag is shorter than the least of ``LAGS``, so the model's inputs of that many days ahead are known at
+    once: a step is one ``transform`` over a row for each entity and day of a block, and a fold over the block's
+    predictions keeps ``alpha`` of the previous value from day to day. Rows of an entity stay in their partition
+    throughout, so steps need one exchange in all; the states are of fixed size.
     """
     present = [f for f in feats if f in states.columns]
     names = [*present, *(f"lag_{n}" for n in LAGS)]
+    block = min(LAGS)
     grown = states.select(key, "last_date", *present, F.col("recent").cast("array<double>").alias("_grown"), F.size("recent").alias("_n0"))
     grown = grown.repartition(key)
-    for step in range(1, horizon + 1):
+    for start in range(0, horizon, block):
+        days = grown.withColumn("_day", F.explode(F.sequence(F.lit(0), F.lit(min(block, horizon - start) - 1))))
         # An index before the start of the series gives null, and missing lags count as zero.
-        lags = {f"lag_{n}": F.get("_grown", F.size("_grown") - F.lit(n)) for n in LAGS}
-        scored = predict(grown.withColumns(lags), model, names, "_raw")
-        last = F.coalesce(F.try_element_at("_grown", F.lit(-1)), F.lit(0.0))
-        value = F.greatest(F.lit(alpha) * last + F.lit(1 - alpha) * F.col("_raw"), F.lit(0.0))
-        grown = scored.withColumn("_grown", F.concat("_grown", F.array(value))).select(*grown.columns)
-        if step % CUT == 0 and step < horizon:
-            grown = cut_lineage(grown, "forecast")
+        lags = {f"lag_{n}": F.get("_grown", F.size("_grown") + F.col("_day") - F.lit(n)) for n in LAGS}
+        raw = predict(days.withColumns(lags), model, names, "_raw")
+        told = raw.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_day", "_raw"))).alias("_raws"), *[F.first(c).alias(c) for c in grown.columns if c != key])
+
+        def onward(series: Column, step: Column) -> Column:
+            last = F.coalesce(F.try_element_at(series, F.lit(-1)), F.lit(0.0))
+            return F.concat(series, F.array(F.greatest(F.lit(alpha) * last + F.lit(1 - alpha) * step["_raw"], F.lit(0.0))))
+
+        grown = told.withColumn("_grown", F.aggregate("_raws", F.col("_grown"), onward)).select(*grown.columns)
     ahead = grown.select(key, "last_date", F.posexplode(F.slice("_grown", F.col("_n0") + 1, horizon)).alias("_i", "_v"))
     days = ahead.withColumn(date, F.date_add("last_date", (F.col("_i") + 1).cast("int")))
     return days.select(key, date, rolling_mean_col("_v", series(key, date), SMOOTHING).alias("ML_Future"))
@@ -196,12 +207,12 @@ def importances(spark: SparkSession, model: RandomForestRegressionModel, names:
 
 
 def fallback_fit(
-    panel: DataFrame, feats: Sequence[str] = BASE_FEATURES, key: str = KEY, date: str = DAY, trees: int = TREES
+    panel: DataFrame, feats: Sequence[str] = BASE_FEATURES, key: str = KEY, date: str = DAY, trees: int = TREES, **shape: object
 ) -> tuple[DataFrame, float] | None:
-    """Actual and fitted curve without live data, from the base features."""
+    """Actual and fitted curve without live data, from the base features; ``shape`` goes to ``fit_forest``."""
     featured = build_features(panel, feats, key=key, date=date)
     names = feature_names(featured, feats)
-    result = fit_forest(featured.dropna(subset=[*names, TARGET]), names, trees=trees)
+    result = fit_forest(featured.dropna(subset=[*names, TARGET]), names, trees=trees, **shape)
     if result is None:
         return None
     model, score = result
