@@ -9,7 +9,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from paneloom.functions.classes import corr_direction, corr_strength
-from paneloom.functions.numeric import both_count, safe_corr
+from paneloom.functions.numeric import FLAT, both_count, safe_corr
+from paneloom.operators.moments import pair_moments
 from paneloom.session import cut_lineage
 
 # Fewest complete rows for a correlation or a line.
@@ -28,9 +29,9 @@ def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pearson for every pair of columns of a family, over the rows where both are present.
 
-    Each row unfolds into its complete pairs, which meet in a compiled aggregate over small pair
-    numbers; a wide aggregate of all pairs would be too large to compile. Empty unless the family has
-    two columns, and more than five rows hold at least one value.
+    The sums of all pairs come from matrix products inside tasks, so no row unfolds into pairs. Null for constants
+    and for pairs that share a row with NaN or an infinity. Empty unless the family has two columns, and more than
+    five rows hold at least one value.
     """
     names = [c for c in cols if c in df.columns]
     pairs = list(combinations(names, 2))
@@ -39,24 +40,16 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
         fields = [T.StructField("x", T.StringType()), T.StructField("y", T.StringType())]
         fields += [T.StructField("r", T.DoubleType()), T.StructField("n", T.LongType())]
         return df.sparkSession.createDataFrame([], T.StructType([*keys, *fields]))
-    rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in names])
-
-    def cell(number: int, x: Column, y: Column) -> Column:
-        return F.struct(F.lit(number).alias("p"), x.alias("a"), y.alias("b"))
-
-    some = F.coalesce(*[F.col(c) for c in names])
-    cells = [F.when(some.isNotNull(), cell(0, some, some))]
-    cells += [
-        F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), cell(i, F.col(x), F.col(y)))
-        for i, (x, y) in enumerate(pairs, 1)
-    ]
-    long = rows.select(*by, F.explode(F.array(*cells)).alias("c")).filter("c is not null").select(*by, "c.p", "c.a", "c.b")
-    each = long.groupBy(*by, "p").agg(F.count(F.lit(1)).alias("n"), safe_corr(F.col("a"), F.col("b")).alias("r"))
-    found = each.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("p", F.struct("n", "r").alias("v")))).alias("m"))
+    sx, sy = F.sqrt(F.col("_vx") / F.col("_n")), F.sqrt(F.col("_vy") / F.col("_n"))
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(F.col("_c") / F.col("_n"), sx * sy)))
+    sound = (F.col("_odd") == 0) & (sx >= FLAT) & (sy >= FLAT)
+    value = F.struct(F.col("_n").alias("n"), F.when(sound, r).alias("r"))
+    each = pair_moments(df, names, by)
+    found = each.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_p", value.alias("v")))).alias("_m"))
     table = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(x).alias("x"), F.lit(y).alias("y")) for i, (x, y) in enumerate(pairs, 1)])
-    shown = found.filter(F.try_element_at("m", F.lit(0))["n"] >= MIN_ROWS).select(*by, "m", F.explode(table).alias("t"))
-    hit = F.try_element_at("m", F.col("t.p"))
-    return shown.select(*by, "t.x", "t.y", hit["r"].alias("r"), F.coalesce(hit["n"], F.lit(0)).alias("n"))
+    shown = found.filter(F.try_element_at("_m", F.lit(0))["n"] >= MIN_ROWS).select(*by, "_m", F.explode(table).alias("_t"))
+    hit = F.try_element_at("_m", F.col("_t.p"))
+    return shown.select(*by, "_t.x", "_t.y", hit["r"].alias("r"), F.coalesce(hit["n"], F.lit(0)).alias("n"))
 
 
 def ols(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
