@@ -291,6 +291,17 @@ def graph(spark: SparkSession, sf: str, *types: str) -> tuple[DataFrame, DataFra
     return read_graph(spark, path)
 
 
+def link_counts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The metrics, written once, and the links of each entity, whose policy links and arcs are never built."""
+    from paneloom.operators.aggregates import country_metrics
+    from paneloom.plans.graph import relation_counts
+    from paneloom.session import cut_lineage
+
+    prepared = cut_lineage(panel(spark, sf), "panel")
+    stored = cut_lineage(country_metrics(prepared), "metrics")
+    return stored, relation_counts(prepared, stored, min_points=MIN_POINTS)
+
+
 def nation_codes(spark: SparkSession, sf: str) -> DataFrame:
     code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
     return table(spark, sf, "nation").select("n_nationkey", "n_regionkey", "n_name", code.alias("code"))

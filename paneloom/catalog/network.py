@@ -55,8 +55,8 @@ def graph_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query("graph_kpis", f"""WITH {fx.GRAPH} SELECT (SELECT count(*) FROM metrics) AS countries, (SELECT count(*) FROM linked) AS similar_pairs,
     (SELECT count(*) FROM policy) AS policy_pairs, (SELECT count(*) FROM spread) AS spread_arcs""")
 def graph_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    """GQ2."""
-    return G.graph_kpis(*fx.graph(spark, sf))
+    """GQ2, from the number of links of each entity."""
+    return G.kpis_of_counts(*fx.link_counts(spark, sf))
 
 
 _BOTH = "SELECT src AS id, type FROM {0} UNION ALL SELECT dst, type FROM {0}"
@@ -137,7 +137,7 @@ def top_subgraph_nodes(spark: SparkSession, sf: str) -> DataFrame:
     SELECT id, degree, continent FROM d JOIN metrics ON iso_code = id ORDER BY degree DESC, id LIMIT 10""")
 def degree(spark: SparkSession, sf: str) -> DataFrame:
     """GQ9: the membership link counts."""
-    return G.degree(*fx.graph(spark, sf))
+    return G.degree_of_counts(*fx.link_counts(spark, sf))
 
 
 def event_messages(spark: SparkSession, sf: str, stream: bool) -> DataFrame:

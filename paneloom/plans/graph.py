@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from paneloom.operators.joins import in_both, with_continent
-from paneloom.operators.ordering import top_n
-from paneloom.plans.edges import POLICY, SIMILAR, SPREAD, undirected
+from paneloom.operators.ordering import top_n, union_all
+from paneloom.operators.ranges import band_counts
+from paneloom.plans.edges import (
+    BELONGS, CORRELATION_MIN, MIN_POINTS, PEAK_LAG_MAX, POLICY, POLICY_DIFF_MAX, SIMILAR, SPREAD, UNKNOWN, correlation_edges, undirected,
+)
 from paneloom.session import cut_lineage
 
 
@@ -53,6 +56,43 @@ def degree(
     return top if dim is None else with_continent(top, dim, "id", "continent")
 
 
+def relation_counts(
+    panel: DataFrame, metrics: DataFrame, threshold: float = CORRELATION_MIN, min_points: int = MIN_POINTS,
+    policy: float = POLICY_DIFF_MAX, max_lag: int = PEAK_LAG_MAX, index: str = "avg_containment_health_index",
+) -> DataFrame:
+    """``(id, type, n)``: the links of each entity by type, as the graph of ``panel`` and ``metrics`` has them.
+
+    Policy links and spread arcs are counted by ranks, without their pairs; only correlations must be compared.
+    ``metrics`` has one row for each entity and feeds three parts, so it should be a stored table.
+    """
+    known = metrics.filter(F.col("continent").isNotNull() & ~F.col("continent").isin(*UNKNOWN))
+    similar = undirected(correlation_edges(panel, threshold, min_points)).groupBy(F.col("id").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    dated = known.withColumn("_day", F.unix_date("peak_date"))
+    parts = {
+        SIMILAR: similar,
+        POLICY: band_counts(metrics.filter(F.col(index) > 0), "iso_code", index, policy),
+        SPREAD: band_counts(dated, "iso_code", "_day", max_lag, ["continent"], closed=True, apart=True),
+        BELONGS: known.select(F.col("iso_code").alias("key"), F.lit(1).cast("long").alias("n")),
+    }
+    return union_all([part.select(F.col("key").alias("id"), F.lit(t).alias("type"), "n") for t, part in parts.items()])
+
+
+def kpis_of_counts(metrics: DataFrame, counts: DataFrame) -> DataFrame:
+    """``graph_kpis`` from the links of each entity: every link has two ends."""
+    entities = metrics.agg(F.count("iso_code").alias("countries")).scalar()
+    links = lambda t: (F.coalesce(F.sum(F.when(F.col("type") == t, F.col("n"))), F.lit(0)) / 2).cast("long")
+    return counts.agg(
+        links(SIMILAR).alias("similar_pairs"), links(POLICY).alias("policy_pairs"), links(SPREAD).alias("spread_arcs")
+    ).select(entities.alias("countries"), "similar_pairs", "policy_pairs", "spread_arcs")
+
+
+def degree_of_counts(metrics: DataFrame, counts: DataFrame, n: int = 10, types: Sequence[str] | None = None) -> DataFrame:
+    """``degree`` from the links of each entity."""
+    chosen = counts if types is None else counts.filter(F.col("type").isin(*types))
+    links = chosen.groupBy("id").agg(F.sum("n").alias("degree"))
+    return top_n(links.join(metrics.select(F.col("iso_code").alias("id"), "continent"), "id"), "degree", n, "id")
+
+
 def _arcs(edges: DataFrame, type_: str) -> DataFrame:
     return edges.filter(F.col("type") == type_).select("src", "dst")
 
