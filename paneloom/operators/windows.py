@@ -8,10 +8,11 @@ specification that ``series`` returns, so that Spark plans a single exchange and
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -81,11 +82,16 @@ def first_batches(df: DataFrame, key: str, batch: str, n: int) -> DataFrame:
     return df.join(keep, [key, batch], "left_semi")
 
 
+def _summed(steps: pa.Table) -> pa.Table:
+    """One row for each step (src, dst)."""
+    return steps.group_by(["src", "dst"]).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select(["src", "dst", "n"])
+
+
 def path_steps(df: DataFrame, path: str, order: Sequence[str], node: str) -> DataFrame:
     """(src, dst, n): how often each node follows another in the paths by ``order``, ties by node.
 
     Rows are dealt by range over (path, order), so a path spreads over as many tasks as its length asks for.
-    A task counts the steps inside its sorted rows; only its first and its last row go on, to be laid end to
+    A task counts the steps inside its sorted rows, a batch at a time in Arrow; only its first and its last row go on, to be laid end to
     end with those of its neighbours. A null path is one path; steps to a null node are left out.
     """
     keys = [path, *[c for c in order if c not in (path, node)], node]
@@ -95,27 +101,36 @@ def path_steps(df: DataFrame, path: str, order: Sequence[str], node: str) -> Dat
     names = ["part", "edge", "path", "src", "dst", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, steps, first, last, kept = TaskContext.get().partitionId(), Counter(), None, None, None
+        part, held, first, last = TaskContext.get().partitionId(), [], None, None
 
-        def told(rows: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*rows)) if rows else [()] * 6
-            kinds = (pa.int32(), pa.int32(), kept, pa.string(), pa.string(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+        def told(rows: pa.Table, edge: int, path: list | None = None) -> list[pa.RecordBatch]:
+            size, kind_of = rows.num_rows, last.schema.field("path").type
+            cols = [pa.array([part] * size, pa.int32()), pa.array([edge] * size, pa.int32()), pa.array(path or [None] * size, kind_of)]
+            return pa.table([*cols, *[rows[c] for c in names[3:]]], names=names).combine_chunks().to_batches()
 
         for batch in batches:
-            kept = batch.column("path").type
-            for row in zip(batch.column("path").to_pylist(), batch.column("node").to_pylist()):
-                if last is None:
-                    first = row
-                elif row[0] == last[0] and row[1] is not None:
-                    steps[last[1], row[1]] += 1
-                last = row
-            if len(steps) > STEPS:
-                yield told([(part, 0, None, a, b, n) for (a, b), n in steps.items()])
-                steps.clear()
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
+            first = rows.slice(0, 1) if first is None else first
+            last = rows.slice(rows.num_rows - 1).to_batches()[0]
+            before, after = rows.slice(0, rows.num_rows - 1), rows.slice(1)
+            alike = pc.fill_null(pc.equal(before["path"], after["path"]), False)
+            alike = pc.or_(alike, pc.and_(pc.is_null(before["path"]), pc.is_null(after["path"])))
+            pairs = pa.table({"src": before["node"], "dst": after["node"]}).filter(pc.and_(alike, pc.is_valid(after["node"])))
+            held.append(_summed(pairs.append_column("n", pa.array(np.ones(pairs.num_rows, np.int64)))))
+            if sum(t.num_rows for t in held) > STEPS:
+                held = [_summed(pa.concat_tables(held))]
+                if held[0].num_rows > STEPS // 2:
+                    yield from told(held[0], 0)
+                    held = []
         if last is not None:
-            inner = [(part, 0, None, a, b, n) for (a, b), n in steps.items()]
-            yield told([*inner, (part, 1, first[0], None, first[1], 0), (part, 2, last[0], last[1], None, 0)])
+            if held:
+                yield from told(_summed(pa.concat_tables(held)), 0)
+            start, stop = first.to_pylist()[0], last.to_pylist()[0]
+            one = lambda src, dst: pa.table([pa.array([src], pa.string()), pa.array([dst], pa.string()), pa.array([0], pa.int64())], names=names[3:])
+            yield from told(one(None, start["node"]), 1, [start["path"]])
+            yield from told(one(stop["node"], None), 2, [stop["path"]])
 
     counted = cut_lineage(ends.mapInArrow(run, f"part int, edge int, path {kind}, src string, dst string, n long"), "steps")
     # Two rows for each task: the last row of a part meets the first one of the next part that has rows.
