@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paneloom.catalog import fixtures as fx
@@ -415,6 +417,17 @@ def day_functions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("stamped_events", "SELECT event_type, count(*) AS n, 1::BIGINT AS n_instants, true AS by_the_clock FROM events GROUP BY 1")
+def stamped_events(spark: SparkSession, sf: str) -> DataFrame:
+    """SC15: all events of a run get one instant, which is the driver's within a day's tolerance of clocks and waiting."""
+    begun = int(time.time())
+    stamped = table(spark, sf, "events").select("event_type", dates.utc_now().alias("received_at"))
+    off = F.max(F.unix_seconds("received_at")) - begun
+    return stamped.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("received_at").alias("n_instants"), off.between(-60, 86_400).alias("by_the_clock")
+    )
+
+
 @query("floor_second", "SELECT date_trunc('second', ts) AS second, count(*) AS n FROM events GROUP BY 1")
 def floor_second(spark: SparkSession, sf: str) -> DataFrame:
     """SC5."""
