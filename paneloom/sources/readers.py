@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from paneloom.functions.dates import parse_day
+from paneloom.sources.versions import current_path
 
 
 def read_csv_table(
@@ -54,13 +55,14 @@ def read_trends(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Stored table without the store's own row id."""
-    return spark.read.parquet(path).drop("_id")
+    """Stored table, in the version in force, without the store's own row id."""
+    return spark.read.parquet(current_path(spark, path)).drop("_id")
 
 
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Stored vertices and edges; a filter on the edge type reads only its folder."""
-    return read_table(spark, os.path.join(path, "vertices")), read_table(spark, os.path.join(path, "edges"))
+    """Stored vertices and edges of one version; a filter on the edge type reads only its folder."""
+    place = current_path(spark, path)
+    return read_table(spark, os.path.join(place, "vertices")), read_table(spark, os.path.join(place, "edges"))
 
 
 def read_key(df: DataFrame, key_col: str, value: object, order_col: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paneloom.functions.records import to_json_row
 from paneloom.operators.schema import clean_nonfinite, to_double
+from paneloom.sources.versions import replace
 
 TEXT_COLUMNS = ("ISO_Code", "Country", "Continent")
 
@@ -38,8 +39,11 @@ def write_gold(
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace the target as a whole, with NaN and infinities folded to null."""
-    clean_nonfinite(df).write.mode("overwrite").parquet(path)
+    """Replace the target as a whole and in one step, with NaN and infinities folded to null.
+
+    ``read_table`` reads the version in force.
+    """
+    replace(df.sparkSession, path, clean_nonfinite(df).write.parquet)
 
 
 def to_messages(df: DataFrame, day: str = "Date") -> DataFrame:
@@ -80,6 +84,10 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_graph(vertices: DataFrame, edges: DataFrame, path: str) -> None:
-    """Replace the stored graph; edges are laid out by type because queries filter on it."""
-    vertices.write.mode("overwrite").parquet(os.path.join(path, "vertices"))
-    edges.write.mode("overwrite").partitionBy("type").parquet(os.path.join(path, "edges"))
+    """Replace the stored graph, both tables in one step; edges are laid out by type because queries filter on it."""
+
+    def write(folder: str) -> None:
+        vertices.write.parquet(os.path.join(folder, "vertices"))
+        edges.write.partitionBy("type").parquet(os.path.join(folder, "edges"))
+
+    replace(vertices.sparkSession, path, write)
