@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paneloom.catalog import fixtures as fx
 from paneloom.catalog.base import query, round_sql, rounded, table
 from paneloom.functions import classes, dates, numeric, records, text
-from paneloom.operators import filters, ordering, quality, schema, windows
+from paneloom.operators import filters, joins, ordering, quality, schema, windows
 from paneloom.session import scratch_path
 from paneloom.sources import readers, writers
 
@@ -287,6 +287,23 @@ def pivot_first(spark: SparkSession, sf: str) -> DataFrame:
     return schema.pivot_first(ships(spark, sf), ["ISO_Code", "Date"], "indicator", "value", SHIP_ORDER)
 
 
+@query(
+    "open_cells",
+    f"""WITH {fx.NATIONS}, sold AS (
+      SELECT 'N' || lpad(s_nationkey::VARCHAR, 2, '0') AS ISO_Code, l_shipdate::DATE AS Date,
+        replace(trim(p_name), ' ', '_') || '_' || p_partkey AS indicator, l_quantity AS value, l_orderkey, l_linenumber
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)
+    SELECT ISO_Code, Date, indicator, arg_min(value, (l_orderkey, l_linenumber, value))::DOUBLE AS value
+    FROM sold SEMI JOIN nations USING (ISO_Code, Date) GROUP BY 1, 2, 3""",
+)
+def open_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """A name for every row of the parts table, so cells stay rows and no name reaches the driver."""
+    named = F.concat_ws(" ", "p_name", "p_partkey").alias("indicator")
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), named)
+    sold = ships(spark, sf).drop("indicator").join(parts, "l_partkey")
+    return joins.enrich_cells(fx.nations(spark, sf), sold, "indicator", "value", ["l_orderkey", "l_linenumber"])
+
+
 @query(
     "pivot_count",
     """SELECT source, count(*) FILTER (WHERE lang = 'de') AS fc_de, count(*) FILTER (WHERE lang = 'en') AS fc_en,

@@ -11,6 +11,9 @@ POLICY_CODES = ("c1m", "c2m", "c3m", "c4m", "c5m", "c6m", "c7m", "c8ev", "h6m",
 
 NAME_LENGTH = 25
 
+#: What ``str.strip`` takes off.
+EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+
 
 def clean_text(col: Column | str) -> Column:
     """Trimmed lower-case text; a missing value is spelled ``nan`` so that counts add up."""
@@ -45,6 +48,12 @@ def underscore_name(text: str) -> str:
     return text.strip().replace(" ", "_")
 
 
+def underscore_expr(col: Column | str) -> Column:
+    """``underscore_name`` of a name held in a column."""
+    value = F.col(col) if isinstance(col, str) else col
+    return F.replace(F.regexp_replace(value, EDGE_BLANKS, ""), F.lit(" "), F.lit("_"))
+
+
 def label_of(name: str, length: int | None = None) -> str:
     """Display label of a column name, on the driver."""
     label = name.replace("_", " ")

@@ -119,6 +119,7 @@ class EnrichmentReport:
 
     entries: list[dict] = field(default_factory=list)
     counts: list[DataFrame] = field(default_factory=list)
+    cells: dict[str, DataFrame] = field(default_factory=dict)
 
     def note(self, name: str, status: str, reason: str = "", added: Sequence[str] = ()) -> None:
         self.entries.append({"name": name, "status": status, "reason": reason, "added": list(added)})
@@ -150,6 +151,7 @@ def enrich(
     dim: DataFrame | None = None,
     order: Sequence[str] = (),
     check_empty: bool = True,
+    max_names: int = S.MAX_NAMES,
 ) -> tuple[DataFrame, EnrichmentReport]:
     """Fold source tables into the panel by left joins on entity and day.
 
@@ -157,6 +159,9 @@ def enrich(
     the empty ones among the others. Every right side is reduced to one row per key by an aggregate hashed
     on the join keys, so it arrives already partitioned for the join; the panel is exchanged at most once
     for the whole fold, because a left join keeps its partitioning.
+
+    A long table with more than ``max_names`` names adds no columns: its cells stay rows, in the report's
+    ``cells``.
     """
     keys = ["ISO_Code", "Date"]
     report = EnrichmentReport()
@@ -182,7 +187,14 @@ def enrich(
             continue
         long = {"indicator", "value"} <= set(source.columns)
         if long:
-            source = S.pivot_first(source, keys, "indicator", "value", [c for c in order if c in source.columns])
+            place = [c for c in order if c in source.columns]
+            names = S.few_names(source, "indicator", max_names)
+            if names is None:
+                report.cells[name] = enrich_cells(panel, source, "indicator", "value", place, keys)
+                report.counts.append(match_count(panel, source.select(*keys).distinct(), keys).select(F.lit(name).alias("name"), "matched"))
+                report.note(name, "cells", f"more than {max_names} names")
+                continue
+            source = S.pivot_first(source, keys, "indicator", "value", place, names)
         added = [c for c in S.new_columns(merged.columns, source) if c not in order]
         if not added:
             report.note(name, "skipped", "no new columns")
@@ -196,6 +208,14 @@ def enrich(
     return merged, report
 
 
+def enrich_cells(
+    panel: DataFrame, table: DataFrame, name: str, value: str, order: Sequence[str] = (), keys: Sequence[str] = ("ISO_Code", "Date")
+) -> DataFrame:
+    """The cells ``(keys, name, value)`` that a long table has for the rows of the panel, the first value by
+    ``order`` for each name, however many names there are."""
+    return S.named_cells(table, keys, name, value, order).join(panel.select(*keys), list(keys), "left_semi")
+
+
 def _with_rows(sources: Mapping[str, DataFrame]) -> set[str]:
     """Names of the tables that hold a row, by one job that reads one row of each."""
     from paneloom.operators.ordering import union_all

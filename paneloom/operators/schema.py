@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from paneloom.functions.text import underscore_name
+from paneloom.functions.text import underscore_expr, underscore_name
 
 # Accepted spellings of the core columns.
 COLUMN_ALIASES = {
@@ -177,11 +177,23 @@ def is_disaggregated(df: DataFrame) -> bool:
     return bool(breakdown_columns(df))
 
 
-def category_values(df: DataFrame, col: str) -> list[str]:
-    """Distinct values that are to become column names, sorted: the driver holds one text for each column
-    of the table to come, as it does for any schema."""
-    rows = df.select(F.col(col).cast("string").alias("v")).filter("v is not null").distinct().collect()
-    return sorted(r["v"] for r in rows)
+#: Most names that become columns; more than these stay rows.
+MAX_NAMES = 2000
+
+
+def few_names(df: DataFrame, col: str, limit: int = MAX_NAMES) -> list[str] | None:
+    """Distinct values, sorted, where there are at most ``limit``, else None: no more than one value above
+    the limit ever reaches the driver."""
+    rows = df.select(F.col(col).cast("string").alias("v")).filter("v is not null").distinct().limit(limit + 1).collect()
+    return sorted(r["v"] for r in rows) if len(rows) <= limit else None
+
+
+def category_values(df: DataFrame, col: str, limit: int = MAX_NAMES) -> list[str]:
+    """Distinct values that are to become column names, sorted; an error where they are too many for that."""
+    names = few_names(df, col, limit)
+    if names is None:
+        raise ValueError(f"{col} has more than {limit} values: keep them as rows with first_values")
+    return names
 
 
 def first_values(df: DataFrame, keys: Sequence[str], name: str, value: str, order: Sequence[str] = ()) -> DataFrame:
@@ -191,6 +203,16 @@ def first_values(df: DataFrame, keys: Sequence[str], name: str, value: str, orde
     return df.groupBy(*keys, name).agg(F.min(ranked)["_v"].alias(value))
 
 
+def named_cells(df: DataFrame, keys: Sequence[str], name: str, value: str, order: Sequence[str] = ()) -> DataFrame:
+    """``first_values`` under the names that a pivot would give its columns, values as double.
+
+    Names that become alike share a cell. Rows without a name have none. No name passes through the driver
+    and no row gathers the cells of a key, so neither the names nor the cells of one key are bounded.
+    """
+    named = df.filter(F.col(name).isNotNull()).withColumn(name, underscore_expr(F.col(name).cast("string")))
+    return to_double(first_values(named, keys, name, value, order), except_=[*keys, name])
+
+
 def pivot_first(
     df: DataFrame,
     keys: Sequence[str],
@@ -201,11 +223,15 @@ def pivot_first(
 ) -> DataFrame:
     """Long to wide, the first value by ``order`` per cell (ties by value).
 
-    ``names`` are the columns to be; found in the data when not given, as no schema is known before.
+    ``names`` are the columns to be; found in the data when not given, at most ``MAX_NAMES`` of them. Names
+    that become alike share a column.
     The first aggregate makes one row of each cell and combines on the map side, so a cell or key that
     holds most of the rows costs no task more than its share; the second one turns cells into columns.
     """
     labels = list(names) if names is not None else category_values(df, name)
+    columns = [underscore_name(n) for n in labels]
+    if len(set(columns)) < len(columns):
+        df, labels = df.withColumn(name, underscore_expr(F.col(name).cast("string"))), list(dict.fromkeys(columns))
     ranked = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.col(value).alias("_v"))
     wide = df.groupBy(*keys).pivot(name, labels).agg(F.min_by(value, ranked))
     return wide.withColumnsRenamed({n: underscore_name(n) for n in labels})

@@ -66,6 +66,22 @@ def test_pivot_of_many_names(spark):
     assert len(wide.columns) == 91 and {r["k"]: r["n4"] for r in wide.collect()} == {0: 4, 1: None}
 
 
+def test_too_many_names_stay_rows(spark, rows):
+    """Up to the limit names become columns; beyond it cells are rows, with the same values."""
+    held = [("ITA", day("2021-02-01"))]
+    grid = spark.createDataFrame([*held, ("FRA", day("2021-02-01"))], "ISO_Code string, Date date")
+    cells = [("ITA", "2021-02-01", " new tests ", "4", 2), ("ITA", "2021-02-01", "new tests", "3", 1), ("ITA", "2021-02-01", "beds", None, 1), ("ITA", "2021-02-01", None, "9", 1), ("ESP", "2021-02-01", "beds", "1", 1)]
+    long = spark.createDataFrame(cells, "ISO_Code string, date string, indicator string, value string, seq int")
+    wide, told = joins.enrich(grid, {"t": long}, order=["seq"], max_names=3)
+    assert not told.cells and set(wide.columns) >= {"new_tests", "beds"}
+    same, told = joins.enrich(grid, {"t": long}, order=["seq"], max_names=2)
+    assert same.columns == grid.columns and told.entries[0]["status"] == "cells"
+    assert rows(told.cells["t"].select("indicator", "value")) == [("beds", None), ("new_tests", 3.0)]
+    assert rows(told.matches().select("matched")) == [(1,)]
+    with pytest.raises(ValueError, match="first_values"):
+        schema.category_values(long, "indicator", limit=2)
+
+
 def test_category_names():
     long_name = "a very long category name that goes on"
     assert text.unique_names([long_name, "x/y", "x y", "it's (so)."]) == ["fc_" + long_name.replace(" ", "_")[:25], "fc_x_y", "fc_x_y_2", "fc_its_so"]
