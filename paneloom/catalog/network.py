@@ -9,7 +9,7 @@ from paneloom.catalog.base import query, round_sql, rounded, table
 from paneloom.catalog.series import _LIVE
 from paneloom.plans import edges as E, forecast as ML, graph as G, live as LV
 from paneloom.session import cut_lineage, scratch_path
-from paneloom.streaming import bulletins as B, upsert as U
+from paneloom.streaming import bulletins as B, state, upsert as U
 
 SOURCE = "U7"
 
@@ -196,6 +196,14 @@ def middle_event(spark: SparkSession, sf: str) -> int:
     return table(spark, sf, "events").agg((F.max("event_id") / 2).cast("long")).first()[0]
 
 
+@query("stream_state", _LAST)
+def stream_state(spark: SparkSession, sf: str) -> DataFrame:
+    """SM4, SM7, SNK5: the upsert with keyed state, which writes a row only where a message changes the table."""
+    parsed = B.parse_bulletins(event_messages(spark, sf, stream=True))
+    live = state.state_upsert_once(parsed, scratch_path(spark, "live"), scratch_path(spark, "offsets"))
+    return live.select("ISO_Code", "Date", "New_Confirmed", F.col("payload")["kind"].alias("kind"))
+
+
 @query("stream_files", _LAST)
 def stream_files(spark: SparkSession, sf: str) -> DataFrame:
     """SRC8, SM4: text files in two deliveries, keys repeated inside each file; the last line wins."""
