@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from paneloom.functions.dates import week_start, year_month
 from paneloom.functions.numeric import log10_floor1
 
 
+#: Types that a hash aggregate can update in place.
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def last_present(value: str, order: str) -> Column:
     """Last non-null value by ``order``."""
     return F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
@@ -32,8 +36,15 @@ def latest_non_null(df: DataFrame, key: Sequence[str], order: str, cols: Sequenc
 
 
 def latest_row(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
-    """Last whole row per key, nulls included."""
+    """Last whole row per key, nulls included.
+
+    Where every column has a fixed width each one gets a buffer of its own, all of them moved by the same
+    comparisons, so the values are of one row and Spark aggregates by hash. Texts and nested columns travel
+    in one struct, which Spark sorts for.
+    """
     rest = [c for c in df.columns if c not in key]
+    if all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in rest):
+        return df.groupBy(*key).agg(*[F.max_by(c, order).alias(c) for c in rest])
     packed = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_row"))
     return packed.select(*key, *[F.col("_row")[c].alias(c) for c in rest])
 

@@ -66,6 +66,18 @@ def test_pivot_of_many_names(spark):
     assert len(wide.columns) == 91 and {r["k"]: r["n4"] for r in wide.collect()} == {0: 4, 1: None}
 
 
+@pytest.mark.parametrize("extra", ["int", "string"])
+def test_latest_row_is_one_row(spark, extra):
+    """Ties on the order give the values of one row; fixed widths are aggregated by hash, texts are not."""
+    made = spark.range(0, 600, 1, 7).select((F.col("id") % 5).alias("k"), (F.col("id") % 3).cast("int").alias("d"), F.col("id").alias("a"), F.when(F.col("id") % 4 > 0, F.col("id")).cast(extra).alias("b"))
+    last = A.latest_row(made, ["k"], "d")
+    seen = {(r["k"], r["d"], r["a"], r["b"]) for r in made.collect()}
+    got = [(r["k"], r["d"], r["a"], r["b"]) for r in last.collect()]
+    assert len(got) == 5 and set(got) <= seen and {r[1] for r in got} == {2}
+    plan = last._jdf.queryExecution().toString()
+    assert ("SortAggregate" in plan) == (extra == "string")
+
+
 def test_too_many_names_stay_rows(spark, rows):
     """Up to the limit names become columns; beyond it cells are rows, with the same values."""
     held = [("ITA", day("2021-02-01"))]
