@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from paneloom.functions.numeric import FLAT
@@ -15,6 +17,12 @@ from paneloom.session import cut_lineage
 #: Pairs that are centred again at a time.
 DOUBTFUL = 4_096
 
+#: Comparisons, and slices, that a task of a band join gets; and its tasks at most.
+UNIT, ROWS, MOST_PARTS = 4_096**2, 100_000, 20_000
+
+#: Tiles of series, unless one would hold more values than this; rows of a tile that are compared at a time.
+TILES, CELLS, SLAB = 32, 1_000_000, 256
+
 
 def band_pairs(
     df: DataFrame,
@@ -23,43 +31,52 @@ def band_pairs(
     width: float,
     equi: Sequence[str] = (),
     closed: bool = False,
-    hot: int = 2_000,
+    hot: int = 4_096,
 ) -> DataFrame:
     """Unordered pairs of rows that agree on ``equi`` and lie within ``width`` of each other.
 
     Values fall into buckets as wide as the band, so partners sit in the same or the next bucket and
-    the theta join becomes an equi join with a residual. A bucket of more than ``hot`` rows is cut
-    into slices of the left side, each of which meets a copy of the right side; buckets below that
-    size are neither sliced nor copied. Within a bucket all pairs are results, so the work is of the
+    the theta join becomes an equi join with a residual. Rows of a bucket are packed into slices of about
+    ``hot`` rows, and two slices that may hold partners are one unit of work, dealt by its own key: however
+    many rows a bucket has, no unit compares more than two slices, there are as many tasks as the comparisons ask
+    for, and pairs are unfolded inside the tasks. Within a bucket all pairs are results, so the work is of the
     order of the output.
     """
     rows = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-    rows = rows.select(
-        F.col(key).alias("k"), F.col(value).alias("v"), *equi, F.floor(F.col(value) / F.lit(width)).alias("b")
-    )
+    if df.schema[value].dataType.typeName() in ("double", "float"):
+        rows = rows.filter(~F.isnan(value) & (F.abs(F.col(value)) < float("inf")))
+    # The ends of the longs are left free for the neighbours.
+    bucket = F.floor(F.col(value) / F.lit(width))
+    bucket = F.greatest(F.least(bucket, F.lit(2**63 - 2)), F.lit(-(2**63) + 1))
+    rows = cut_lineage(rows.select(F.col(key).alias("k"), F.col(value).alias("v"), *equi, bucket.alias("b")), "band")
     by = [*equi, "b"]
-    slices = (
-        rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot)
-        .select(*by, F.ceil(F.col("n") / F.lit(hot)).cast("int").alias("s"))
-    )
-    left = rows.join(slices, by, "left").select(
-        *by,
-        F.pmod(F.xxhash64("k"), F.coalesce("s", F.lit(1))).cast("int").alias("p"),
-        F.col("k").alias("k_a"),
-        F.col("v").alias("v_a"),
-    )
-    probes = rows.withColumn("home", F.col("b")).withColumn("b", F.explode(F.array(F.col("b"), F.col("b") - 1)))
-    right = probes.join(slices, by, "left").select(
-        *by,
-        F.explode(F.sequence(F.lit(0), F.coalesce("s", F.lit(1)) - 1)).alias("p"),
-        "home",
-        F.col("k").alias("k_b"),
-        F.col("v").alias("v_b"),
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("s", F.ceil(F.col("n") / F.lit(hot)).cast("int"))
+    sliced = rows.join(sizes.filter("s > 1"), by, "left").withColumn(
+        "p", F.pmod(F.xxhash64("k"), F.coalesce("s", F.lit(1))).cast("int")
     )
+    slices = cut_lineage(sliced.groupBy(*by, "p").agg(F.collect_list(F.struct("k", "v")).alias("rows")), "slices")
+    # One row: how many comparisons and slices there are.
+    total = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("work"), F.sum("s").alias("slices")).first()
+    parts = int(min(MOST_PARTS, max(1.0, (total["work"] or 0) / UNIT, (total["slices"] or 0) / ROWS)))
+    unit = [*equi, "b", "home", "p", "q"]
+    wanted = (F.col("home") > F.col("b")) | (F.col("p") <= F.col("q"))
+    numbers = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
+    sides = [
+        slices.select(*by, F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("home"), "p", F.col("rows").alias("left"))
+        .join(sizes.select(*equi, F.col("b").alias("home"), "s"), [*equi, "home"])
+        .select(*equi, "b", "home", "p", numbers.alias("q"), "left"),
+        slices.select(*equi, F.col("b").alias("home"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"), F.col("p").alias("q"), F.col("rows").alias("right"))
+        .join(sizes.select(*by, "s"), by)
+        .select(*equi, "b", "home", numbers.alias("p"), "q", "right"),
+    ]
+    left, right = [side.filter(wanted).repartition(parts, *unit) for side in sides]
+    apart = (F.col("home") > F.col("b")) | (F.col("p") != F.col("q"))
+    units = left.join(right.hint("shuffle_merge"), unit).select(*equi, apart.alias("apart"), "left", "right")
+    half = units.select(*equi, "apart", "right", F.inline("left").alias("k_a", "v_a"))
+    both = half.select(*equi, "apart", "k_a", "v_a", F.inline("right").alias("k_b", "v_b"))
     gap = F.abs(F.col("v_a") - F.col("v_b"))
     near = gap <= width if closed else gap < width
-    other = (F.col("home") > F.col("b")) | (F.col("k_a") < F.col("k_b"))
-    return left.join(right, [*by, "p"]).filter(near & other).select(*equi, "k_a", "v_a", "k_b", "v_b")
+    return both.filter(near & (F.col("apart") | (F.col("k_a") < F.col("k_b")))).select(*equi, "k_a", "v_a", "k_b", "v_b")
 
 
 def correlated_pairs(
@@ -75,9 +92,10 @@ def correlated_pairs(
     """Pairs of series whose Pearson coefficient over their shared days reaches the threshold.
 
     A self join would emit a row per pair and day. Here every series becomes one row (no longer than
-    the calendar), the keys are hashed into blocks of about ``block`` series, and each pair of blocks
-    is one task that gets its coefficients from six matrix products and returns edges only. A block
-    row is copied once per block, not once per partner, and no task holds more than two blocks.
+    the calendar), the keys are hashed into tiles, and each pair of tiles is one unit of work that gets its
+    coefficients from matrix products, ``block`` columns at a time, and hands on its edges as it finds them. Tiles
+    are ``TILES`` or, where they would hold more than ``CELLS`` values, more: so a series is copied to a fixed number
+    of units up to a size far beyond that of a block, and no task holds more than two tiles of bounded size.
     """
     cells = (
         df.filter(F.col(key).isNotNull() & F.col(date).isNotNull() & F.col(value).isNotNull())
@@ -90,83 +108,134 @@ def correlated_pairs(
         .filter(F.size("c") >= min_points)
         .select("key", F.col("c.day").alias("days"), F.col("c.v").alias("values"))
     )
-    # Written once: their number decides the number of blocks, and then they are copied from there.
+    # Written once: their number and length decide the number of tiles, and then they are copied from there.
     stored = cut_lineage(curves, "curves")
-    blocks = max(1, -(-stored.count() // block))
-    homed = stored.withColumn("home", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
-    spread = homed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
+    size = stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("days")).alias("days")).first()
+    blocks = max(1, -(-size["n"] // block))
+    tiles = min(blocks, max(TILES, -(-size["n"] * (size["days"] or 0) // CELLS)))
+    homed = stored.withColumn("home", F.pmod(F.xxhash64("key"), F.lit(tiles)).cast("int"))
+    spread = homed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).select(
         F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home", "key", "days", "values"
     )
-    return spread.groupBy("i", "j").applyInPandas(
-        _block_edges(threshold, signed), "src string, dst string, correlation double, n_days long"
-    )
+    units = min(MOST_PARTS, tiles * (tiles + 1) // 2)
+    dealt = spread.repartition(units, "i", "j").sortWithinPartitions("i", "j", "home")
+    return dealt.mapInArrow(_tile_edges(threshold, signed, block), "src string, dst string, correlation double, n_days long")
+
+
+NAMES = ["src", "dst", "correlation", "n_days"]
+
+
+def _unit_edges(unit: pa.Table, threshold: float, signed: bool, block: int) -> Iterator[pa.RecordBatch]:
+    """The edges between two tiles, or inside one, a slab of rows and a block of columns at a time."""
+    i, j = unit["i"][0].as_py(), unit["j"][0].as_py()
+    days = np.unique(pc.list_flatten(unit["days"]).to_numpy())
+    a = _Tile(unit.filter(pc.equal(unit["home"], i)), days)
+    b = a if i == j else _Tile(unit.filter(pc.equal(unit["home"], j)), days)
+    for top in range(0, len(a.keys), SLAB):
+        for left in range(top // block * block if i == j else 0, len(b.keys), block):
+            rows, cols = a.part(top, SLAB), b.part(left, block)
+            p, q, r, n = _correlated(rows, cols, threshold, signed, top - left if i == j else None)
+            if not len(p):
+                continue
+            keys = pa.concat_arrays([rows.keys, cols.keys])
+            place = pc.rank(keys, tiebreaker="dense").to_numpy()
+            q += len(rows.keys)
+            swap = place[p] > place[q]
+            ends = [keys.take(pa.array(np.where(swap, *x))) for x in ((q, p), (p, q))]
+            yield pa.RecordBatch.from_arrays([*ends, pa.array(r), pa.array(n.astype(np.int64))], names=NAMES)
 
 
-def _block_edges(threshold: float, signed: bool):
+def _block_edges(threshold: float, signed: bool, block: int = 1_024):
+    """All edges of one unit at once, for callers that hold it as a frame."""
+
     def edges(group: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
-        days = np.unique(np.concatenate(group["days"].to_numpy()))
-        a = _Block(group[group["home"] == i], days)
-        b = a if i == j else _Block(group[group["home"] == j], days)
-        if not len(a.keys) or not len(b.keys):
-            return pd.DataFrame({"src": [], "dst": [], "correlation": [], "n_days": []})
-        r, n = _pair_correlation(a, b)
-        size = r if signed else np.abs(r)
-        with np.errstate(invalid="ignore"):
-            hit = size >= threshold
-        if i == j:
-            hit &= np.triu(np.ones(hit.shape, bool), 1)
-        rows, cols = np.nonzero(hit)
-        first, second = a.keys[rows], b.keys[cols]
-        swap = first > second
-        return pd.DataFrame(
-            {
-                "src": np.where(swap, second, first),
-                "dst": np.where(swap, first, second),
-                "correlation": r[rows, cols],
-                "n_days": n[rows, cols].astype("int64"),
-            }
-        )
+        found = list(_unit_edges(pa.Table.from_pandas(group), threshold, signed, block))
+        return pa.Table.from_batches(found).to_pandas() if found else pd.DataFrame({c: [] for c in NAMES})
 
     return edges
 
 
-class _Block:
-    """Series of one block on a common day axis: centred values (0 where absent) and presence."""
+def _tile_edges(threshold: float, signed: bool, block: int):
+    """The edges of a task's units, which lie one after the other."""
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, unit = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.stack([batch.column(k).to_numpy() for k in (0, 1)])
+            starts = [0, *(np.flatnonzero((np.diff(at) != 0).any(0)) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(starts, starts[1:]):
+                mine = tuple(at[:, start].tolist())
+                if held and mine != unit:
+                    yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block)
+                    held = []
+                unit = mine
+                held.append(batch.slice(start, stop - start))
+        if held:
+            yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block)
 
-    def __init__(self, rows: pd.DataFrame, days: np.ndarray) -> None:
-        self.keys = rows["key"].to_numpy(dtype=object)
-        self.x = np.zeros((len(rows), len(days)))
-        self.m = np.zeros((len(rows), len(days)))
-        for at, (when, what) in enumerate(zip(rows["days"], rows["values"])):
-            where = np.searchsorted(days, when)
-            what = np.asarray(what, dtype=float)
-            self.x[at, where] = what - what.mean()
-            self.m[at, where] = 1.0
+    return edges
 
 
-def _pair_correlation(a: _Block, b: _Block) -> tuple[np.ndarray, np.ndarray]:
-    """Pearson matrix over shared days; NaN where either side is constant there."""
-    n = a.m @ b.m.T
-    sx, sy = a.x @ b.m.T, a.m @ b.x.T
-    sxx, syy = (a.x**2) @ b.m.T, a.m @ (b.x**2).T
-    sxy = a.x @ b.x.T
-    with np.errstate(divide="ignore", invalid="ignore"):
+class _Tile:
+    """Series on a common day axis: centred values (0 where absent), their squares and presence."""
+
+    def __init__(self, rows: pa.Table | None = None, days: np.ndarray | None = None) -> None:
+        if rows is None:
+            return
+        self.keys = pa.array(rows["key"].to_pylist(), pa.string())
+        length = pc.list_value_length(rows["days"]).to_numpy().astype(np.int64)
+        line, place = np.repeat(np.arange(len(length)), length), np.searchsorted(days, pc.list_flatten(rows["days"]).to_numpy())
+        values = pc.list_flatten(rows["values"]).to_numpy().astype(float)
+        with np.errstate(invalid="ignore"):
+            centred = values - (np.bincount(line, values, len(length)) / length)[line]
+        self.x, self.m = np.zeros((len(length), len(days))), np.zeros((len(length), len(days)))
+        self.x[line, place], self.m[line, place] = centred, 1.0
+        with np.errstate(over="ignore"):
+            self.xx = self.x**2
+
+    def part(self, start: int, size: int) -> _Tile:
+        some = _Tile()
+        some.keys = self.keys.slice(start, size)
+        some.x, some.m, some.xx = (v[start : start + size] for v in (self.x, self.m, self.xx))
+        return some
+
+
+def _correlated(a: _Tile, b: _Tile, threshold: float, signed: bool, shift: int | None) -> tuple[np.ndarray, ...]:
+    """Rows, columns, Pearson coefficients over shared days and numbers of these, of the pairs that reach the threshold;
+    a series that is constant there reaches none. With a ``shift`` only pairs above the diagonal count, which lies so
+    many columns to the right of the first."""
+    with np.errstate(all="ignore"):
+        n, sx, sxx = np.split(np.concatenate([a.m, a.x, a.xx]) @ b.m.T, 3)
+        sy, syy, sxy = a.m @ b.x.T, a.m @ b.xx.T, a.x @ b.x.T
+        # n^2 times the variances and the covariance: whether a pair can reach the threshold needs neither root nor quotient.
+        nx, ny = n * sxx, n * syy
+        vx, vy, c = nx - sx * sx, ny - sy * sy, n * sxy - sx * sy
+        far = c * c >= vx * vy * (max(threshold, 0.0) ** 2 * (1 - 1e-6))
+        # Sums of squares lose digits where the spread is tiny beside the offset: those pairs
+        # are computed again from their shared days.
+        nx *= 2e-6
+        ny *= 2e-6
+        far |= (vx < nx) | (vy < ny)
+        if shift is not None:
+            far &= np.arange(far.shape[1])[None, :] > np.arange(far.shape[0])[:, None] + shift
+        p, q = np.nonzero(far)
+        n, sx, sy, sxx, syy, sxy = (v[p, q] for v in (n, sx, sy, sxx, syy, sxy))
         vx, vy = (sxx - sx * sx / n) / n, (syy - sy * sy / n) / n
         r = ((sxy - sx * sy / n) / n) / np.sqrt(vx * vy)
         flat = (vx < FLAT**2) | (vy < FLAT**2)
-        # Sums of squares lose digits where the spread is tiny beside the offset: those pairs
-        # are computed again from their shared days.
-        doubtful = ~flat & ((vx < 1e-6 * sxx / n) | (vy < 1e-6 * syy / n))
-    r[flat | (n == 0)] = np.nan
-    p, q = np.nonzero(doubtful)
-    for start in range(0, len(p), DOUBTFUL):
-        part = slice(start, start + DOUBTFUL)
-        r[p[part], q[part]] = _exact_correlation(a, b, p[part], q[part])
-    return np.clip(r, -1.0, 1.0), n
+        doubtful = np.flatnonzero(~flat & ((vx < 1e-6 * sxx / n) | (vy < 1e-6 * syy / n)))
+        r[flat | (n == 0)] = np.nan
+        for start in range(0, len(doubtful), DOUBTFUL):
+            part = doubtful[start : start + DOUBTFUL]
+            r[part] = _exact_correlation(a, b, p[part], q[part])
+        r = np.clip(r, -1.0, 1.0)
+        hit = (r if signed else np.abs(r)) >= threshold
+    return p[hit], q[hit], r[hit], n[hit]
 
 
-def _exact_correlation(a: _Block, b: _Block, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+def _exact_correlation(a: _Tile, b: _Tile, p: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Pearson of the pairs of rows ``p`` and ``q``, centred again on the days that each pair shares."""
     shared = a.m[p] * b.m[q]
     n = shared.sum(1, keepdims=True)

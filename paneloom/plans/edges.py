@@ -90,30 +90,57 @@ def vertices_of(metrics: DataFrame) -> DataFrame:
     return nodes.unionByName(continents, allowMissingColumns=True)
 
 
-def build_graph(vertices: DataFrame, *edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Unique nodes and edges with a common schema; an edge exists once per ends and type."""
+def build_graph(vertices: DataFrame, *edges: DataFrame, unique: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Unique nodes and edges with a common schema; an edge exists once per ends and type. ``unique`` says that the
+    edges do so already, and spares their exchange."""
     from paneloom.operators.aggregates import dedupe_first
 
     nodes = dedupe_first(vertices, ["label", "id"])
-    links = dedupe_first(union_all(edges), ["src", "dst", "type"])
+    links = union_all(edges) if unique else dedupe_first(union_all(edges), ["src", "dst", "type"])
     directed = F.col("type").isin(SPREAD, BELONGS)
     return nodes, links.withColumn("directed", directed)
 
 
+def band_rows(metrics: DataFrame, type_: str) -> DataFrame:
+    """What the links of a band rest on, one row for each entity: from these columns its function builds them all."""
+    columns = {POLICY: ["iso_code", "avg_containment_health_index"], SPREAD: ["iso_code", "continent", "peak_date"]}
+    return metrics.select(*columns[type_])
+
+
+def unfold(rows: DataFrame, type_: str, width: float) -> DataFrame:
+    """The links of a band from its rows, as ``panel_graph`` gives them."""
+    links = policy_edges(rows, width) if type_ == POLICY else spread_edges(rows, int(width))
+    return links.withColumn("directed", F.lit(type_ == SPREAD))
+
+
 def panel_graph(
     panel: DataFrame, metrics: DataFrame, threshold: float = CORRELATION_MIN, min_points: int = MIN_POINTS,
     policy: float = POLICY_DIFF_MAX, max_lag: int = PEAK_LAG_MAX, types: Sequence[str] = (SIMILAR, POLICY, SPREAD, BELONGS),
-) -> tuple[DataFrame, DataFrame]:
+    folded: bool = False,
+) -> tuple:
     """The graph of a prepared panel and its entity metrics, with the edges of the ``types`` asked for; the
-    metrics, one row per entity, feed four of the five parts and are written out first."""
+    metrics, one row per entity, feed four of the five parts and are written out first.
+
+    ``folded`` gives nodes, edges and bands, ``{type: (rows, width)}``: policy links and spread arcs, whose number grows
+    with the square of the entities, stay folded into the rows that ``unfold`` builds them from, and the edges are
+    the others, or None. Where entities repeat, so that links would have to be made unique, no band is folded.
+    """
     stored = cut_lineage(metrics, "metrics")
+    widths = {POLICY: policy, SPREAD: max_lag}
+    bands = {}
+    # Each part has an edge once where each entity has one row: correlations have one series for each key.
+    unique = stored.groupBy("iso_code").count().filter("count > 1").isEmpty()
+    if folded and unique:
+        bands = {t: (band_rows(stored, t), widths[t]) for t in types if t in widths}
     parts = {
         SIMILAR: lambda: correlation_edges(panel, threshold, min_points),
         POLICY: lambda: policy_edges(stored, policy),
         SPREAD: lambda: spread_edges(stored, max_lag),
         BELONGS: lambda: belongs_edges(stored),
     }
-    return build_graph(vertices_of(stored), *[parts[t]() for t in types])
+    listed = [parts[t]() for t in types if t not in bands]
+    nodes, links = build_graph(vertices_of(stored), *(listed or [belongs_edges(stored.limit(0))]), unique=unique)
+    return (nodes, links if listed else None, bands) if folded else (nodes, links)
 
 
 def undirected(edges: DataFrame, columns: Sequence[str] = ()) -> DataFrame:

@@ -121,17 +121,18 @@ def spread_reach(edges: DataFrame, src: str, k: int = 3, type_: str = SPREAD) ->
 
 
 def spread_edges_on_paths(
-    edges: DataFrame, src: str, k: int = 3, type_: str = SPREAD, vertices: DataFrame | None = None
+    edges: DataFrame, src: str, k: int = 3, type_: str = SPREAD, vertices: DataFrame | None = None, unique: bool = False
 ) -> DataFrame:
     """Distinct edges on the paths of at most ``k`` hops, with the hop of their start and, when the
-    vertices are given, the death rates of both ends."""
+    vertices are given, the death rates of both ends. ``unique`` says that each edge is there once, as in a graph
+    that was built; then they need no exchange, as no node starts edges at two hops."""
     arcs = _arcs(edges, type_)
     first = arcs.filter(F.col("src") == F.lit(src)).withColumn("from_hop", F.lit(0))
     out = first
     if k > 1:
         inner = spread_reach(edges, src, k - 1, type_).select(F.col("id").alias("src"), F.col("hops").alias("from_hop"))
         out = first.unionByName(arcs.join(inner, "src").select("src", "dst", "from_hop"))
-    out = out.distinct()
+    out = out if unique else out.distinct()
     if vertices is None:
         return out
     rate = vertices.filter(F.col("label") == "Country").select("id", "total_deaths_per_million")

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from paneloom.functions.dates import parse_day
-from paneloom.sources.versions import current_path
+from paneloom.sources.versions import BANDS, WIDTH, current_path, listed
 
 
 def read_csv_table(
@@ -60,9 +60,22 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Stored vertices and edges of one version; a filter on the edge type reads only its folder."""
+    """Stored vertices and edges of one version; a filter on the edge type reads only its folder.
+
+    Links that are stored folded are unfolded as the edges are read, inside the tasks that read on: all of them, with
+    their attributes, but none is written again.
+    """
+    from paneloom.operators.ordering import union_all
+    from paneloom.plans.edges import unfold
+
     place = current_path(spark, path)
-    return read_table(spark, os.path.join(place, "vertices")), read_table(spark, os.path.join(place, "edges"))
+    inside = listed(spark, place)
+    parts = [read_table(spark, os.path.join(place, "edges"))] if "edges" in inside else []
+    for name in listed(spark, os.path.join(place, BANDS)):
+        rows = read_table(spark, os.path.join(place, BANDS, name))
+        width = rows.select(WIDTH).first()
+        parts.append(unfold(rows, name, width[0] if width else 1.0))
+    return read_table(spark, os.path.join(place, "vertices")), union_all(parts)
 
 
 def read_key(df: DataFrame, key_col: str, value: object, order_col: str | None = None) -> DataFrame:

@@ -20,6 +20,10 @@ MARKS = "_current"
 MARK = re.compile(r"(\d+)-([0-9a-f]{32})")
 FOLDER = "version-"
 
+#: Folder and column of a stored graph's folded links.
+BANDS = "bands"
+WIDTH = "_width"
+
 
 def _place(spark: SparkSession, path: str):
     context = spark.sparkContext
@@ -32,6 +36,11 @@ def _listed(spark: SparkSession, path: str) -> list:
     return list(files.listStatus(place)) if files.exists(place) else []
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no such folder."""
+    return sorted(s.getPath().getName() for s in _listed(spark, path))
+
+
 def versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     """Number and name of the complete versions below ``path``, oldest first."""
     found = [MARK.fullmatch(s.getPath().getName()) for s in _listed(spark, os.path.join(path, MARKS))]

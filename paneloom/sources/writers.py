@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from paneloom.functions.records import to_json_row
 from paneloom.operators.schema import clean_nonfinite, to_double
-from paneloom.sources.versions import replace
+from paneloom.sources.versions import BANDS, WIDTH, replace
 
 TEXT_COLUMNS = ("ISO_Code", "Country", "Continent")
 
@@ -83,11 +83,20 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
-def write_graph(vertices: DataFrame, edges: DataFrame, path: str) -> None:
-    """Replace the stored graph, both tables in one step; edges are laid out by type because queries filter on it."""
+def write_graph(
+    vertices: DataFrame, edges: DataFrame | None, path: str, bands: Mapping[str, tuple[DataFrame, float]] | None = None
+) -> None:
+    """Replace the stored graph, all tables in one step; edges are laid out by type because queries filter on it.
+
+    The links of a band (``panel_graph``) are stored as the rows that ``read_graph`` unfolds them from: a row for each
+    entity, where the links themselves would be the square of that.
+    """
 
     def write(folder: str) -> None:
         vertices.write.parquet(os.path.join(folder, "vertices"))
-        edges.write.partitionBy("type").parquet(os.path.join(folder, "edges"))
+        if edges is not None:
+            edges.write.partitionBy("type").parquet(os.path.join(folder, "edges"))
+        for name, (rows, width) in (bands or {}).items():
+            rows.withColumn(WIDTH, F.lit(float(width))).write.parquet(os.path.join(folder, BANDS, name))
 
     replace(vertices.sparkSession, path, write)

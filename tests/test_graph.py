@@ -1,6 +1,7 @@
 """Pair operators and graph queries against brute force and hand-drawn graphs."""
 
 import datetime as dt
+import re
 from itertools import combinations
 
 import numpy as np
@@ -175,3 +176,47 @@ print(len(f(g)), "paneloom" in sys.modules)
 """
     out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "f.pkl")], cwd=tmp_path, capture_output=True, text=True, check=True)
     assert out.stdout.split() == ["1", "False"]
+
+
+def test_band_join_deals_a_hot_bucket_in_small_units(spark):
+    """No unit compares more than two slices, however many rows share a bucket: 64 rows in slices of 8."""
+    df = spark.range(64).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(1.0).alias("v"))
+    pairs = band_pairs(df, "k", "v", 5.0, hot=8)
+    assert pairs.count() == 64 * 63 // 2 and "Generate inline" in pairs._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("cells", [40, 10_000])
+def test_correlations_by_tiles(spark, monkeypatch, cells):
+    """Tiles cover every pair once however many there are, and copies of a series do not grow with the blocks."""
+    from paneloom.operators import pairs as P
+
+    monkeypatch.setattr(P, "CELLS", cells)
+    monkeypatch.setattr(P, "TILES", 3)
+    rows = [(f"s{k:02d}", D + dt.timedelta(day), float((day + k % 2) % 3 + day % (5 + k % 2))) for k in range(30) for day in range(12)]
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    found = correlated_pairs(df, "k", "d", "v", 0.99, 5, block=2)
+    dealt = int(re.search(r"RepartitionByExpression \[i#\d+, j#\d+\], (\d+)", found._jdf.queryExecution().optimizedPlan().toString())[1])
+    assert dealt == (6 if cells == 10_000 else 45)  # units: 15 blocks are 3 tiles, or 9 where a tile may hold 40 values
+    assert sorted((r["src"], r["dst"]) for r in found.collect()) == [(f"s{a:02d}", f"s{b:02d}") for a in range(30) for b in range(a + 1, 30) if (b - a) % 2 == 0]
+
+
+def test_stored_graph_keeps_bands_folded(spark, fresh, rows):
+    import os
+
+    from paneloom.sources import readers, versions, writers
+
+    m, path = metrics(spark), fresh("graph")
+    panel = spark.createDataFrame([("AAA", D, 1.0)], "ISO_Code string, Date date, New_Cases_7d double")
+    whole = E.panel_graph(panel, m)
+    nodes, links, bands = E.panel_graph(panel, m, folded=True)
+    writers.write_graph(nodes, links, path, bands)
+    v, e = readers.read_graph(spark, path)
+    assert rows(v) == rows(whole[0]) and rows(e.select(*whole[1].columns)) == rows(whole[1])
+    place = versions.current_path(spark, path)
+    listed = spark.read.parquet(os.path.join(place, "edges"))
+    assert {r["type"] for r in listed.select("type").collect()} == {E.BELONGS}
+    assert spark.read.parquet(os.path.join(place, "bands", E.POLICY)).count() == 7
+    # Where entities repeat nothing is folded and edges are made unique.
+    twice = m.unionByName(m)
+    nodes, links, bands = E.panel_graph(panel, twice, folded=True)
+    assert not bands and rows(links.select("src", "dst", "type")) == rows(whole[1].select("src", "dst", "type"))
