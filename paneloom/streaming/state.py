@@ -1,6 +1,7 @@
 """Keyed state in front of the live table (SM4, SNK5): only what changes the table is written.
 
-For each key the state store holds the position of the last message and its first arrival, no payload.
+For each key the state store holds the last message and its first arrival, in a streaming aggregate, so no key
+costs a call into Python. Only where silent keys are to be dropped, a processor with timers holds them, without payload.
 A message at or below that position, a repeat or a late one, writes nothing. The rows go to the same
 ``run=<id>/batch=<n>`` folders as those of ``upsert`` and are read by the same ``read_live``, which judges
 by position alone; so dropping the state of a silent key costs at most a row that loses against an
@@ -22,6 +23,8 @@ from paneloom.streaming.upsert import KEYS, LINE, read_live
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+TURN_KEY = "streaming.sql.batchId"  # a local property of each task of a micro-batch
+TURN = "_turn"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -46,7 +49,8 @@ def flat_rows(parsed: DataFrame, order: str, keys: Sequence[str]) -> DataFrame:
 
 
 def newest_of_batches(flat: DataFrame, keys: Sequence[str], places: Sequence[str]) -> DataFrame:
-    """The last message of each key in each Arrow batch, lines numbered as they are read."""
+    """The last message of each key in each Arrow batch, lines numbered as they are read, with the number of the
+    micro-batch that read it."""
 
     def newest(batches: Iterable) -> Iterator:
         import numpy as np
@@ -54,13 +58,16 @@ def newest_of_batches(flat: DataFrame, keys: Sequence[str], places: Sequence[str
         import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        at = TaskContext.get().partitionId() << 33
+        context = TaskContext.get()
+        at = context.partitionId() << 33
+        turn = int(context.getLocalProperty(TURN_KEY))
         for batch in batches:
             if not batch.num_rows:
                 continue
             lines = pa.array(np.arange(at, at + batch.num_rows, dtype=np.int64))
             at += batch.num_rows
-            rows = pa.RecordBatch.from_arrays([*batch.columns, lines], names=[*batch.schema.names, LINE])
+            turns = pa.array(np.full(batch.num_rows, turn))
+            rows = pa.RecordBatch.from_arrays([*batch.columns, lines, turns], names=[*batch.schema.names, LINE, TURN])
             by = [(c, "ascending") for c in (*keys, *places)]
             rows = rows.take(pc.sort_indices(rows, sort_keys=by, null_placement="at_start"))
             ends = np.ones(rows.num_rows, dtype=bool)
@@ -70,7 +77,8 @@ def newest_of_batches(flat: DataFrame, keys: Sequence[str], places: Sequence[str
                 ends[:-1] |= pc.not_equal(column[:-1], column[1:]).to_numpy(zero_copy_only=False)
             yield rows.filter(pa.array(ends))
 
-    return flat.mapInArrow(newest, T.StructType([*flat.schema.fields, T.StructField(LINE, T.LongType())]))
+    longs = [T.StructField(c, T.LongType()) for c in (LINE, TURN)]
+    return flat.mapInArrow(newest, T.StructType([*flat.schema.fields, *longs]))
 
 
 class LatestBulletin(StatefulProcessor):
@@ -121,13 +129,29 @@ class LatestBulletin(StatefulProcessor):
         pass
 
 
+def latest_by_key(reduced: DataFrame, keys: Sequence[str], places: Sequence[str]) -> DataFrame:
+    """For each key of a micro-batch the last message so far, with the micro-batch it came in and the first arrival.
+
+    A streaming aggregate: the state is read and written by the engine, without a call into Python for a key. A
+    message at the position of an earlier one loses, as the earlier micro-batch is the greater.
+    """
+    rest = [c for c in reduced.columns if c not in (*keys, *places, TURN, "received_at")]
+    top = F.max(F.struct(*places, (-F.col(TURN)).alias("_sooner"), *rest)).alias("_top")
+    found = reduced.groupBy(*keys).agg(top, F.min("received_at").alias("_arrived"))
+    values = {"received_at": F.col("_arrived"), TURN: -F.col("_top._sooner"), **{c: F.col(c) for c in keys}}
+    return found.select(*[values.get(c, F.col("_top")[c]).alias(c) for c in reduced.columns])
+
+
 def changes(parsed: DataFrame, order: str = "offset", keys: Sequence[str] = KEYS, idle_ms: int | None = None) -> DataFrame:
-    """Stream of the rows that change the live table, positions still in parts."""
+    """Stream of the last messages of the keys that a micro-batch holds, positions still in parts; those that change the
+    live table came in that micro-batch (``TURN``). With ``idle_ms`` there are no others."""
     places = place_fields(parsed, order)
-    reduced = newest_of_batches(flat_rows(parsed, order, keys), keys, [f.name for f in places])
+    names = [f.name for f in places]
+    reduced = newest_of_batches(flat_rows(parsed, order, keys), keys, names)
+    if idle_ms is None:
+        return latest_by_key(reduced, keys, names)
     processor = LatestBulletin(reduced.columns, keys, places, idle_ms)
-    timing = "None" if idle_ms is None else "ProcessingTime"
-    return reduced.groupBy(*keys).transformWithState(processor, reduced.schema, "Update", timing)
+    return reduced.groupBy(*keys).transformWithState(processor, reduced.schema, "Update", "ProcessingTime")
 
 
 def stored_rows(flat: DataFrame, kind: T.DataType, order: str, keys: Sequence[str]) -> DataFrame:
@@ -170,7 +194,7 @@ def state_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         started.wait()
         place = os.path.join(target, f"run={run['id']}", f"batch={batch_id}")
-        stored_rows(batch, kind, order, keys).write.mode("overwrite").parquet(place)
+        stored_rows(batch.filter(F.col(TURN) == batch_id), kind, order, keys).write.mode("overwrite").parquet(place)
 
     wanted = {PROVIDER: ROCKSDB, **({NO_DATA: "false"} if once else {})}
     before = {name: spark.conf.get(name) for name in wanted}

@@ -58,3 +58,16 @@ def test_dropped_state_keeps_the_table(spark, fresh):
         drop(folder, f"{turn}.txt", key | {"Confirmed": cases, "seq": seq})
         live = S.state_upsert_once(stream(spark, folder), target, check, idle_ms=1)
     assert table(live)["ITA", "2021-02-01"][0] == 3.0
+
+
+def test_keys_make_no_python_calls_without_timers(spark, fresh):
+    """The state is an aggregate of the engine; a message that is sent again later changes nothing."""
+    folder, target, check = fresh("in"), fresh("live"), fresh("ck")
+    key = {"ISO_Code": "ITA", "Date": "2021-02-01"}
+    drop(folder, "a.txt", key | {"Confirmed": 1, "seq": 5})
+    plan = S.changes(stream(spark, folder))._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Aggregate" in plan
+    S.state_upsert_once(stream(spark, folder), target, check)
+    drop(folder, "b.txt", key | {"Confirmed": 9, "seq": 5})
+    live = S.state_upsert_once(stream(spark, folder), target, check)
+    assert table(live)["ITA", "2021-02-01"][0] == 1.0 and written(spark, target) == 1
