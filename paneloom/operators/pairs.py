@@ -79,6 +79,22 @@ def band_pairs(
     return both.filter(near & (F.col("apart") | (F.col("k_a") < F.col("k_b")))).select(*equi, "k_a", "v_a", "k_b", "v_b")
 
 
+def series_curves(df: DataFrame, key: str, date: str, value: str, min_points: int = 60) -> DataFrame:
+    """One row for each series, ``(key, days, values)``, in the order of its days; no longer than the calendar. Series
+    with fewer days than ``min_points`` are left out."""
+    cells = (
+        df.filter(F.col(key).isNotNull() & F.col(date).isNotNull() & F.col(value).isNotNull())
+        .groupBy(F.col(key).cast("string").alias("key"), F.unix_date(F.col(date)).alias("day"))
+        .agg(F.avg(F.col(value).cast("double")).alias("v"))
+    )
+    return (
+        cells.groupBy("key")
+        .agg(F.sort_array(F.collect_list(F.struct("day", "v"))).alias("c"))
+        .filter(F.size("c") >= min_points)
+        .select("key", F.col("c.day").alias("days"), F.col("c.v").alias("values"))
+    )
+
+
 def correlated_pairs(
     df: DataFrame,
     key: str,
@@ -89,48 +105,46 @@ def correlated_pairs(
     signed: bool = False,
     block: int = 1_024,
 ) -> DataFrame:
-    """Pairs of series whose Pearson coefficient over their shared days reaches the threshold.
+    """Pairs of series whose Pearson coefficient over their shared days reaches the threshold."""
+    # Written once: their number and length decide the number of tiles, and then they are copied from there.
+    return curve_pairs(cut_lineage(series_curves(df, key, date, value, min_points), "curves"), threshold, signed, block)
+
 
-    A self join would emit a row per pair and day. Here every series becomes one row (no longer than
-    the calendar), the keys are hashed into tiles, and each pair of tiles is one unit of work that gets its
+def curve_pairs(
+    stored: DataFrame, threshold: float = 0.85, signed: bool = False, block: int = 1_024, carry: Sequence[str] = ()
+) -> DataFrame:
+    """``correlated_pairs`` of the rows of ``series_curves``, which should be a stored table. Text columns in ``carry``
+    go along with each series and come out as ``src_`` and ``dst_`` of that name, so that no pair has to be joined.
+
+    A self join would emit a row per pair and day. Here every series is one row, the keys are hashed into tiles, and
+    each pair of tiles is one unit of work that gets its
     coefficients from matrix products, ``block`` columns at a time, and hands on its edges as it finds them. Tiles
     are ``TILES`` or, where they would hold more than ``CELLS`` values, more: so a series is copied to a fixed number
     of units up to a size far beyond that of a block, and no task holds more than two tiles of bounded size.
     """
-    cells = (
-        df.filter(F.col(key).isNotNull() & F.col(date).isNotNull() & F.col(value).isNotNull())
-        .groupBy(F.col(key).cast("string").alias("key"), F.unix_date(F.col(date)).alias("day"))
-        .agg(F.avg(F.col(value).cast("double")).alias("v"))
-    )
-    curves = (
-        cells.groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("day", "v"))).alias("c"))
-        .filter(F.size("c") >= min_points)
-        .select("key", F.col("c.day").alias("days"), F.col("c.v").alias("values"))
-    )
-    # Written once: their number and length decide the number of tiles, and then they are copied from there.
-    stored = cut_lineage(curves, "curves")
     size = stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("days")).alias("days")).first()
     blocks = max(1, -(-size["n"] // block))
     tiles = min(blocks, max(TILES, -(-size["n"] * (size["days"] or 0) // CELLS)))
     homed = stored.withColumn("home", F.pmod(F.xxhash64("key"), F.lit(tiles)).cast("int"))
     spread = homed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).select(
-        F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home", "key", "days", "values"
+        F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home", "key", "days", "values", *carry
     )
     units = min(MOST_PARTS, tiles * (tiles + 1) // 2)
     dealt = spread.repartition(units, "i", "j").sortWithinPartitions("i", "j", "home")
-    return dealt.mapInArrow(_tile_edges(threshold, signed, block), "src string, dst string, correlation double, n_days long")
+    ends = "".join(f", `{end}_{c}` string" for c in carry for end in ("src", "dst"))
+    return dealt.mapInArrow(_tile_edges(threshold, signed, block, tuple(carry)), f"src string, dst string, correlation double, n_days long{ends}")
 
 
 NAMES = ["src", "dst", "correlation", "n_days"]
 
 
-def _unit_edges(unit: pa.Table, threshold: float, signed: bool, block: int) -> Iterator[pa.RecordBatch]:
+def _unit_edges(unit: pa.Table, threshold: float, signed: bool, block: int, carry: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
     """The edges between two tiles, or inside one, a slab of rows and a block of columns at a time."""
     i, j = unit["i"][0].as_py(), unit["j"][0].as_py()
     days = np.unique(pc.list_flatten(unit["days"]).to_numpy())
-    a = _Tile(unit.filter(pc.equal(unit["home"], i)), days)
-    b = a if i == j else _Tile(unit.filter(pc.equal(unit["home"], j)), days)
+    a = _Tile(unit.filter(pc.equal(unit["home"], i)), days, carry)
+    b = a if i == j else _Tile(unit.filter(pc.equal(unit["home"], j)), days, carry)
+    names = [*NAMES, *(f"{end}_{c}" for c in carry for end in ("src", "dst"))]
     for top in range(0, len(a.keys), SLAB):
         for left in range(top // block * block if i == j else 0, len(b.keys), block):
             rows, cols = a.part(top, SLAB), b.part(left, block)
@@ -141,8 +155,9 @@ def _unit_edges(unit: pa.Table, threshold: float, signed: bool, block: int) -> I
             place = pc.rank(keys, tiebreaker="dense").to_numpy()
             q += len(rows.keys)
             swap = place[p] > place[q]
-            ends = [keys.take(pa.array(np.where(swap, *x))) for x in ((q, p), (p, q))]
-            yield pa.RecordBatch.from_arrays([*ends, pa.array(r), pa.array(n.astype(np.int64))], names=NAMES)
+            at = [pa.array(np.where(swap, *x)) for x in ((q, p), (p, q))]
+            told = [pa.concat_arrays([rows.told[c], cols.told[c]]).take(x) for c in carry for x in at]
+            yield pa.RecordBatch.from_arrays([*map(keys.take, at), pa.array(r), pa.array(n.astype(np.int64)), *told], names=names)
 
 
 def _block_edges(threshold: float, signed: bool, block: int = 1_024):
@@ -155,7 +170,7 @@ def _block_edges(threshold: float, signed: bool, block: int = 1_024):
     return edges
 
 
-def _tile_edges(threshold: float, signed: bool, block: int):
+def _tile_edges(threshold: float, signed: bool, block: int, carry: Sequence[str] = ()):
     """The edges of a task's units, which lie one after the other."""
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,12 +183,12 @@ def _tile_edges(threshold: float, signed: bool, block: int):
             for start, stop in zip(starts, starts[1:]):
                 mine = tuple(at[:, start].tolist())
                 if held and mine != unit:
-                    yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block)
+                    yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block, carry)
                     held = []
                 unit = mine
                 held.append(batch.slice(start, stop - start))
         if held:
-            yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block)
+            yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block, carry)
 
     return edges
 
@@ -181,10 +196,11 @@ def _tile_edges(threshold: float, signed: bool, block: int):
 class _Tile:
     """Series on a common day axis: centred values (0 where absent), their squares and presence."""
 
-    def __init__(self, rows: pa.Table | None = None, days: np.ndarray | None = None) -> None:
+    def __init__(self, rows: pa.Table | None = None, days: np.ndarray | None = None, carry: Sequence[str] = ()) -> None:
         if rows is None:
             return
         self.keys = pa.array(rows["key"].to_pylist(), pa.string())
+        self.told = {c: pa.array(rows[c].to_pylist(), pa.string()) for c in carry}
         length = pc.list_value_length(rows["days"]).to_numpy().astype(np.int64)
         line, place = np.repeat(np.arange(len(length)), length), np.searchsorted(days, pc.list_flatten(rows["days"]).to_numpy())
         values = pc.list_flatten(rows["values"]).to_numpy().astype(float)
@@ -198,6 +214,7 @@ class _Tile:
     def part(self, start: int, size: int) -> _Tile:
         some = _Tile()
         some.keys = self.keys.slice(start, size)
+        some.told = {c: v.slice(start, size) for c, v in self.told.items()}
         some.x, some.m, some.xx = (v[start : start + size] for v in (self.x, self.m, self.xx))
         return some
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paneloom.functions.numeric import round_half_up
 from paneloom.operators.ordering import union_all
-from paneloom.operators.pairs import band_pairs, correlated_pairs
+from paneloom.operators.pairs import band_pairs, correlated_pairs, curve_pairs, series_curves
 from paneloom.session import cut_lineage
 
 SIMILAR = "SIMILAR_EPIDEMIC_PATTERN"
@@ -35,8 +35,12 @@ def correlation_edges(
     value: str = "New_Cases_7d",
 ) -> DataFrame:
     """Entities whose smoothed curves correlate over shared days; strong negatives count unless ``signed``."""
-    pairs = correlated_pairs(df, key, date, value, threshold, min_points, signed)
-    return pairs.select("src", "dst", F.lit(SIMILAR).alias("type"), round_half_up(F.col("correlation"), 4).alias("correlation"))
+    return _similar(correlated_pairs(df, key, date, value, threshold, min_points, signed))
+
+
+def _similar(pairs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    ends = [f"{end}_{c}" for c in carry for end in ("src", "dst")]
+    return pairs.select("src", "dst", F.lit(SIMILAR).alias("type"), round_half_up(F.col("correlation"), 4).alias("correlation"), *ends)
 
 
 def policy_edges(
@@ -101,15 +105,23 @@ def build_graph(vertices: DataFrame, *edges: DataFrame, unique: bool = False) ->
     return nodes, links.withColumn("directed", directed)
 
 
+#: The column that names the entity in the rows of a folded type.
+FOLD_KEYS = {SIMILAR: "key", POLICY: "iso_code", SPREAD: "iso_code"}
+
+
 def band_rows(metrics: DataFrame, type_: str) -> DataFrame:
     """What the links of a band rest on, one row for each entity: from these columns its function builds them all."""
     columns = {POLICY: ["iso_code", "avg_containment_health_index"], SPREAD: ["iso_code", "continent", "peak_date"]}
     return metrics.select(*columns[type_])
 
 
-def unfold(rows: DataFrame, type_: str, width: float) -> DataFrame:
-    """The links of a band from its rows, as ``panel_graph`` gives them."""
-    links = policy_edges(rows, width) if type_ == POLICY else spread_edges(rows, int(width))
+def unfold(rows: DataFrame, type_: str, width: float, carry: Sequence[str] = ()) -> DataFrame:
+    """The links of a type from its rows, as ``panel_graph`` gives them. For similar patterns the rows are curves, the
+    width is the least correlation, and text columns in ``carry`` come along as ``src_`` and ``dst_`` of that name."""
+    if type_ == SIMILAR:
+        links = _similar(curve_pairs(rows, width, carry=carry), carry)
+    else:
+        links = policy_edges(rows, width) if type_ == POLICY else spread_edges(rows, int(width))
     return links.withColumn("directed", F.lit(type_ == SPREAD))
 
 
@@ -121,17 +133,19 @@ def panel_graph(
     """The graph of a prepared panel and its entity metrics, with the edges of the ``types`` asked for; the
     metrics, one row per entity, feed four of the five parts and are written out first.
 
-    ``folded`` gives nodes, edges and bands, ``{type: (rows, width)}``: policy links and spread arcs, whose number grows
-    with the square of the entities, stay folded into the rows that ``unfold`` builds them from, and the edges are
-    the others, or None. Where entities repeat, so that links would have to be made unique, no band is folded.
+    ``folded`` gives nodes, edges and bands, ``{type: (rows, width)}``: similar patterns, policy links and spread arcs,
+    whose number grows with the square of the entities, stay folded into the rows that ``unfold`` builds them from, one
+    for each entity, and the edges are the others, or None. Where entities repeat, so that links would have to be made
+    unique, nothing is folded.
     """
     stored = cut_lineage(metrics, "metrics")
-    widths = {POLICY: policy, SPREAD: max_lag}
+    widths = {SIMILAR: threshold, POLICY: policy, SPREAD: max_lag}
     bands = {}
     # Each part has an edge once where each entity has one row: correlations have one series for each key.
     unique = stored.groupBy("iso_code").count().filter("count > 1").isEmpty()
     if folded and unique:
-        bands = {t: (band_rows(stored, t), widths[t]) for t in types if t in widths}
+        curves = series_curves(panel, "ISO_Code", "Date", "New_Cases_7d", min_points)
+        bands = {t: (curves if t == SIMILAR else band_rows(stored, t), widths[t]) for t in types if t in widths}
     parts = {
         SIMILAR: lambda: correlation_edges(panel, threshold, min_points),
         POLICY: lambda: policy_edges(stored, policy),

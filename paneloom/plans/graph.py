@@ -144,7 +144,10 @@ def spread_edges_on_paths(
 
 
 def _with_ends(edges: DataFrame, vertices: DataFrame, col: str) -> DataFrame:
-    """One attribute of both ends beside each edge, as ``a`` and ``b``."""
+    """One attribute of both ends beside each edge, as ``a`` and ``b``; edges that carry it (``read_graph``) are not joined."""
+    carried = [f"src_{col}", f"dst_{col}"]
+    if set(carried) <= set(edges.columns):
+        return edges.withColumnsRenamed(dict(zip(carried, "ab")))
     nodes = vertices.filter(F.col("label") == "Country").select("id", col)
     return edges.join(nodes.toDF("src", "a"), "src").join(nodes.toDF("dst", "b"), "dst")
 
@@ -179,9 +182,10 @@ def continent_density(
 ) -> DataFrame:
     """Similar-pattern links inside each continent, each pair once unless asked otherwise."""
     nodes = vertices.filter(F.col("label") == "Country")
+    carried = [c for c in ("src_continent", "dst_continent") if c in edges.columns]
     if dim is not None:
-        nodes = with_continent(nodes.select("id", "label"), dim, "id", "continent")
-    inside = _with_ends(edges.filter(F.col("type") == SIMILAR).select("src", "dst"), nodes, "continent")
+        nodes, carried = with_continent(nodes.select("id", "label"), dim, "id", "continent"), []
+    inside = _with_ends(edges.filter(F.col("type") == SIMILAR).select("src", "dst", *carried), nodes, "continent")
     inside = inside.filter(F.col("a") == F.col("b"))
     if not keep_unknown:
         inside = inside.filter(F.col("a") != "Unknown")
@@ -189,6 +193,12 @@ def continent_density(
     return inside.groupBy(F.col("a").alias("continent")).agg(count.alias("internal_links"))
 
 
+def top_rated(vertices: DataFrame, n: int = 30) -> DataFrame:
+    """The ``n`` entities with the highest death rate."""
+    rated = vertices.filter((F.col("label") == "Country") & F.col("total_deaths_per_million").isNotNull())
+    return top_n(rated.select("id", "continent", "total_deaths_per_million"), "total_deaths_per_million", n, "id")
+
+
 def top_subgraph(
     vertices: DataFrame, edges: DataFrame, n: int = 30, types: Sequence[str] = (SIMILAR, POLICY, SPREAD)
 ) -> tuple[DataFrame, DataFrame]:
@@ -196,8 +206,7 @@ def top_subgraph(
 
     Returns nodes with the size class of the drawing, and edges.
     """
-    rated = vertices.filter((F.col("label") == "Country") & F.col("total_deaths_per_million").isNotNull())
-    top = top_n(rated.select("id", "continent", "total_deaths_per_million"), "total_deaths_per_million", n, "id")
+    top = top_rated(vertices, n)
     links = in_both(edges.filter(F.col("type").isin(*types)).select("src", "dst", "type"), top)
     rate = F.col("total_deaths_per_million")
     size = F.when(rate != 0, F.greatest(F.lit(10), F.least(F.lit(38), (rate / 80).cast("int")))).otherwise(F.lit(12))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -59,23 +59,46 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(current_path(spark, path)).drop("_id")
 
 
-def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_bands(spark: SparkSession, path: str) -> dict[str, tuple[DataFrame, float]]:
+    """The folded links of a stored graph by type: a row for each entity, and the width of the band."""
+    place = os.path.join(current_path(spark, path), BANDS)
+    bands = {}
+    for name in listed(spark, place):
+        rows = read_table(spark, os.path.join(place, name))
+        width = rows.select(WIDTH).first()
+        bands[name] = (rows.drop(WIDTH), width[0] if width else 1.0)
+    return bands
+
+
+def read_graph(
+    spark: SparkSession, path: str, among: Callable[[DataFrame], DataFrame] | None = None, ends: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
     """Stored vertices and edges of one version; a filter on the edge type reads only its folder.
 
     Links that are stored folded are unfolded as the edges are read, inside the tasks that read on: all of them, with
-    their attributes, but none is written again.
+    their attributes, but none is written again. ``among`` gives, from the vertices, those (``id``) that both ends of an
+    edge must be among: the others go before links are unfolded. Text attributes of the vertices in ``ends`` go to both ends of
+    similar-pattern links, as ``src_`` and ``dst_`` of that name, by way of the folded rows, so that links need no join.
     """
+    from paneloom.operators.joins import in_both
     from paneloom.operators.ordering import union_all
-    from paneloom.plans.edges import unfold
+    from paneloom.plans.edges import FOLD_KEYS, SIMILAR, unfold
+    from paneloom.session import cut_lineage
 
     place = current_path(spark, path)
-    inside = listed(spark, place)
-    parts = [read_table(spark, os.path.join(place, "edges"))] if "edges" in inside else []
-    for name in listed(spark, os.path.join(place, BANDS)):
-        rows = read_table(spark, os.path.join(place, BANDS, name))
-        width = rows.select(WIDTH).first()
-        parts.append(unfold(rows, name, width[0] if width else 1.0))
-    return read_table(spark, os.path.join(place, "vertices")), union_all(parts)
+    vertices = read_table(spark, os.path.join(place, "vertices"))
+    chosen = cut_lineage(among(vertices).select("id"), "among") if among else None
+    parts = [read_table(spark, os.path.join(place, "edges"))] if "edges" in listed(spark, place) else []
+    parts = [in_both(part, chosen) for part in parts] if among else parts
+    for name, (rows, width) in read_bands(spark, path).items():
+        if among:
+            rows = rows.join(chosen, F.col(FOLD_KEYS[name]) == F.col("id"), "left_semi")
+        carry = ends if name == SIMILAR else ()
+        if carry:
+            told = vertices.filter(F.col("label") == "Country").select(F.col("id").alias("key"), *carry)
+            rows = cut_lineage(rows.join(told, "key", "left"), "carried")
+        parts.append(unfold(rows, name, width, carry))
+    return vertices, union_all(parts)
 
 
 def read_key(df: DataFrame, key_col: str, value: object, order_col: str | None = None) -> DataFrame:
