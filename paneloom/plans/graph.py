@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from paneloom.operators.joins import in_both, with_continent
 from paneloom.operators.ordering import top_n, union_all
-from paneloom.operators.ranges import band_counts
+from paneloom.operators.ranges import band_counts, furthest_pairs
 from paneloom.plans.edges import (
-    BELONGS, CORRELATION_MIN, MIN_POINTS, PEAK_LAG_MAX, POLICY, POLICY_DIFF_MAX, SIMILAR, SPREAD, UNKNOWN, correlation_edges, undirected,
+    BELONGS, CORRELATION_MIN, MIN_POINTS, PEAK_LAG_MAX, POLICY, POLICY_DIFF_MAX, SIMILAR, SPREAD, UNKNOWN, correlation_edges, undirected, unfold,
 )
 from paneloom.session import cut_lineage
 
@@ -163,19 +163,34 @@ def divergent_pairs(
         )
     diff = F.abs(F.col("a") - F.col("b"))
     rated = _with_ends(linked, vertices, "total_deaths_per_million").filter((F.col("a") > 0) & (F.col("b") > 0))
-    return (
-        rated.filter(diff > gap)
-        .orderBy(diff.desc(), "src", "dst")
-        .limit(n)
-        .select(
-            F.col("src").alias("country_a"),
-            F.round("a").alias("deaths_a"),
-            F.col("dst").alias("country_b"),
-            F.round("b").alias("deaths_b"),
-        )
+    return _shown(rated.filter(diff > gap).orderBy(diff.desc(), "src", "dst").limit(n))
+
+
+def _shown(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        F.col("src").alias("country_a"),
+        F.round("a").alias("deaths_a"),
+        F.col("dst").alias("country_b"),
+        F.round("b").alias("deaths_b"),
     )
 
 
+def divergent_in_band(
+    vertices: DataFrame, rows: DataFrame, width: float, gap: float = 500.0, n: int = 10, both_orientations: bool = False,
+    index: str = "avg_containment_health_index",
+) -> DataFrame:
+    """``divergent_pairs`` of the policy links that ``rows`` and ``width`` fold (``read_bands``), without building them.
+
+    Where a death rate is not finite, or ``gap`` is negative, the links are built.
+    """
+    col = "total_deaths_per_million"
+    nodes = vertices.filter(F.col("label") == "Country").select(F.col("id").alias("iso_code"), col)
+    rated = cut_lineage(rows.join(nodes, "iso_code").filter((F.col(index) > 0) & (F.col(col) > 0)), "rates")
+    if gap < 0 or not rated.filter(F.isnan(col) | (F.col(col) == float("inf"))).isEmpty():
+        return divergent_pairs(vertices, unfold(rows, POLICY, width), gap, n, both_orientations)
+    return _shown(furthest_pairs(rated, "iso_code", index, width, col, gap, n, both_orientations))
+
+
 def continent_density(
     vertices: DataFrame, edges: DataFrame, dim: DataFrame | None = None,
     both_orientations: bool = False, keep_unknown: bool = False,

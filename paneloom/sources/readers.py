@@ -70,6 +70,10 @@ def read_bands(spark: SparkSession, path: str) -> dict[str, tuple[DataFrame, flo
     return bands
 
 
+def read_vertices(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, os.path.join(current_path(spark, path), "vertices"))
+
+
 def read_graph(
     spark: SparkSession, path: str, among: Callable[[DataFrame], DataFrame] | None = None, ends: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
@@ -86,7 +90,7 @@ def read_graph(
     from paneloom.session import cut_lineage
 
     place = current_path(spark, path)
-    vertices = read_table(spark, os.path.join(place, "vertices"))
+    vertices = read_vertices(spark, path)
     chosen = cut_lineage(among(vertices).select("id"), "among") if among else None
     parts = [read_table(spark, os.path.join(place, "edges"))] if "edges" in listed(spark, place) else []
     parts = [in_both(part, chosen) for part in parts] if among else parts
