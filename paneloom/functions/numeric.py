@@ -22,8 +22,12 @@ def log10_floor1(col: Column) -> Column:
 
 def round_half_up(col: Column, digits: int) -> Column:
     """Decimal rounding after dropping the noise of summation order, so that ties come out alike
-    however the rows were distributed."""
-    return F.round(col.cast("decimal(28,9)"), digits).cast("double")
+    however the rows were distributed. Decimals decide near a tie only: elsewhere the nearest multiple is the same."""
+    exact = F.round(col.cast("decimal(28,9)"), digits).cast("double")
+    scale, slack = 10.0**digits, 10.0 ** (digits - 9) + 1e-5
+    scaled = col.cast("double") * F.lit(scale)
+    sure = (F.abs(scaled) < 1e9) & (F.abs(scaled - F.rint(scaled)) < F.lit(0.5 - slack))
+    return F.when(sure, F.rint(scaled) / F.lit(scale) + F.lit(0.0)).otherwise(exact)
 
 
 def trust_ratio(pro: Column | str, dis: Column | str) -> Column:

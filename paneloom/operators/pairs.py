@@ -20,6 +20,9 @@ DOUBTFUL = 4_096
 #: Comparisons, and slices, that a task of a band join gets; and its tasks at most.
 UNIT, ROWS, MOST_PARTS = 4_096**2, 100_000, 20_000
 
+#: Rows of each of two slices whose pairs are unfolded at a time.
+SQUARE = 128
+
 #: Tiles of series, unless one would hold more values than this; rows of a tile that are compared at a time.
 TILES, CELLS, SLAB = 32, 1_000_000, 256
 
@@ -32,15 +35,18 @@ def band_pairs(
     equi: Sequence[str] = (),
     closed: bool = False,
     hot: int = 4_096,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Unordered pairs of rows that agree on ``equi`` and lie within ``width`` of each other.
+    """Unordered pairs of rows that agree on ``equi`` and lie within ``width`` of each other. Columns in ``carry`` come
+    along as ``_a`` and ``_b`` of that name, so that no pair has to be joined.
 
     Values fall into buckets as wide as the band, so partners sit in the same or the next bucket and
     the theta join becomes an equi join with a residual. Rows of a bucket are packed into slices of about
     ``hot`` rows, and two slices that may hold partners are one unit of work, dealt by its own key: however
     many rows a bucket has, no unit compares more than two slices, there are as many tasks as the comparisons ask
-    for, and pairs are unfolded inside the tasks. Within a bucket all pairs are results, so the work is of the
-    order of the output.
+    for, and pairs are unfolded inside the tasks. A row that unfolds hands on its rows only when it has made them all,
+    so slices are cut into squares of ``SQUARE`` rows first: a task holds the pairs of a square, not of a unit. Within a
+    bucket all pairs are results, so the work is of the order of the output.
     """
     rows = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     if df.schema[value].dataType.typeName() in ("double", "float"):
@@ -48,13 +54,15 @@ def band_pairs(
     # The ends of the longs are left free for the neighbours.
     bucket = F.floor(F.col(value) / F.lit(width))
     bucket = F.greatest(F.least(bucket, F.lit(2**63 - 2)), F.lit(-(2**63) + 1))
-    rows = cut_lineage(rows.select(F.col(key).alias("k"), F.col(value).alias("v"), *equi, bucket.alias("b")), "band")
+    told = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
+    rows = cut_lineage(rows.select(F.col(key).alias("k"), F.col(value).alias("v"), *told, *equi, bucket.alias("b")), "band")
     by = [*equi, "b"]
     sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("s", F.ceil(F.col("n") / F.lit(hot)).cast("int"))
     sliced = rows.join(sizes.filter("s > 1"), by, "left").withColumn(
         "p", F.pmod(F.xxhash64("k"), F.coalesce("s", F.lit(1))).cast("int")
     )
-    slices = cut_lineage(sliced.groupBy(*by, "p").agg(F.collect_list(F.struct("k", "v")).alias("rows")), "slices")
+    held = ["k", "v", *(f"c{i}" for i in range(len(carry)))]
+    slices = cut_lineage(sliced.groupBy(*by, "p").agg(F.collect_list(F.struct(*held)).alias("rows")), "slices")
     # One row: how many comparisons and slices there are.
     total = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("work"), F.sum("s").alias("slices")).first()
     parts = int(min(MOST_PARTS, max(1.0, (total["work"] or 0) / UNIT, (total["slices"] or 0) / ROWS)))
@@ -72,11 +80,37 @@ def band_pairs(
     left, right = [side.filter(wanted).repartition(parts, *unit) for side in sides]
     apart = (F.col("home") > F.col("b")) | (F.col("p") != F.col("q"))
     units = left.join(right.hint("shuffle_merge"), unit).select(*equi, apart.alias("apart"), "left", "right")
-    half = units.select(*equi, "apart", "right", F.inline("left").alias("k_a", "v_a"))
-    both = half.select(*equi, "apart", "k_a", "v_a", F.inline("right").alias("k_b", "v_b"))
+    squares = units.mapInArrow(_squares(SQUARE), units.schema)
+    ends = [[f"{c}_{end}" for c in ("k", "v", *carry)] for end in "ab"]
+    half = squares.select(*equi, "apart", "right", F.inline("left").alias(*ends[0]))
+    both = half.select(*equi, "apart", *ends[0], F.inline("right").alias(*ends[1]))
     gap = F.abs(F.col("v_a") - F.col("v_b"))
     near = gap <= width if closed else gap < width
-    return both.filter(near & (F.col("apart") | (F.col("k_a") < F.col("k_b")))).select(*equi, "k_a", "v_a", "k_b", "v_b")
+    return both.filter(near & (F.col("apart") | (F.col("k_a") < F.col("k_b")))).select(*equi, *ends[0], *ends[1])
+
+
+def _squares(size: int):
+    """Units whose slices, ``left`` and ``right``, have at most ``size`` rows each and make up those of the units given."""
+
+    def cut(rows: pa.ListArray) -> pa.ListArray:
+        values = rows.flatten()
+        return pa.ListArray.from_arrays(pa.array([*range(0, len(values), size), len(values)], pa.int32()), values)
+
+    def squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.schema.get_field_index("left"), batch.schema.get_field_index("right")
+            most = np.maximum(*(pc.list_value_length(batch.column(k)).to_numpy(zero_copy_only=False) for k in (left, right)))
+            if (most <= size).any():
+                yield batch.filter(pa.array(most <= size))
+            for at in np.flatnonzero(most > size).tolist():
+                a, b = (cut(batch.column(k).slice(at, 1)) for k in (left, right))
+                row = batch.slice(at, 1).take(pa.array(np.zeros(len(a), np.int64)))
+                for k in range(len(b)):
+                    columns = row.columns
+                    columns[left], columns[right] = a, b.take(pa.array(np.full(len(a), k)))
+                    yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return squares
 
 
 def series_curves(df: DataFrame, key: str, date: str, value: str, min_points: int = 60) -> DataFrame:
