@@ -23,8 +23,12 @@ UNIT, ROWS, MOST_PARTS = 4_096**2, 100_000, 20_000
 #: Rows of each of two slices whose pairs are unfolded at a time.
 SQUARE = 128
 
-#: Tiles of series, unless one would hold more values than this; rows of a tile that are compared at a time.
-TILES, CELLS, SLAB = 32, 1_000_000, 256
+#: Tiles of series, unless one would hold more values than this; rows and columns of tiles that are compared at a time, few
+#: enough that what is worked out about them stays in a core's cache; edges that are handed on together.
+TILES, CELLS, SLAB, WIDE, SHEAF = 32, 1_000_000, 64, 256, 32_768
+
+#: Centred values beyond this are squared apart, as products of their squares may overflow.
+WILD = 1e30
 
 
 def band_pairs(
@@ -145,10 +149,11 @@ def correlated_pairs(
 
 
 def curve_pairs(
-    stored: DataFrame, threshold: float = 0.85, signed: bool = False, block: int = 1_024, carry: Sequence[str] = ()
+    stored: DataFrame, threshold: float = 0.85, signed: bool = False, block: int = 1_024, carry: Sequence[str] = (), named: bool = True
 ) -> DataFrame:
     """``correlated_pairs`` of the rows of ``series_curves``, which should be a stored table. Text columns in ``carry``
-    go along with each series and come out as ``src_`` and ``dst_`` of that name, so that no pair has to be joined.
+    go along with each series and come out as ``src_`` and ``dst_`` of that name, so that no pair has to be joined. Without
+    ``named`` a pair comes without its keys, for those who count pairs: Spark drops no column that a task hands on.
 
     A self join would emit a row per pair and day. Here every series is one row, the keys are hashed into tiles, and
     each pair of tiles is one unit of work that gets its
@@ -166,32 +171,48 @@ def curve_pairs(
     units = min(MOST_PARTS, tiles * (tiles + 1) // 2)
     dealt = spread.repartition(units, "i", "j").sortWithinPartitions("i", "j", "home")
     ends = "".join(f", `{end}_{c}` string" for c in carry for end in ("src", "dst"))
-    return dealt.mapInArrow(_tile_edges(threshold, signed, block, tuple(carry)), f"src string, dst string, correlation double, n_days long{ends}")
+    keys = "src string, dst string, " if named else ""
+    return dealt.mapInArrow(_tile_edges(threshold, signed, block, tuple(carry), named), f"{keys}correlation double, n_days long{ends}")
 
 
 NAMES = ["src", "dst", "correlation", "n_days"]
 
 
-def _unit_edges(unit: pa.Table, threshold: float, signed: bool, block: int, carry: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
+def _unit_edges(
+    unit: pa.Table, threshold: float, signed: bool, block: int, carry: Sequence[str] = (), named: bool = True
+) -> Iterator[pa.RecordBatch]:
     """The edges between two tiles, or inside one, a slab of rows and a block of columns at a time."""
     i, j = unit["i"][0].as_py(), unit["j"][0].as_py()
     days = np.unique(pc.list_flatten(unit["days"]).to_numpy())
     a = _Tile(unit.filter(pc.equal(unit["home"], i)), days, carry)
     b = a if i == j else _Tile(unit.filter(pc.equal(unit["home"], j)), days, carry)
-    names = [*NAMES, *(f"{end}_{c}" for c in carry for end in ("src", "dst"))]
-    for top in range(0, len(a.keys), SLAB):
-        for left in range(top // block * block if i == j else 0, len(b.keys), block):
-            rows, cols = a.part(top, SLAB), b.part(left, block)
-            p, q, r, n = _correlated(rows, cols, threshold, signed, top - left if i == j else None)
-            if not len(p):
-                continue
-            keys = pa.concat_arrays([rows.keys, cols.keys])
-            place = pc.rank(keys, tiebreaker="dense").to_numpy()
-            q += len(rows.keys)
+    names = [*NAMES[0 if named else 2 :], *(f"{end}_{c}" for c in carry for end in ("src", "dst"))]
+    keys = a.keys if i == j else pa.concat_arrays([a.keys, b.keys])
+    told = {c: a.told[c] if i == j else pa.concat_arrays([a.told[c], b.told[c]]) for c in carry}
+    place = pc.rank(keys, tiebreaker="dense").to_numpy()
+    behind, wide, room = len(keys) - len(b.keys), min(block, WIDE), np.empty((14, SLAB * min(block, WIDE)))
+
+    def bound(sheaf: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        p, q, r, n = (np.concatenate(v) for v in zip(*sheaf))
+        found = [pa.array(r), pa.array(n.astype(np.int64))]
+        if named or carry:
             swap = place[p] > place[q]
             at = [pa.array(np.where(swap, *x)) for x in ((q, p), (p, q))]
-            told = [pa.concat_arrays([rows.told[c], cols.told[c]]).take(x) for c in carry for x in at]
-            yield pa.RecordBatch.from_arrays([*map(keys.take, at), pa.array(r), pa.array(n.astype(np.int64)), *told], names=names)
+            found = [*(keys.take(x) for x in at if named), *found, *(told[c].take(x) for c in carry for x in at)]
+        return pa.RecordBatch.from_arrays(found, names=names)
+
+    sheaf, held = [], 0
+    for top in range(0, len(a.keys), SLAB):
+        for left in range(top // wide * wide if i == j else 0, len(b.keys), wide):
+            p, q, r, n = _correlated(a.part(top, SLAB), b.part(left, wide), threshold, signed, top - left if i == j else None, room)
+            if len(p):
+                sheaf.append((p + top, q + (behind + left), r, n))
+                held += len(p)
+            if held >= SHEAF:
+                yield bound(sheaf)
+                sheaf, held = [], 0
+    if sheaf:
+        yield bound(sheaf)
 
 
 def _block_edges(threshold: float, signed: bool, block: int = 1_024):
@@ -204,7 +225,7 @@ def _block_edges(threshold: float, signed: bool, block: int = 1_024):
     return edges
 
 
-def _tile_edges(threshold: float, signed: bool, block: int, carry: Sequence[str] = ()):
+def _tile_edges(threshold: float, signed: bool, block: int, carry: Sequence[str] = (), named: bool = True):
     """The edges of a task's units, which lie one after the other."""
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,12 +238,12 @@ def _tile_edges(threshold: float, signed: bool, block: int, carry: Sequence[str]
             for start, stop in zip(starts, starts[1:]):
                 mine = tuple(at[:, start].tolist())
                 if held and mine != unit:
-                    yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block, carry)
+                    yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block, carry, named)
                     held = []
                 unit = mine
                 held.append(batch.slice(start, stop - start))
         if held:
-            yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block, carry)
+            yield from _unit_edges(pa.Table.from_batches(held).combine_chunks(), threshold, signed, block, carry, named)
 
     return edges
 
@@ -244,35 +265,48 @@ class _Tile:
         self.x[line, place], self.m[line, place] = centred, 1.0
         with np.errstate(over="ignore"):
             self.xx = self.x**2
+        self.wild = not np.abs(self.x).max(initial=0.0) < WILD
 
     def part(self, start: int, size: int) -> _Tile:
         some = _Tile()
-        some.keys = self.keys.slice(start, size)
-        some.told = {c: v.slice(start, size) for c, v in self.told.items()}
         some.x, some.m, some.xx = (v[start : start + size] for v in (self.x, self.m, self.xx))
+        some.wild = self.wild
         return some
 
 
-def _correlated(a: _Tile, b: _Tile, threshold: float, signed: bool, shift: int | None) -> tuple[np.ndarray, ...]:
+def _correlated(
+    a: _Tile, b: _Tile, threshold: float, signed: bool, shift: int | None, room: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
     """Rows, columns, Pearson coefficients over shared days and numbers of these, of the pairs that reach the threshold;
     a series that is constant there reaches none. With a ``shift`` only pairs above the diagonal count, which lies so
-    many columns to the right of the first."""
+    many columns to the right of the first. ``room``, 14 rows of as many values as there are pairs or more, is written over:
+    memory that is in the cache already."""
+    high, across = len(a.m), len(b.m)
+    room = np.empty((14, high * across)) if room is None else room
+    n, sx, sxx, sy, syy, sxy, nx, ny, vx, vy, c, cc, vv, t = (v[: high * across].reshape(high, across) for v in room)
     with np.errstate(all="ignore"):
-        n, sx, sxx = np.split(np.concatenate([a.m, a.x, a.xx]) @ b.m.T, 3)
-        sy, syy, sxy = a.m @ b.x.T, a.m @ b.xx.T, a.x @ b.x.T
+        for out, left, right in ((n, a.m, b.m), (sx, a.x, b.m), (sxx, a.xx, b.m), (sy, a.m, b.x), (syy, a.m, b.xx), (sxy, a.x, b.x)):
+            np.matmul(left, right.T, out=out)
         # n^2 times the variances and the covariance: whether a pair can reach the threshold needs neither root nor quotient.
-        nx, ny = n * sxx, n * syy
-        vx, vy, c = nx - sx * sx, ny - sy * sy, n * sxy - sx * sy
-        far = c * c >= vx * vy * (max(threshold, 0.0) ** 2 * (1 - 1e-6))
+        np.multiply(n, sxx, out=nx)
+        np.multiply(n, syy, out=ny)
+        np.subtract(nx, np.multiply(sx, sx, out=t), out=vx)
+        np.subtract(ny, np.multiply(sy, sy, out=t), out=vy)
+        np.subtract(np.multiply(n, sxy, out=c), np.multiply(sx, sy, out=t), out=c)
+        np.multiply(vx, vy, out=vv)
+        far = np.multiply(c, c, out=cc) >= np.multiply(vv, max(threshold, 0.0) ** 2 * (1 - 1e-6), out=t)
         # Sums of squares lose digits where the spread is tiny beside the offset: those pairs
-        # are computed again from their shared days.
-        nx *= 2e-6
-        ny *= 2e-6
-        far |= (vx < nx) | (vy < ny)
+        # are computed again from their shared days. No spread is above its sum of squares, so a tiny one makes a tiny product.
+        if a.wild or b.wild:
+            far |= (vx < nx * 2e-6) | (vy < ny * 2e-6)
+        else:
+            np.multiply(nx, ny, out=t)
+            far |= vv < np.multiply(t, 2.1e-6, out=t)
         if shift is not None:
-            far &= np.arange(far.shape[1])[None, :] > np.arange(far.shape[0])[:, None] + shift
-        p, q = np.nonzero(far)
-        n, sx, sy, sxx, syy, sxy = (v[p, q] for v in (n, sx, sy, sxx, syy, sxy))
+            far &= np.arange(across)[None, :] > np.arange(high)[:, None] + shift
+        at = np.flatnonzero(far)
+        p, q = np.divmod(at, across)
+        n, sx, sy, sxx, syy, sxy = (v.ravel().take(at) for v in (n, sx, sy, sxx, syy, sxy))
         vx, vy = (sxx - sx * sx / n) / n, (syy - sy * sy / n) / n
         r = ((sxy - sx * sy / n) / n) / np.sqrt(vx * vy)
         flat = (vx < FLAT**2) | (vy < FLAT**2)
