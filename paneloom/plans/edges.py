@@ -38,9 +38,9 @@ def correlation_edges(
     return _similar(correlated_pairs(df, key, date, value, threshold, min_points, signed))
 
 
-def _similar(pairs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def _similar(pairs: DataFrame, carry: Sequence[str] = (), named: bool = True) -> DataFrame:
     ends = [f"{end}_{c}" for c in carry for end in ("src", "dst")]
-    return pairs.select("src", "dst", F.lit(SIMILAR).alias("type"), round_half_up(F.col("correlation"), 4).alias("correlation"), *ends)
+    return pairs.select(*(["src", "dst"] if named else []), F.lit(SIMILAR).alias("type"), round_half_up(F.col("correlation"), 4).alias("correlation"), *ends)
 
 
 def policy_edges(
@@ -57,12 +57,19 @@ def policy_edges(
     )
 
 
-def spread_edges(metrics: DataFrame, max_lag: int = PEAK_LAG_MAX) -> DataFrame:
-    """From the earlier to the later peak, within one known continent and 1 to ``max_lag`` days."""
+def dated(metrics: DataFrame) -> DataFrame:
+    """The entities of known continents, with the number of the day of their peak."""
     known = metrics.filter(F.col("continent").isNotNull() & ~F.col("continent").isin(*UNKNOWN))
-    dated = known.withColumn("_day", F.unix_date("peak_date"))
-    pairs = band_pairs(dated, "iso_code", "_day", max_lag, equi=["continent"], closed=True)
+    return known.withColumn("_day", F.unix_date("peak_date"))
+
+
+def spread_edges(metrics: DataFrame, max_lag: int = PEAK_LAG_MAX, carry: Sequence[str] = ()) -> DataFrame:
+    """From the earlier to the later peak, within one known continent and 1 to ``max_lag`` days. Columns in ``carry`` come
+    along as ``src_`` and ``dst_`` of that name."""
+    pairs = band_pairs(dated(metrics), "iso_code", "_day", max_lag, equi=["continent"], closed=True, carry=carry)
     forward = F.col("v_a") < F.col("v_b")
+    sides = (("src", "a", "b"), ("dst", "b", "a"))
+    told = [F.when(forward, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")).alias(f"{end}_{c}") for c in carry for end, x, y in sides]
     first, last = F.least("v_a", "v_b"), F.greatest("v_a", "v_b")
     return pairs.filter(F.col("v_a") != F.col("v_b")).select(
         F.when(forward, F.col("k_a")).otherwise(F.col("k_b")).alias("src"),
@@ -71,6 +78,7 @@ def spread_edges(metrics: DataFrame, max_lag: int = PEAK_LAG_MAX) -> DataFrame:
         (last - first).cast("int").alias("peak_lag_days"),
         F.date_from_unix_date(first.cast("int")).alias("peak_date_source"),
         F.date_from_unix_date(last.cast("int")).alias("peak_date_target"),
+        *told,
     )
 
 
@@ -115,13 +123,15 @@ def band_rows(metrics: DataFrame, type_: str) -> DataFrame:
     return metrics.select(*columns[type_])
 
 
-def unfold(rows: DataFrame, type_: str, width: float, carry: Sequence[str] = ()) -> DataFrame:
+def unfold(rows: DataFrame, type_: str, width: float, carry: Sequence[str] = (), named: bool = True) -> DataFrame:
     """The links of a type from its rows, as ``panel_graph`` gives them. For similar patterns the rows are curves, the
-    width is the least correlation, and text columns in ``carry`` come along as ``src_`` and ``dst_`` of that name."""
+    width is the least correlation, and text columns in ``carry`` come along as ``src_`` and ``dst_`` of that name.
+    Without ``named`` links have no ``src`` and ``dst``: a row for each all the same."""
     if type_ == SIMILAR:
-        links = _similar(curve_pairs(rows, width, carry=carry), carry)
+        links = _similar(curve_pairs(rows, width, carry=carry, named=named), carry, named)
     else:
         links = policy_edges(rows, width) if type_ == POLICY else spread_edges(rows, int(width))
+        links = links if named else links.drop("src", "dst")
     return links.withColumn("directed", F.lit(type_ == SPREAD))
 
 

@@ -75,7 +75,7 @@ def read_vertices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_graph(
-    spark: SparkSession, path: str, among: Callable[[DataFrame], DataFrame] | None = None, ends: Sequence[str] = ()
+    spark: SparkSession, path: str, among: Callable[[DataFrame], DataFrame] | None = None, ends: Sequence[str] = (), named: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Stored vertices and edges of one version; a filter on the edge type reads only its folder.
 
@@ -83,6 +83,7 @@ def read_graph(
     their attributes, but none is written again. ``among`` gives, from the vertices, those (``id``) that both ends of an
     edge must be among: the others go before links are unfolded. Text attributes of the vertices in ``ends`` go to both ends of
     similar-pattern links, as ``src_`` and ``dst_`` of that name, by way of the folded rows, so that links need no join.
+    Without ``named`` edges come without ``src`` and ``dst``, a row for each all the same, for those who count them.
     """
     from paneloom.operators.joins import in_both
     from paneloom.operators.ordering import union_all
@@ -94,6 +95,7 @@ def read_graph(
     chosen = cut_lineage(among(vertices).select("id"), "among") if among else None
     parts = [read_table(spark, os.path.join(place, "edges"))] if "edges" in listed(spark, place) else []
     parts = [in_both(part, chosen) for part in parts] if among else parts
+    parts = parts if named else [part.drop("src", "dst") for part in parts]
     for name, (rows, width) in read_bands(spark, path).items():
         if among:
             rows = rows.join(chosen, F.col(FOLD_KEYS[name]) == F.col("id"), "left_semi")
@@ -101,7 +103,7 @@ def read_graph(
         if carry:
             told = vertices.filter(F.col("label") == "Country").select(F.col("id").alias("key"), *carry)
             rows = cut_lineage(rows.join(told, "key", "left"), "carried")
-        parts.append(unfold(rows, name, width, carry))
+        parts.append(unfold(rows, name, width, carry, named))
     return vertices, union_all(parts)
 
 
