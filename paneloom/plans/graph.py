@@ -10,7 +10,7 @@ from paneloom.operators.joins import in_both, with_continent
 from paneloom.operators.ordering import top_n, union_all
 from paneloom.operators.ranges import band_counts, furthest_pairs
 from paneloom.plans.edges import (
-    BELONGS, CORRELATION_MIN, MIN_POINTS, PEAK_LAG_MAX, POLICY, POLICY_DIFF_MAX, SIMILAR, SPREAD, UNKNOWN, correlation_edges, undirected, unfold,
+    BELONGS, CORRELATION_MIN, MIN_POINTS, PEAK_LAG_MAX, POLICY, POLICY_DIFF_MAX, SIMILAR, SPREAD, UNKNOWN, correlation_edges, dated, spread_edges, undirected, unfold,
 )
 from paneloom.session import cut_lineage
 
@@ -97,14 +97,19 @@ def _arcs(edges: DataFrame, type_: str) -> DataFrame:
     return edges.filter(F.col("type") == type_).select("src", "dst")
 
 
-def spread_reach(edges: DataFrame, src: str, k: int = 3, type_: str = SPREAD) -> DataFrame:
+def spread_reach(
+    edges: DataFrame | None, src: str, k: int = 3, type_: str = SPREAD, band: Sequence | None = None
+) -> DataFrame:
     """Nodes within ``k`` hops along directed edges, with their smallest hop count.
 
     Each step expands the nodes reached for the first time only and keeps one row per node, so the
     work of all steps together is bounded by the edges, not by the paths. A frontier is written out
     before the next step starts from it: plans stay short, and an empty one ends the search.
-    ``edges`` should be a stored table, as it is scanned once per step.
+    ``edges`` should be a stored table, as it is scanned once per step. In their place ``band``, the rows and the width that
+    fold spread arcs (``read_bands``), gives the same without building an arc.
     """
+    if band is not None:
+        return _reach_in_band(*band, src, k).filter("hops > 0").select(F.col("iso_code").alias("id"), "hops")
     arcs = _arcs(edges, type_)
     start = arcs.filter((F.col("src") == F.lit(src)) & (F.col("dst") != F.lit(src)))
     frontier = start.select(F.col("dst").alias("id")).distinct().withColumn("hops", F.lit(1))
@@ -120,12 +125,46 @@ def spread_reach(edges: DataFrame, src: str, k: int = 3, type_: str = SPREAD) ->
     return frontier if seen is None else seen.unionByName(frontier)
 
 
+def _reach_in_band(rows: DataFrame, width: float, src: str, k: int) -> DataFrame:
+    """``rows`` of the source, at no hops, and of the entities within ``k`` hops, with their smallest hop count.
+
+    Whom an entity reaches depends on its continent and day alone, so a step goes by the different days of the entities
+    reached for the first time, spread over the days that the band allows: it joins days, not entities, and is linear.
+    """
+    days = dated(rows).filter(F.col("iso_code").isNotNull() & F.col("_day").isNotNull())
+    frontier = cut_lineage(days.filter(F.col("iso_code") == F.lit(src)).withColumn("hops", F.lit(0)), "frontier")
+    seen, lags = frontier, [F.lit(lag) for lag in range(1, int(width) + 1)]
+    for hop in range(1, k + 1):
+        if not lags or frontier.isEmpty():
+            break
+        later = frontier.select("continent", F.explode(F.array(*[F.col("_day") + lag for lag in lags])).alias("_day")).distinct()
+        step = days.join(later, ["continent", "_day"], "left_semi").join(seen.select("iso_code"), "iso_code", "left_anti")
+        frontier = cut_lineage(step.withColumn("hops", F.lit(hop)).select(*frontier.columns), "frontier")
+        seen = seen.unionByName(frontier)
+    return seen.drop("_day")
+
+
+def _paths_in_band(rows: DataFrame, width: float, src: str, k: int, vertices: DataFrame | None) -> DataFrame:
+    """The arcs on paths of at most ``k`` hops: of the entities that they lie between alone, which bring the hops and the
+    rates along, so that arcs are unfolded once and neither joined nor exchanged."""
+    near, told = _reach_in_band(rows, width, src, k), ["hops"]
+    if vertices is not None:
+        rate = vertices.filter(F.col("label") == "Country").select(F.col("id").alias("iso_code"), F.col("total_deaths_per_million").alias("deaths_per_million"))
+        near, told = near.join(rate, "iso_code", "left"), ["hops", "deaths_per_million"]
+    arcs = spread_edges(near, int(width), told).filter(F.col("src_hops") < k)
+    return arcs.select("src", "dst", F.col("src_hops").alias("from_hop"), *(f"{end}_{c}" for c in told[1:] for end in ("src", "dst")))
+
+
 def spread_edges_on_paths(
-    edges: DataFrame, src: str, k: int = 3, type_: str = SPREAD, vertices: DataFrame | None = None, unique: bool = False
+    edges: DataFrame | None, src: str, k: int = 3, type_: str = SPREAD, vertices: DataFrame | None = None, unique: bool = False,
+    band: Sequence | None = None,
 ) -> DataFrame:
     """Distinct edges on the paths of at most ``k`` hops, with the hop of their start and, when the
     vertices are given, the death rates of both ends. ``unique`` says that each edge is there once, as in a graph
-    that was built; then they need no exchange, as no node starts edges at two hops."""
+    that was built; then they need no exchange, as no node starts edges at two hops. In place of the edges ``band`` gives
+    the same, as in ``spread_reach``; entities occur once in it."""
+    if band is not None:
+        return _paths_in_band(*band, src, k, vertices)
     arcs = _arcs(edges, type_)
     first = arcs.filter(F.col("src") == F.lit(src)).withColumn("from_hop", F.lit(0))
     out = first
